@@ -17,8 +17,21 @@ def _under(folder: str, name: str) -> str:
 
 
 def csv_sink(folder: str, mode: str = "ignore") -> Sink:
-    """CSV folders with a header. An existing folder is left as it is by default."""
-    return lambda name, df: df.write.mode(mode).csv(_under(folder, name), header=True, nullValue="")
+    """CSV folders with a header. An existing folder is left as it is by default.
+
+    Blanks around values are kept: a cleared column is a blank, not a null.
+    """
+
+    def write(name: str, df: DataFrame) -> None:
+        df.write.mode(mode).csv(
+            _under(folder, name),
+            header=True,
+            nullValue="",
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
+
+    return write
 
 
 def parquet_sink(folder: str, mode: str = "ignore") -> Sink:

@@ -1,0 +1,385 @@
+import datetime as dt
+import hashlib
+
+import pytest
+from conftest import AS_OF
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from maskflow.functions.vocabulary import (
+    ASIAN_TERMS,
+    BLACK_TERMS,
+    FIRST_NAMES,
+    HISPANIC_TERMS,
+    LAST_NAMES,
+    NATIVE_AMERICAN_TERMS,
+    PACIFIC_TERMS,
+    RESTRICTED_ZIP3,
+    SHIFT_DAYS,
+    default_given_names,
+)
+
+
+def stamp(year, month=1, day=1, *time):
+    return dt.datetime(year, month, day, *time)
+
+
+# -- text
+
+
+def test_identity_cleanses_line_breaks(mask_values):
+    assert mask_values(["a\nb\r\nc", None, "", "x"], "Identity") == ["a b  c", None, "", "x"]
+
+
+def test_identity_leaves_other_types(mask, spark):
+    df = spark.sql("select array('a\\nb') as a, named_struct('x', 1) as s, map('k', 2) as m, 1.5d as d")
+    out = mask(df, {"A": "Identity", "s": "Identity", "m": "Identity", "d": "Identity"})
+    assert out.schema == df.schema
+    assert out.collect() == df.collect()
+
+
+@pytest.mark.parametrize("bits, algorithm", [(512, hashlib.sha512), (256, hashlib.sha256)])
+def test_hash(mask_values, bits, algorithm):
+    raw = ["ann", "  ann ", None, "", "   ", "Zoë\t"]
+    want = [
+        None if v is None else "" if v == "" else algorithm((v.strip(" ") + "salt-c").encode()).hexdigest()
+        for v in raw
+    ]
+    got = mask_values(raw, "Hash", hash_bits=bits)
+    assert got == want
+    assert got[0] == got[1]
+
+
+def test_hash_of_numbers(mask_values):
+    assert mask_values([7, None], "Hash", "bigint") == [
+        hashlib.sha512(b"7salt-c").hexdigest(),
+        None,
+    ]
+
+
+def test_hash_refuses_nested(mask_values):
+    with pytest.raises(ValueError, match="plain value"):
+        mask_values([["a"]], "Hash", "array<string>")
+
+
+def kdf(value, salt):
+    return hashlib.pbkdf2_hmac("sha1", value.encode(), salt.encode(), 2016, 64).hex()
+
+
+@pytest.mark.parametrize("how", ["distinct", "inline"])
+def test_pbe_key_hash(mask_values, how):
+    raw = ["ann", "\tann \n", None, "", "  ", "Zoë", "ann", None]
+    want = [
+        None if v is None else "" if v == "" else kdf(v.strip("".join(map(chr, range(33)))), "salt-c")
+        for v in raw
+    ]
+    assert sorted(map(str, mask_values(raw, "PBEKeyHash", key_derivation=how))) == sorted(
+        map(str, want)
+    )
+    assert len(kdf("ann", "s")) == 128
+
+
+def test_constants(mask, spark):
+    df = spark.createDataFrame([("a", None, 3)], "a string, b string, c int")
+    out = mask(df, {"a": "Clear", "b": "FixedFirstName", "c": "FixedLastName"})
+    assert out.collect()[0] == (" ", "FirstName", "LastName")
+
+
+# -- places
+
+
+def test_zip3(mask_values):
+    raw = ["12345", "12", "", "9", "123", "123456789", None, "null", "NULL", "abcdef"]
+    want = ["12300", "12000", "00000", "90000", "12300", "12300", None, None, None, "abc00"]
+    assert mask_values(raw, "Zip3Digit") == want
+
+
+def test_zip3_restricted(mask_values):
+    assert len(RESTRICTED_ZIP3) == 17
+    assert set(mask_values([z + "45" for z in RESTRICTED_ZIP3], "Zip3Digit")) == {"00000"}
+    assert set(mask_values(list(RESTRICTED_ZIP3), "Zip3Digit")) == {"00000"}
+
+
+def test_zip3_of_numbers_restores_zeros(mask_values):
+    raw = [3601, 501, 90210, 12345678, None]
+    assert mask_values(raw, "Zip3Digit", "int") == ["00000", "00500", "90200", "01200", None]
+
+
+def city_table(spark):
+    rows = [("10001", "Aville"), ("10002", "Bville"), ("10099", "Bville"), ("55555", "Cville")]
+    return spark.createDataFrame(rows, "zip string, city string")
+
+
+@pytest.mark.parametrize("random", ["uniform", "keyed"])
+def test_city(spark, mask, random):
+    raw = ["10001", "100", "55599", "77777", "12", "", None, "10000"]
+    df = spark.createDataFrame([(z, i) for i, z in enumerate(raw)], "c string, i int")
+    out = mask(df, {"c": "City", "i": "Identity"}, cities=city_table(spark), random=random)
+    got = [row["c"] for row in out.orderBy("i").collect()]
+    assert got[0] in ("Aville", "Bville") and got[1] in ("Aville", "Bville")
+    assert got[2:7] == ["Cville", "unknown", *["that is not a valid zipcode"] * 2, None]
+
+
+def test_city_draws_in_proportion(spark, mask):
+    df = spark.range(4000).select(F.lit("10001").alias("c"))
+    out = mask(df, {"c": "City"}, cities=city_table(spark), seed=1)
+    counts = {r["c"]: r["count"] for r in out.groupBy("c").count().collect()}
+    assert set(counts) == {"Aville", "Bville"}
+    assert 1.7 < counts["Bville"] / counts["Aville"] < 2.3
+
+
+def test_city_zip_column(spark, mask):
+    df = spark.createDataFrame([("Some Town", "55512")], "c string, z string")
+    out = mask(df, {"c": "City"}, cities=city_table(spark), city_zip_column="z")
+    assert out.collect()[0]["c"] == "Cville"
+
+
+def test_city_needs_a_table(mask_values):
+    with pytest.raises(ValueError, match="cities"):
+        mask_values(["10001"], "City")
+
+
+# -- dates
+
+
+def test_year_of_text(mask_values):
+    raw = ["2001-05-06", "5/6/2001", "2001-05-06 10:11:12.131", "2001-05-06T10:11:12Z",
+           "12/31/1999", "1901-01-01", None, "", "NULL", "2001", "2001-13-45", "13/45/2001", "x2001-05-06"]
+    want = [stamp(2001)] * 4 + [stamp(1999), stamp(AS_OF - 90)] + [None] * 7
+    assert mask_values(raw, "Year") == want
+
+
+@pytest.mark.parametrize("back, floor", [(89, 89), (90, 90), (91, 90)])
+def test_year_floor(mask_values, back, floor):
+    assert mask_values([f"{AS_OF - back}-02-28"], "Year") == [stamp(AS_OF - floor)]
+
+
+def test_year_of_dates_and_stamps(mask_values):
+    assert mask_values([dt.date(2004, 2, 29), None], "Year", "date") == [stamp(2004), None]
+    for dtype in ("timestamp", "timestamp_ntz"):
+        assert mask_values([stamp(2004, 12, 31, 23, 59)], "Year", dtype) == [stamp(2004)]
+
+
+def test_year_compat(mask_values):
+    raw = ["2001-05-06", "5/6/2001", "2001-05-06 10:11:12", "NULL", "", None, "2001-13-01",
+           "12/32/2001", "1901-01-01"]
+    this_year = stamp(AS_OF)
+    want = [stamp(2001), stamp(2001), this_year, this_year, this_year, None, stamp(2002),
+            stamp(2002), stamp(AS_OF - 90)]
+    assert mask_values(raw, "Year", compat=True) == want
+    assert mask_values([stamp(2004)], "Year", "timestamp_ntz", compat=True) == [this_year]
+    assert mask_values([dt.date(2004, 1, 2)], "Year", "date", compat=True) == [stamp(2004)]
+
+
+def test_year_refuses_numbers(mask_values):
+    with pytest.raises(ValueError, match="cannot read"):
+        mask_values([2001], "Year", "int")
+
+
+@pytest.mark.parametrize("back, floor", [(88, 88), (89, 89), (90, 89), (91, 89)])
+def test_day_strategies_floor(mask_values, back, floor):
+    text = f"{AS_OF - back}-02-28"
+    assert mask_values([text], "DateDay") == [stamp(AS_OF - floor)]
+    assert mask_values([text + " 01:02:03.004"], "DateTimeDay") == [
+        stamp(AS_OF - floor, 1, 1, 1, 2, 3, 4000)
+    ]
+
+
+def test_date_day(mask_values):
+    raw = ["2004-02-29", "2004-02-29 10:00:00.000", None, "null", "NULL", "bad"]
+    assert mask_values(raw, "DateDay") == [stamp(2004)] * 2 + [None] * 4
+
+
+def test_date_time_day_keeps_microseconds(mask_values):
+    raw = [stamp(2004, 2, 29, 23, 59, 58, 123456), None]
+    want = [stamp(2004, 1, 1, 23, 59, 58, 123456), None]
+    assert mask_values(raw, "DateTimeDay", "timestamp_ntz") == want
+
+
+@pytest.mark.parametrize("strategy", ["Year", "DateDay", "DateTimeDay"])
+def test_bad_dates_can_fail(mask_values, strategy):
+    assert mask_values(["NULL", None], strategy, on_bad_date="error") == [None, None]
+    with pytest.raises(PySparkException, match="unreadable date") as failure:
+        mask_values(["secret text"], strategy, on_bad_date="error")
+    assert "secret text" not in str(failure.value)
+
+
+def shifted(spark, mask, rows, strategy, dtype="string", patient="string", **options):
+    df = spark.createDataFrame(
+        [(i, v, p) for i, (v, p) in enumerate(rows)], f"i int, c {dtype}, PatientID {patient}"
+    )
+    out = mask(df, {"c": strategy, "i": "Identity"}, **options).orderBy("i")
+    return [row["c"] for row in out.collect()]
+
+
+def test_date_shift_by_every_digit(spark, mask):
+    day = dt.date(2004, 3, 1)
+    rows = [("2004-03-01", f"p{d}") for d in range(10)]
+    got = shifted(spark, mask, rows, "DateShift")
+    assert [(d - day).days for d in got] == list(SHIFT_DAYS)
+    rows = [(day, 100 + d) for d in range(10)]
+    assert got == shifted(spark, mask, rows, "DateShift", "date", "bigint")
+
+
+def test_date_shift_nulls_and_bad_text(spark, mask):
+    rows = [(None, "p1"), (None, "x"), ("NULL", "p1"), ("2004-03-01", None)]
+    got = shifted(spark, mask, rows, "DateShift")
+    assert got[:3] == [None] * 3
+    assert (got[3] - dt.date(2004, 3, 1)).days in SHIFT_DAYS
+
+
+def test_date_time_shift(spark, mask):
+    rows = [("2004-02-28 23:59:58.250", "p5"), ("2004-03-08 01:02:03.004", "p0")]
+    assert shifted(spark, mask, rows, "DateTimeShift") == [
+        stamp(2004, 3, 7, 23, 59, 58, 250000),
+        stamp(2004, 2, 29, 1, 2, 3, 4000),
+    ]
+
+
+@pytest.mark.parametrize("patient", ["abc", ""])
+def test_date_shift_bad_patient(spark, mask, patient):
+    rows = [("2004-03-01", patient)]
+    with pytest.raises(PySparkException, match="does not end in a digit"):
+        shifted(spark, mask, rows, "DateShift")
+    got = shifted(spark, mask, rows, "DateShift", on_bad_key="hash")
+    assert (got[0] - dt.date(2004, 3, 1)).days in SHIFT_DAYS
+
+
+def test_date_shift_needs_the_patient_column(mask_values):
+    with pytest.raises(ValueError, match="patientid"):
+        mask_values(["2004-03-01"], "DateShift")
+
+
+def test_date_epoch(spark, mask):
+    rows = [("2004-03-01", "2004-02-01"), ("2004-03-01T23:00:00Z", "2004-03-02"), (None, "2004-01-01"),
+            ("2004-01-01", None)]
+    df = spark.createDataFrame(rows, "c string, start string")
+    out = mask(df, {"c": {"type": "DateEpoch", "date_epoch": "START"}})
+    assert [row[0] for row in out.collect()] == [29, -1, None, None]
+
+
+def test_epoch_start_bounds(spark, mask):
+    df = spark.range(5000).select(F.lit(dt.date(2004, 3, 31)).alias("c"))
+    for compat, base in ((False, dt.date(2004, 3, 31)), (True, dt.date(2004, 5, 1))):
+        out = mask(df, {"c": ["EpochStart", "Identity"], "epoch_start": "Identity"}, compat=compat, seed=3)
+        days = [(r["EPOCH_START"] - base).days for r in out.collect()]
+        assert min(days) >= -730 and max(days) <= 729
+        assert min(days) < -650 and max(days) > 650
+        assert {r["c"] for r in out.collect()} == {dt.date(2004, 3, 31)}
+
+
+def test_epoch_start_of_text(spark, mask):
+    df = spark.createDataFrame([("2004-03-31T10:00:00Z",), (None,)], "c string")
+    out = [r[0] for r in mask(df, {"c": ["EpochStart", "Drop"], "EPOCH_START": "Identity"}).collect()]
+    assert abs((out[0] - dt.date(2004, 3, 31)).days) <= 730 and out[1] is None
+
+
+# -- people
+
+
+def test_age(mask_values):
+    assert mask_values([21, 90, 95, None], "Age", "bigint") == [21, 90, 90, None]
+    assert mask_values([21.5, 95.0, float("nan"), None], "Age", "double") == [21.5, 90.0, None, None]
+    assert mask_values(["21", "95", "9", "NaN", "x", None], "Age") == [21, 90, 9, None, None, None]
+
+
+def test_max_year(mask_values):
+    floor = AS_OF - 90
+    raw = [1800, floor - 1, floor, floor + 1, None]
+    assert mask_values(raw, "MaxYear", "int") == [floor, floor, floor, floor + 1, None]
+    assert mask_values(["1800", "2050", "x", None], "MaxYear") == [floor, 2050, None, None]
+
+
+def test_ethnicity(mask_values):
+    groups = [
+        (HISPANIC_TERMS, 41, "Hispanic or Latino"),
+        (ASIAN_TERMS, 62, "Asian"),
+        (PACIFIC_TERMS, 9, "Native Hawaiian or Other Pacific Islander"),
+        (BLACK_TERMS, 8, "Black or African American"),
+        (NATIVE_AMERICAN_TERMS, 8, "American Indian or Alaska Native"),
+    ]
+    for terms, size, label in groups:
+        assert len(terms) == size
+        assert set(mask_values([t.upper() for t in terms], "Ethnicity")) == {label}
+    assert mask_values(["White", "whatever", "", None], "Ethnicity") == ["White"] * 3 + [None]
+    assert mask_values(["x"], "Ethnicity", ethnicity_default="Other") == ["Other"]
+    assert mask_values(["samoan", None], "Ethnicity", compat=True) == [
+        "Native Hawaiian orOther Pacific Islander",
+        "",
+    ]
+
+
+@pytest.mark.parametrize(
+    "strategy, names, size",
+    [("RandomFirstName", FIRST_NAMES, 22), ("RandomLastName", LAST_NAMES, 16)],
+)
+def test_random_names(spark, mask, strategy, names, size):
+    assert len(names) == size
+    df = spark.range(3000).select(F.when(F.col("id") % 2 == 0, "x").alias("c"))
+    drawn = mask(df, {"c": strategy}, seed=5).groupBy("c").count().collect()
+    assert {row["c"] for row in drawn} == set(names)
+    keyed = mask(df, {"c": strategy}, random="keyed").distinct().collect()
+    assert len(keyed) == 2 and {row["c"] for row in keyed} <= set(names)
+
+
+def test_given_names(spark, mask):
+    names = {"female": ["Ada", "Eve"], "male": ["Bob", "Dan"]}
+    rows = [("Zoe", "Female"), ("Zoe", "FEMALE"), ("Zoe", "male"), ("Zoe", None), ("Zoe", "f"), (None, "female")]
+    df = spark.createDataFrame([(n, g) for n, g in rows * 50], "c string, gender string")
+    out = mask(df, {"c": "oncoemrFirstName", "gender": "Identity"}, given_names=names)
+    seen = {}
+    for row in out.collect():
+        seen.setdefault(row["gender"], set()).add(row["c"])
+    assert seen["Female"] == seen["FEMALE"] == {"Ada", "Eve"}
+    assert seen["female"] == {None}
+    assert seen["male"] == seen[None] == seen["f"] == {"Bob", "Dan"}
+
+
+def test_given_name_is_drawn_once_more(spark, mask):
+    """A name equal to the drawn one comes out with 1/4 rather than 1/2."""
+    df = spark.range(8000).select(F.lit("ada").alias("c"), F.lit("female").alias("gender"))
+    names = {"female": ["Ada", "Eve"], "male": ["Bob"]}
+    out = mask(df, {"c": "oncoemrFirstName"}, given_names=names, seed=9)
+    assert 0.22 < out.where("c = 'Ada'").count() / 8000 < 0.28
+
+
+def test_default_given_names():
+    names = default_given_names()
+    assert set(names) == {"female", "male"} and len(set(names["female"])) == len(names["female"])
+
+
+def test_unknown_strategy(mask_values):
+    with pytest.raises(ValueError, match="unknown strategy"):
+        mask_values(["x"], "Scramble")
+
+
+# -- against plain Python on arbitrary input
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.characters(codec="utf-8", exclude_characters="\x00"))), min_size=1, max_size=40))
+def test_text_strategies_on_any_text(spark, salts, values):
+    from conftest import make_policy
+
+    from maskflow import MaskOptions, deidentify
+
+    df = spark.createDataFrame(
+        [(i, v, v, v) for i, v in enumerate(values)], "i int, h string, t string, z string"
+    )
+    policy = make_policy(
+        {"i": "Identity", "h": {"type": "Hash", "salt_key": "c"}, "t": "Identity", "z": "Zip3Digit"}
+    )
+    rows = deidentify(df, policy, salts, MaskOptions()).orderBy("i").collect()
+    for row, v in zip(rows, values):
+        if v is None:
+            assert row[1:] == (None, None, None)
+            continue
+        assert row["h"] == ("" if v == "" else hashlib.sha512((v.strip(" ") + "salt-c").encode()).hexdigest())
+        assert row["t"] == v.replace("\n", " ").replace("\r", " ")
+        area = v[:3].ljust(3, "0")
+        if v.lower() == "null":
+            assert row["z"] is None
+        else:
+            assert row["z"] == ("00000" if area in RESTRICTED_ZIP3 else area + "00")
