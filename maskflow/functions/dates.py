@@ -10,7 +10,6 @@ from maskflow.functions.vocabulary import SHIFT_DAYS
 
 # The date texts that are understood.
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-ISO_START = r"^\d{4}-\d{2}-\d{2}([ T].*)?$"
 SLASH_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
 
 _STAMPS = (T.TimestampType, T.TimestampNTZType)
@@ -20,30 +19,39 @@ def is_null_text(c: Column) -> Column:
     return F.lower(c) == "null"
 
 
-def _slash_to_iso(c: Column) -> Column:
-    parts = F.split(c, "/")
-    return F.concat_ws("-", F.lpad(parts[2], 4, "0"), parts[0], parts[1])
+def starts_iso(c: Column) -> Column:
+    """Whether a text has the dashes of ``yyyy-MM-dd``. The cast that follows
+    checks the rest; it alone would also take a year or a month for a date."""
+    return (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-") & (F.length(c) >= 10)
+
+
+def slash_to_iso(c: Column) -> Column:
+    month_day = F.replace(F.substring_index(c, "/", 2), F.lit("/"), F.lit("-"))
+    year = F.lpad(F.substring_index(c, "/", -1), 4, "0")
+    return F.concat(year, F.lit("-"), month_day)
+
+
+def _read(c: Column, kind: str) -> Column:
+    return F.when(starts_iso(c), c.try_cast(kind)).when(
+        c.rlike(SLASH_DATE), slash_to_iso(c).try_cast(kind)
+    )
 
 
 def text_to_date(c: Column) -> Column:
     """``yyyy-MM-dd`` with or without a time, or ``M/d/yyyy``; anything else is null."""
-    return F.when(c.rlike(ISO_START), c.try_cast("date")).when(
-        c.rlike(SLASH_DATE), _slash_to_iso(c).try_cast("date")
-    )
+    return _read(c, "date")
 
 
 def text_to_stamp(c: Column) -> Column:
-    return F.when(c.rlike(ISO_START), c.try_cast("timestamp_ntz")).when(
-        c.rlike(SLASH_DATE), _slash_to_iso(c).try_cast("timestamp_ntz")
-    )
+    return _read(c, "timestamp_ntz")
 
 
 def _checked(source: Column, parsed: Column, on_bad: str) -> Column:
     """With ``error`` unreadable text fails the query; the message leaves the value out."""
     if on_bad != "error":
         return parsed
-    unreadable = source.isNotNull() & ~is_null_text(source) & parsed.isNull()
-    return F.when(unreadable, F.raise_error(F.lit("unreadable date text"))).otherwise(parsed)
+    fail = F.raise_error(F.lit("unreadable date text"))
+    return F.coalesce(parsed, F.when(source.isNotNull() & ~is_null_text(source), fail))
 
 
 def as_date(c: Column, dtype: T.DataType, on_bad: str = "null") -> Column:
@@ -73,8 +81,10 @@ def new_year(year: Column) -> Column:
 
 
 def floored_year(d: Column, first: int) -> Column:
-    """The year of ``d``, at least ``first``; ``greatest`` alone would skip nulls."""
-    return F.when(d.isNotNull(), F.greatest(F.year(d), F.lit(first)))
+    """The year of ``d``, at least ``first``; null for null, which ``greatest``
+    alone would skip."""
+    year = F.year(d)
+    return year + F.greatest(F.lit(first) - year, F.lit(0))
 
 
 def year_only(c: Column, dtype: T.DataType, as_of: int, on_bad: str = "null") -> Column:
@@ -108,14 +118,8 @@ def day_cut(c: Column, dtype: T.DataType, as_of: int, on_bad: str = "null") -> C
 def day_cut_keep_time(c: Column, dtype: T.DataType, as_of: int, on_bad: str = "null") -> Column:
     """Like ``day_cut`` with the time of day kept."""
     stamp = as_stamp(c, dtype, on_bad)
-    return F.make_timestamp_ntz(
-        floored_year(stamp, as_of - 89),
-        F.lit(1),
-        F.lit(1),
-        F.hour(stamp),
-        F.minute(stamp),
-        F.extract(F.lit("SECOND"), stamp),
-    )
+    time_of_day = stamp - stamp.cast("date").cast("timestamp_ntz")
+    return new_year(floored_year(stamp, as_of - 89)) + time_of_day
 
 
 def days_between(later: Column, earlier: Column) -> Column:
@@ -142,12 +146,11 @@ def shift_days(patient: Column, chance: Column, on_bad_key: str = "error") -> Co
 
 
 def shift_date(d: Column, days: Column) -> Column:
-    """A null date stays null without looking at the patient id."""
-    return F.when(d.isNotNull(), F.date_add(d, days))
+    return F.date_add(d, days)
 
 
 def shift_stamp(stamp: Column, days: Column) -> Column:
-    return F.when(stamp.isNotNull(), stamp + F.make_dt_interval(days))
+    return stamp + F.make_dt_interval(days)
 
 
 def epoch_start(d: Column, chance: Column, compat: bool = False) -> Column:

@@ -21,12 +21,15 @@ def keyed_chance(value: Column, salt: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
 
 
-def pick(names: Sequence[str], chance: Column) -> Column:
-    """The name at ``chance`` of the way through the list."""
+def _listed(names: Sequence[str]) -> Column:
     if any("\n" in name for name in names):
         raise ValueError("names must not contain line breaks")
-    listed = F.split(F.lit("\n".join(names)), "\n")  # folds into one array literal
-    return F.get(listed, F.floor(chance * len(names)).cast("int"))
+    return F.split(F.lit("\n".join(names)), "\n")  # folds into one array literal
+
+
+def pick(names: Sequence[str], chance: Column) -> Column:
+    """The name at ``chance`` of the way through the list."""
+    return F.get(_listed(names), F.floor(chance * len(names)).cast("int"))
 
 
 def given_name(
@@ -39,13 +42,14 @@ def given_name(
 ) -> Column:
     """A first name from the list of the gender, drawn once more if it came out equal."""
     is_female = F.coalesce(F.lower(gender) == "female", F.lit(False))
+    names = F.when(is_female, _listed(female)).otherwise(_listed(male))
+    size = F.when(is_female, len(female)).otherwise(len(male))
 
     def draw(chance: Column) -> Column:
-        return F.when(is_female, pick(female, chance)).otherwise(pick(male, chance))
+        return F.get(names, F.floor(chance * size).cast("int"))
 
-    drawn = draw(first)
-    again = F.lower(drawn) == F.lower(name)
-    return F.when(name.isNotNull(), F.when(again, draw(second)).otherwise(drawn))
+    again = F.lower(draw(first)) == F.lower(name)
+    return F.when(name.isNotNull(), F.when(again, draw(second)).otherwise(draw(first)))
 
 
 def _is_fraction(dtype: T.DataType) -> bool:
@@ -75,12 +79,11 @@ def floor_year(c: Column, dtype: T.DataType, as_of: int) -> Column:
 def ethnic_group(c: Column, other: str = "White", compat: bool = False) -> Column:
     """Group label of a term in any case; ``other`` for terms on no list."""
     term = F.lower(c)
-    group = None
-    for label, terms in ETHNIC_GROUPS:
-        if compat and terms is PACIFIC_TERMS:
-            label = PACIFIC_LABEL_COMPAT
-        hit = term.isin(*terms)
-        group = F.when(hit, label) if group is None else group.when(hit, label)
-    return F.when(c.isNotNull(), group.otherwise(other)).otherwise(
-        F.lit("" if compat else None).cast("string")
-    )
+    labels = [
+        PACIFIC_LABEL_COMPAT if compat and terms is PACIFIC_TERMS else label
+        for label, terms in ETHNIC_GROUPS
+    ]
+    hits = F.array(*[term.isin(*terms) for _, terms in ETHNIC_GROUPS])
+    first = F.array_position(hits, F.lit(True)).cast("int")
+    group = F.get(F.array(F.lit(other), *[F.lit(label) for label in labels]), first)
+    return F.when(c.isNotNull(), group).otherwise(F.lit("" if compat else None))

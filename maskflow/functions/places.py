@@ -24,6 +24,12 @@ def zip3(c: Column) -> Column:
 
     Shorter texts are filled up with zeros; null and the word "null" give null.
     """
-    area = F.rpad(F.substring(c, 1, 3), 3, "0")
-    cut = F.when(area.isin(*RESTRICTED_ZIP3), "00000").otherwise(F.concat(area, F.lit("00")))
-    return F.when(F.lower(c) != "null", cut)
+    area = F.substring(c, 1, 3)
+    filled = F.rpad(c, 3, "0")
+    return (
+        F.when((F.length(c) == 4) & (F.lower(c) == "null"), F.lit(None).cast("string"))
+        .when(area.isin(*RESTRICTED_ZIP3), "00000")
+        .when(F.length(c) >= 3, F.concat(area, F.lit("00")))
+        .when(filled.isin(*RESTRICTED_ZIP3), "00000")
+        .otherwise(F.rpad(c, 5, "0"))
+    )

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.functions.dates import ISO_START, SLASH_DATE
+from maskflow.functions.dates import SLASH_DATE
 from maskflow.functions.vocabulary import (
     ETHNIC_GROUPS,
     FIRST_NAMES,
@@ -30,9 +30,10 @@ def _texts(values) -> str:
 
 
 def _parsed(kind: str) -> str:
-    iso = "concat_ws('-', lpad(split(c, '/')[2], 4, '0'), split(c, '/')[0], split(c, '/')[1])"
+    iso = "substring_index(c, '/', -1) || '-' || replace(substring_index(c, '/', 2), '/', '-')"
+    has_dashes = "substr(c, 5, 1) = '-' AND substr(c, 8, 1) = '-' AND length(c) >= 10"
     return (
-        f"CASE WHEN c RLIKE r'{ISO_START}' THEN try_cast(c AS {kind}) "
+        f"CASE WHEN {has_dashes} THEN try_cast(c AS {kind}) "
         f"WHEN c RLIKE r'{SLASH_DATE}' THEN try_cast({iso} AS {kind}) END"
     )
 

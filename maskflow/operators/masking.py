@@ -181,8 +181,10 @@ class Masking:
         raise ValueError(f"unknown strategy type {s.type!r} for column {s.column!r}")
 
     def shift(self, s: Strategy, v: Value) -> Column:
+        """Days to shift by; the patient id of a null date is not looked at."""
         patient = self.other(self.options.patient_column, s).text()
-        return dates.shift_days(patient, self.chance(s, v.text()), self.options.on_bad_key)
+        days = dates.shift_days(patient, self.chance(s, v.text()), self.options.on_bad_key)
+        return F.when(v.col.isNotNull(), days)
 
     def given_name(self, s: Strategy, name: Column) -> Column:
         gender = self.other(self.options.gender_column, s).text()

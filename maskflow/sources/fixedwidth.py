@@ -11,19 +11,21 @@ import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskflow.functions.dates import slash_to_iso
 from maskflow.functions.text import strip_blanks
 
 CORRUPT = "_corrupt_record"
 
-# Date texts within lines, and the format dates are written in.
+# Date texts within lines. Dates are written as MM/dd/yyyy.
 DASH_DATE = r"^\d{4}-\d{2}-\d{2}$"
 SLASH_DATE = r"^\d{1,2}/\d{1,2}/\d{2,4}$"
-WRITTEN_DATE = "MM/dd/yyyy"
 
 
 @dataclass(frozen=True)
@@ -64,33 +66,38 @@ def layout_width(layout: Sequence[Field]) -> int:
 
 def _date(token: Column) -> Column:
     """``yyyy-MM-dd`` or ``M/d/y``; years of two digits are taken as they stand."""
-    month, day, year = (F.get(F.split(token, "/"), i) for i in range(3))
-    iso = F.concat_ws("-", F.lpad(year, 4, "0"), month, day)
     return F.when(token.rlike(DASH_DATE), token.try_cast("date")).when(
-        token.rlike(SLASH_DATE), iso.try_cast("date")
+        token.rlike(SLASH_DATE), slash_to_iso(token).try_cast("date")
     )
 
 
-def _read_token(token: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
-    """The typed value and, where text can be unreadable, a test for that."""
+def _typed(token: Column, item: Field, fail: bool) -> Column:
+    """The token as its field's type. Null stands for unreadable, unless that fails."""
+    dtype = item.dtype
+    if isinstance(dtype, T.StringType):
+        return token
     if isinstance(dtype, T.LongType):
-        return F.coalesce(token.try_cast("bigint"), F.lit(0).cast("bigint")), None
+        number = F.coalesce(token.try_cast("bigint"), F.lit(0).cast("bigint"))
+        return F.when(token.isNotNull(), number)
     if isinstance(dtype, T.DoubleType):
-        value = F.when(token == "Z", F.lit(0.0)).otherwise(token.try_cast("double"))
-        return value, value.isNull()
-    if isinstance(dtype, T.DateType):
+        value = F.coalesce(token.try_cast("double"), F.when(token == "Z", F.lit(0.0)))
+    else:
         value = _date(token)
-        return value, (token != "") & value.isNull()
-    return token, None
+    if fail:
+        error = F.raise_error(F.lit(f"unreadable value in field {item.name}")).cast(dtype)
+        value = F.coalesce(value, error)
+    if isinstance(dtype, T.DateType):
+        value = F.when(token != "", value)
+    return value
 
 
 def _line_too_short(line: Column, layout: Sequence[Field]) -> Column:
     """Message naming the first field end that lies beyond the line."""
-    ends, end = [], 0
+    width, beyond = 0, []
     for item in layout:
-        end += item.length
-        ends.append(F.lit(end))
-    beyond = F.array_min(F.filter(F.array(*ends), lambda e: e > F.length(line)))
+        width += item.length
+        beyond.append(F.when(F.length(line) < width, F.lit(width)))
+    beyond = F.least(*beyond, F.lit(width))
     return F.concat(
         F.lit("Expected string of length at least "),
         beyond.cast("string"),
@@ -112,31 +119,49 @@ def split_lines(
     """
     if mode not in ("FAILFAST", "PERMISSIVE"):
         raise ValueError(f"unknown mode {mode!r}")
-    line = F.col("value")
     if not layout:
         return lines.select()
-    too_short = F.length(line) < layout_width(layout)
-    if mode == "FAILFAST":
-        fail = F.raise_error(_line_too_short(line, layout)).cast("string")
-        line = F.when(too_short, fail).otherwise(line)
+    value = F.col("value")
+    too_short = F.length(value) < layout_width(layout)
+    fail = mode == "FAILFAST"
+    if fail:
+        error = F.raise_error(_line_too_short(value, layout)).cast("string")
+        line = F.when(too_short, error).otherwise(value)
     else:
-        line = F.when(~too_short, line)
-    out, bad, start = [], too_short, 1
+        line = F.when(~too_short, value)
+
+    # Three projections, as tokens and values are each looked at more than once:
+    # Spark computes them once and still drops the columns nobody selects.
+    cut, start = [], 1
     for item in layout:
-        token = strip_blanks(F.substring(line, start, item.length))
-        value, unreadable = _read_token(token, item.dtype)
-        if isinstance(item.dtype, T.LongType):
-            value = F.when(line.isNotNull(), value)
-        if unreadable is not None and mode == "FAILFAST":
-            message = F.lit(f"unreadable value in field {item.name}")
-            value = F.when(unreadable, F.raise_error(message).cast(item.dtype)).otherwise(value)
-        elif unreadable is not None:
-            bad = bad | F.coalesce(unreadable, F.lit(False))
-        out.append(value.alias(item.name))
+        cut.append(F.substring("line", start, item.length).alias(item.name))
         start += item.length
-    if mode == "PERMISSIVE":
-        out.append(F.when(bad, F.col("value")).alias(CORRUPT))
-    return lines.select(*out)
+    has_controls = value.rlike(r"[\x00-\x1f]")
+    checked = lines.select("value", line.alias("line"), has_controls.alias("has_controls"))
+    tokens = checked.select("value", "line", "has_controls", *cut)
+    trimmed = tokens.select(
+        "value",
+        "line",
+        *[
+            F.when(F.col("has_controls"), strip_blanks(F.col(item.name)))
+            .otherwise(F.trim(F.col(item.name)))
+            .alias(item.name)
+            for item in layout
+        ],
+    )
+    typed = [_typed(F.col(item.name), item, fail).alias(item.name) for item in layout]
+    if fail:
+        return trimmed.select(*typed)
+
+    numbers = [item.name for item in layout if isinstance(item.dtype, T.DoubleType)]
+    days = [item.name for item in layout if isinstance(item.dtype, T.DateType)]
+    blank_days = [(F.col(name) == "").alias(f"__blank_{name}") for name in days]
+    values = trimmed.select("value", "line", *typed, *blank_days)
+    faults = [F.col("line").isNull()]
+    faults += [F.col(name).isNull() for name in numbers]
+    faults += [F.col(name).isNull() & ~F.col(f"__blank_{name}") for name in days]
+    corrupt = F.when(reduce(or_, faults), F.col("value")).alias(CORRUPT)
+    return values.select(*[item.name for item in layout], corrupt)
 
 
 def read_fixed_width(
@@ -156,35 +181,32 @@ def read_fixed_width(
 # -- writing
 
 
-def _too_long(text: Column, item: Field) -> Column:
-    message = F.lit(f"value longer than field {item.name}")
-    return F.when(F.length(text) > item.length, F.raise_error(message).cast("string")).otherwise(
-        text
+def _written_date(c: Column, dtype: T.DataType) -> Column:
+    """``MM/dd/yyyy``, put together from the ISO text, which is faster than formatting."""
+    iso = (c if isinstance(dtype, T.DateType) else c.cast("date")).cast("string")
+    return F.concat(
+        F.substring(iso, 6, 2), F.lit("/"), F.substring(iso, 9, 2), F.lit("/"),
+        F.substring(iso, 1, 4),
     )
 
 
-def _write_token(
-    c: Column, dtype: T.DataType, item: Field, truncate: bool, zero_numbers: bool
-) -> Column:
+def _written(c: Column, dtype: T.DataType, item: Field, zero_numbers: bool) -> Column:
+    """The value as text, before it is made as wide as its field."""
     want = item.dtype
     if isinstance(want, T.DateType):
         if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             raise ValueError(f"field {item.name} takes a date, not {dtype.simpleString()}")
-        text = F.date_format(c, WRITTEN_DATE)
-    elif isinstance(want, T.StringType):
-        text = c.cast("string")
-    elif isinstance(want, T.LongType) and isinstance(dtype, T.IntegralType):
-        text = c.cast("string")
-    elif isinstance(want, T.DoubleType) and isinstance(dtype, T.NumericType):
-        text = c.cast("double").cast("string")
-    elif zero_numbers and isinstance(want, T.LongType):
-        number = c.cast("string").try_cast("bigint")
-        text = F.when(c.isNotNull(), F.coalesce(number, F.lit(0)).cast("string"))
-    else:
-        raise ValueError(f"field {item.name} ({item.format}) cannot hold {dtype.simpleString()}")
-    if not truncate:
-        text = _too_long(text, item)
-    return F.rpad(F.coalesce(text, F.lit("")), item.length, " ")
+        return _written_date(c, dtype)
+    if isinstance(want, T.StringType):
+        return c.cast("string")
+    if isinstance(want, T.LongType) and isinstance(dtype, T.IntegralType):
+        return c.cast("string")
+    if isinstance(want, T.DoubleType) and isinstance(dtype, T.NumericType):
+        return c.cast("double").cast("string")
+    if zero_numbers and isinstance(want, T.LongType):
+        number = F.coalesce(c.cast("string").try_cast("bigint"), F.lit(0))
+        return F.when(c.isNotNull(), number.cast("string"))
+    raise ValueError(f"field {item.name} ({item.format}) cannot hold {dtype.simpleString()}")
 
 
 # What fields hold whose column the table lacks, by type.
@@ -204,15 +226,23 @@ def format_lines(
     whole-number field is an error, or 0 where not a number with ``zero_numbers``.
     """
     columns = {f.name.lower(): f for f in df.schema.fields}
-    tokens = []
-    for item in layout:
+    texts, tokens = [], []
+    for i, item in enumerate(layout):
         found = columns.get(item.name.lower())
         if found is None:
             tokens.append(F.lit(ABSENT[item.dtype].ljust(item.length)[: item.length]))
-        else:
-            c = F.col("`" + found.name.replace("`", "``") + "`")
-            tokens.append(_write_token(c, found.dataType, item, truncate, zero_numbers))
-    return df.select(F.concat(*tokens).alias("value"))
+            continue
+        c = F.col("`" + found.name.replace("`", "``") + "`")
+        text = F.coalesce(_written(c, found.dataType, item, zero_numbers), F.lit(""))
+        texts.append(text.alias(f"text_{i}"))
+        text = F.col(f"text_{i}")
+        token = F.rpad(text, item.length, " ")
+        if not truncate:
+            error = F.raise_error(F.lit(f"value longer than field {item.name}")).cast("string")
+            token = F.when(F.length(text) <= item.length, token).otherwise(error)
+        tokens.append(token)
+    # Two projections, so that every text is made once though looked at twice.
+    return df.select(*texts).select(F.concat(*tokens).alias("value"))
 
 
 def write_fixed_width(
