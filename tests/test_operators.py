@@ -1,0 +1,240 @@
+"""Relational operators, audits, cities, generators, SQL functions, streams."""
+
+import datetime as dt
+import hashlib
+from collections import Counter
+
+import pytest
+from conftest import AS_OF, make_policy
+from pyspark.sql import functions as F
+
+from maskflow import MaskOptions
+from maskflow.functions.sql import register_sql
+from maskflow.functions.vocabulary import FIRST_NAMES, LAST_NAMES, default_given_names
+from maskflow.operators import audit, cities, generate, relational
+from maskflow.sources.jdbc import column_bounds
+from maskflow.streaming.masking import deidentify_stream, write_stream
+
+# -- relational
+
+
+def test_filters_and_sums(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("", 3, 4), (None, None, 5)], "n string, x int, y int")
+    assert relational.not_null(df, "n").count() == 2
+    assert relational.null_or_empty(df, "n").count() == 2
+    assert [r["sum"] for r in relational.with_sum(df, "x", "y").collect()] == [3, 7, None]
+
+
+def test_days_since_epoch(spark):
+    df = spark.createDataFrame([(dt.date(1970, 1, 11),), (dt.date(1969, 12, 31),), (None,)], "d date")
+    days = df.select(relational.days_since_epoch(F.col("d")))
+    assert [r[0] for r in days.collect()] == [10, -1, None]
+
+
+def test_count_through_chain_equals_the_plain_join(spark):
+    named = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (3, "b"), (4, None)], "k int, name string")
+    linked = spark.createDataFrame([(1, 10), (1, 11), (3, 12), (4, 13), (9, 14), (None, 15)], "k int, link int")
+    facts = spark.createDataFrame([(10,)] * 5 + [(12,)] * 2 + [(13,), (14,), (15,), (None,)], "link int")
+    got = relational.count_through_chain(named, linked, facts, "name", "k", "k", "link", "link")
+    want = named.join(linked, "k").join(facts, "link").groupBy("name").count()
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_bounds(spark):
+    assert column_bounds(spark.range(5, 9), "id").collect() == [(5, 8)]
+    assert column_bounds(spark.range(0), "id").collect() == [(None, None)]
+
+
+# -- audits
+
+
+def test_leaks(spark):
+    raw = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2), (None, 3)], "n string, k int")
+    masked = spark.createDataFrame([("x", 1), ("b", 9), (None, 3)], "n string, k int")
+    assert [r[0] for r in audit.leaked_values(raw, masked, "n", "n").where("value is not null").collect()] == ["b"]
+    report = {r["column"]: tuple(r)[1:] for r in audit.leak_report(raw, masked, ["n", "k"]).collect()}
+    assert report == {"n": (2, 2, 1), "k": (3, 3, 2)}
+
+
+def test_join_size_equals_the_join(spark):
+    a = spark.createDataFrame([(1,)] * 5 + [(2,), (None,)], "x int")
+    b = spark.createDataFrame([(1,)] * 3 + [(3,), (None,)], "y int")
+    assert audit.join_size(a, b, "x", "y").collect() == [(15,)]
+    assert audit.join_size(a, b.where("y = 3"), "x", "y").collect() == [(0,)]
+    assert audit.joins_preserved((a, b), (a, b.where("y = 3")), "x", "y").collect() == [(15, 0)]
+
+
+# -- cities
+
+
+def test_city_lists(spark):
+    rows = [("10001", "B"), ("10002", "A"), ("10003", "A"), ("99999", "C")]
+    table = spark.createDataFrame(rows, "zip string, city string")
+    assert {r["zip3"]: r["cities"] for r in cities.cities_by_area(table).collect()} == {
+        "100": ["A", "A", "B"],
+        "999": ["C"],
+    }
+    sizes, numbered = cities.numbered_cities(table)
+    assert {tuple(r) for r in sizes.collect()} == {("100", 3), ("999", 1)}
+    assert sorted(map(tuple, numbered.collect()), key=str)[0] == ("100", "A", 0)
+
+
+@pytest.mark.parametrize("rows", [500_000, 0])
+def test_large_city_tables_are_not_broadcast(spark, mask, monkeypatch, rows):
+    monkeypatch.setattr(cities, "BROADCAST_ROWS", rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = spark.createDataFrame([("10001", "A")], "zip string, city string")
+        df = spark.createDataFrame([("10077",), ("20001",)], "c string")
+        out = mask(df, {"c": "City"}, cities=table)
+        assert sorted(r[0] for r in out.collect()) == ["A", "unknown"]
+        shown = out._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in shown) == (rows == 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+# -- generators
+
+
+def test_patients(spark):
+    made = generate.patients(generate.id_range(spark, 500), seed=1)
+    rows = made.collect()
+    cohort = generate.Cohort()
+    assert [r["patient_id"] for r in rows] == list(range(1, 501))
+    assert {r["first_name"] for r in rows} == set(cohort.first_names)
+    assert {r["last_name"] for r in rows} == set(cohort.last_names)
+    assert {r["gender"] for r in rows} == {"F", "M"} and {r["race"] for r in rows} == set(cohort.races)
+    assert all(1_000_000 <= int(r["patient_mrn"]) < 9_999_999 for r in rows)
+    assert all(10_000 <= int(r["zip"]) < 99_999 for r in rows)
+    assert {r["dob"].year for r in rows} == set(range(1950, 1999))
+    assert {r["dob"].month for r in rows} == set(range(1, 12)) and {r["dob"].day for r in rows} == set(range(1, 28))
+
+
+def test_rows_do_not_depend_on_partitions(spark):
+    ids = generate.id_range(spark, 300)
+    for make in (
+        lambda ids: generate.patients(ids, 3),
+        lambda ids: generate.encounters(ids, 2, 3),
+        lambda ids: generate.heart_rates(ids, 3),
+    ):
+        assert sorted(make(ids).collect()) == sorted(make(ids.repartition(7)).collect())
+    assert generate.patients(ids, 3).collect() != generate.patients(ids, 4).collect()
+    part = generate.patients(ids.where("patient_id > 290"), 3).collect()
+    assert part == generate.patients(ids, 3).collect()[290:]
+
+
+def test_encounters_belong_to_patients(spark):
+    made = generate.encounters(generate.id_range(spark, 40), 3, seed=1).collect()
+    assert Counter(r["patient_id"] for r in made) == {i: 3 for i in range(1, 41)}
+    assert {r["visit_type"] for r in made} == {"Office Visit", "Test", "ER"}
+    assert all("\n" in r["notes"] for r in made)
+    assert {r["encounter_date"].year for r in made} <= set(range(2000, 2016))
+
+
+def test_heart_rates(spark):
+    made = generate.heart_rates(generate.id_range(spark, 3), seed=1).orderBy("patient_id", "timestamp").collect()
+    assert len(made) == 3 * 361
+    first = made[:361]
+    assert {b["timestamp"] - a["timestamp"] for a, b in zip(first, first[1:])} == {dt.timedelta(milliseconds=60)}
+    assert first[0]["timestamp"].time() == dt.time(0)
+    assert {r["heartrate"] for r in made} <= set(range(40, 100))
+
+
+def test_batch_cohort(spark):
+    ids = generate.batch_ids(spark, 50, seed=1)
+    people = generate.patients(ids, 1, generate.BATCH_COHORT)
+    assert "patient_mrn" not in people.columns and dict(people.dtypes)["zip"] == "bigint"
+    visits = generate.encounters(ids, 1, 1, generate.BATCH_COHORT)
+    rates = generate.heart_rates_of(visits, 1)
+    assert rates.count() == 50 * 24
+    dates = {r["patient_id"]: r["encounter_date"] for r in visits.collect()}
+    for row in rates.collect():
+        assert row["timestamp"].date() == dates[row["patient_id"]]
+        assert row["timestamp"].second % 10 == 0 and 40 <= row["heartrate"] <= 100
+
+
+# -- SQL functions
+
+
+def test_sql_functions(spark, mask):
+    table = spark.createDataFrame([("10001", "Aville")], "zip string, city string")
+    names = register_sql(spark, AS_OF, cities=table)
+    assert len(names) == 14
+    rows = [
+        (f"{y}", z, t, i)
+        for i, (y, z, t) in enumerate(
+            [("2001-05-06", "03699", "Cuban"), ("5/6/2001", "9", "x"), ("1901-01-01 01:02:03.5", None, None),
+             ("soon", "NULL", "SAMOAN")]
+        )
+    ]
+    df = spark.createDataFrame(rows, "d string, z string, t string, i int").withColumn("patientid", F.lit("p5"))
+    got = df.selectExpr(
+        "i", "DateScrub(d) a", "DateDayTransform(d) b", "DateTimeDayTransform(d) c",
+        "DateShiftTransform(d, patientid) e", "DateTimeShiftTransform(d, patientid) f", "Zip3(z) g", "Ethnicity(t) h",
+    )
+    masked = df.select("i", *[F.col("d").alias(n) for n in "abcef"], F.col("z").alias("g"), F.col("t").alias("h"), "patientid")
+    want = mask(
+        masked,
+        {"i": "Identity", "a": "Year", "b": "DateDay", "c": "DateTimeDay", "e": "DateShift", "f": "DateTimeShift",
+         "g": "Zip3Digit", "h": "Ethnicity"},
+    )
+    assert got.orderBy("i").collect() == want.orderBy("i").collect()
+
+
+def test_random_sql_functions(spark):
+    register_sql(spark, AS_OF, cities=spark.createDataFrame([("10001", "Aville"), ("10002", "Bville")], "zip string, city string"))
+    out = spark.range(400).selectExpr(
+        "FirstName('x') f", "LastName('x') l", "oncoemrFirstName('x', 'FEMALE') g", "oncoemrFirstName(null, 'x') n",
+        "datediff(EpochStart('2001-01-01'), date'2001-01-01') e", "CleanseData('a\\nb') c",
+        "CityTransform('10099') y", "CityTransform('12') z", "CityTransform('77777') u",
+        "DateShiftTransform('2001-01-10', null) s",
+    ).collect()
+    given = default_given_names()
+    assert {r["f"] for r in out} == set(FIRST_NAMES) and {r["l"] for r in out} == set(LAST_NAMES)
+    assert {r["g"] for r in out} <= set(given["female"]) and {r["n"] for r in out} == {None}
+    assert all(-730 <= r["e"] <= 729 for r in out) and len({r["e"] for r in out}) > 100
+    assert {r["c"] for r in out} == {"a b"}
+    assert {r["y"] for r in out} <= {"Aville", "Bville"}
+    assert {r["z"] for r in out} == {"that is not a valid zipcode"} and {r["u"] for r in out} == {"unknown"}
+    assert len({r["s"] for r in out}) == 10
+
+
+def test_pbe_key_hash_in_sql(spark):
+    register_sql(spark)
+    row = spark.sql("select PBEKeyHash(' ann ', 's') a, PBEKeyHash('', 's') b, PBEKeyHash(string(null), 's') c").first()
+    assert row == (hashlib.pbkdf2_hmac("sha1", b"ann", b"s", 2016, 64).hex(), "", None)
+
+
+# -- streams
+
+
+def test_stream_is_masked_like_a_table(spark, salts, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    table = spark.createDataFrame([("10001", "Aville")], "zip string, city string")
+    df = spark.range(60).select(
+        F.col("id").cast("string").alias("patientid"),
+        F.lit("2001-05-06").alias("d"),
+        F.when(F.col("id") % 2 == 0, "10077").alias("z"),
+        (F.col("id") % 4).cast("string").alias("p"),
+    )
+    df.repartition(3).write.parquet(str(raw))
+    policy = make_policy(
+        {
+            "patientid": {"type": "Hash", "salt_key": "k"},
+            "d": "DateShift",
+            "z": "City",
+            "p": {"type": "PBEKeyHash", "salt_key": "k"},
+        }
+    )
+    options = MaskOptions(as_of_year=AS_OF, cities=table)
+    stream = spark.readStream.schema(df.schema).parquet(str(raw))
+    masked = deidentify_stream(stream, policy, salts, options)
+    assert masked.isStreaming
+    for _ in range(2):  # the second run finds nothing new
+        write_stream(masked, str(out), str(tmp_path / "progress"), available_now=True).awaitTermination()
+    from maskflow import deidentify
+
+    want = deidentify(df, policy, salts, options)
+    assert sorted(spark.read.parquet(str(out)).collect(), key=str) == sorted(want.collect(), key=str)
