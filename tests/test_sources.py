@@ -247,7 +247,7 @@ def test_claim_layouts():
 def test_tokens(spark):
     assert cut(
         spark,
-        "   42  ann     12.50 2001-02-03",
+        "   42  ann    12.502001-02-03",
         "abc  \tb\t          Z5/6/2001  extra",
         "~          1e2     05/06/12  ",
     ) == [
