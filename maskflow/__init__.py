@@ -1,6 +1,6 @@
 """Masking of sensitive columns in Spark tables, driven by JSON policies."""
 
-from maskflow.operators.masking import deidentify
+from maskflow.operators.masking import deidentify, policy_coverage
 from maskflow.plans.options import MaskOptions
 from maskflow.plans.policy import (
     Strategy,
@@ -22,4 +22,5 @@ __all__ = [
     "match_policy",
     "parse_policies",
     "parse_table_policy",
+    "policy_coverage",
 ]

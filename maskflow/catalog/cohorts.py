@@ -38,7 +38,9 @@ def sql_date(field: str, years, cohort: Cohort, row: str) -> str:
 
 
 def customer_ids(spark, folder):
-    return load(spark, folder, "customer").select((F.col("c_custkey") + 1).alias("patient_id"))
+    """Ids from the customers, spread over the cluster before rows are made of them."""
+    ids = load(spark, folder, "customer").select((F.col("c_custkey") + 1).alias("patient_id"))
+    return ids.repartition(spark.sparkContext.defaultParallelism, "patient_id")
 
 
 IDS = "SELECT c_custkey + 1 AS patient_id FROM customer"

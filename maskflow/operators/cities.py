@@ -39,12 +39,16 @@ def add_city(
     """Add ``out``: the city at ``chance`` of the way through the zip's area.
 
     Two equi-joins, by area and by (area, place), in place of a list per row.
-    The postal table is broadcast only while its row count allows; beyond that
-    Spark joins by its own size estimates and splits skewed partitions.
+    Either side is broadcast only while its row count allows. A postal table
+    beyond that still has few areas, and the join by (area, place) spreads the
+    rows of a hot area over its places.
     """
     sizes, numbered = numbered_cities(cities)
-    if cities.count() <= BROADCAST_ROWS:
-        sizes, numbered = F.broadcast(sizes), F.broadcast(numbered)
+    rows = cities.count()
+    if rows <= BROADCAST_ROWS:
+        numbered = F.broadcast(numbered)
+    if rows <= BROADCAST_ROWS or sizes.count() <= BROADCAST_ROWS:
+        sizes = F.broadcast(sizes)
     zip3, place, n, city = (f"{out}_{part}" for part in ("zip3", "place", "n", "city"))
     sizes = sizes.select(F.col("zip3").alias(zip3), F.col("n").alias(n))
     numbered = numbered.select(

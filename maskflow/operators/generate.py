@@ -2,7 +2,9 @@
 
 Every value is picked by a digest of seed, field and row id. Rows thus depend
 neither on partitioning nor on retries, and any range of ids can be made by
-itself. Ids come as a DataFrame: a range, or the keys of an existing table.
+itself. Ids come as a DataFrame: a range, or the keys of an existing table. As
+one id can make hundreds of rows, ids of few partitions should be spread over
+more of them first (``repartition``), which moves the ids only.
 """
 
 from __future__ import annotations
@@ -82,15 +84,18 @@ class _Picker:
         )
 
 
-def id_range(spark: SparkSession, n: int, name: str = "patient_id") -> DataFrame:
-    """Ids 1 to n."""
-    return spark.range(1, n + 1).select(F.col("id").alias(name))
+def id_range(spark: SparkSession, n: int, partitions: int | None = None) -> DataFrame:
+    """Patient ids 1 to n."""
+    ids = spark.range(1, n + 1, numPartitions=partitions)
+    return ids.select(F.col("id").alias("patient_id"))
 
 
-def batch_ids(spark: SparkSession, n: int, seed: int) -> DataFrame:
+def batch_ids(
+    spark: SparkSession, n: int, seed: int, partitions: int | None = None
+) -> DataFrame:
     """n patient ids picked at random; some may come twice."""
     picker = _Picker(seed, F.col("id"))
-    return spark.range(n).select(picker.number("patient", BATCH_IDS).alias("patient_id"))
+    return spark.range(0, n, numPartitions=partitions).select(picker.number("patient", BATCH_IDS).alias("patient_id"))
 
 
 def patients(ids: DataFrame, seed: int, cohort: Cohort = Cohort()) -> DataFrame:

@@ -95,10 +95,10 @@ class Masking:
             self._secrets[key] = text.secret(self.df.sparkSession, self.salts.get(key))
         return self._secrets[key]
 
-    def chance(self, strategy: Strategy, value: Column, label: str = "") -> Column:
+    def chance(self, strategy: Strategy, value: Value, label: str = "") -> Column:
         """A number from 0 up to 1: drawn anew per row, or set by value and salt."""
         if self.options.random == "keyed":
-            tagged = F.concat(F.lit(label), F.coalesce(value, F.lit(""))) if label else value
+            tagged = F.concat(F.lit(label), F.coalesce(value.text(), F.lit("")))
             return people.keyed_chance(tagged, self.secret_salt(strategy))
         name = f"__draw_{len(self.draws)}"
         seed = self.options.draw_seed(f"{strategy.column}/{strategy.type}/{len(self.draws)}")
@@ -173,24 +173,24 @@ class Masking:
                 group = people.ethnic_group(v.text(), o.ethnicity_default, o.compat)
                 return Value(group, STRING)
             case "RandomFirstName":
-                return Value(people.pick(FIRST_NAMES, self.chance(s, v.text())), STRING)
+                return Value(people.pick(FIRST_NAMES, self.chance(s, v)), STRING)
             case "RandomLastName":
-                return Value(people.pick(LAST_NAMES, self.chance(s, v.text())), STRING)
+                return Value(people.pick(LAST_NAMES, self.chance(s, v)), STRING)
             case "oncoemrFirstName":
-                return Value(self.given_name(s, v.text()), STRING)
+                return Value(self.given_name(s, v), STRING)
         raise ValueError(f"unknown strategy type {s.type!r} for column {s.column!r}")
 
     def shift(self, s: Strategy, v: Value) -> Column:
         """Days to shift by; the patient id of a null date is not looked at."""
         patient = self.other(self.options.patient_column, s).text()
-        days = dates.shift_days(patient, self.chance(s, v.text()), self.options.on_bad_key)
+        days = dates.shift_days(patient, self.chance(s, v), self.options.on_bad_key)
         return F.when(v.col.isNotNull(), days)
 
-    def given_name(self, s: Strategy, name: Column) -> Column:
+    def given_name(self, s: Strategy, v: Value) -> Column:
         gender = self.other(self.options.gender_column, s).text()
         names = self.options.given_names
-        first, second = self.chance(s, name, "1"), self.chance(s, name, "2")
-        return people.given_name(name, gender, names["female"], names["male"], first, second)
+        first, second = self.chance(s, v, "1"), self.chance(s, v, "2")
+        return people.given_name(v.text(), gender, names["female"], names["male"], first, second)
 
     def lookup(self, kind: str, value: Column, level: int, **extra) -> Value:
         out = f"__lookup_{len(self.lookups)}"
@@ -212,11 +212,12 @@ class Masking:
         if self.options.city_zip_column:
             v = self.other(self.options.city_zip_column, s)
         zip_code = places.zip_text(v.col, v.dtype)
-        return self.lookup("city", zip_code, v.level, chance=self.chance(s, zip_code))
+        chance = self.chance(s, Value(zip_code, STRING))
+        return self.lookup("city", zip_code, v.level, chance=chance)
 
     def epoch_start(self, s: Strategy, v: Value) -> Value:
         day = dates.as_date(v.col, v.dtype, self.options.on_bad_date)
-        chance = self.chance(s, v.text())
+        chance = self.chance(s, v)
         return Value(dates.epoch_start(day, chance, self.options.compat), DATE)
 
     def chain(self, strategies: list[Strategy], value: Value | None) -> Value | None:
@@ -325,11 +326,11 @@ def deidentify(
     for name in df.columns:
         if name.lower() not in chains:
             logger.warning("no strategy for column %s, dropping it", name)
-        elif masked[name.lower()] is not None:
+        elif masked.get(name.lower()) is not None:
             out.append(masked[name.lower()].col.alias(name))
     for key, (name, value) in masking.derived.items():
         if key in chains:
-            if masked[key] is not None and key not in masking.source:
+            if masked.get(key) is not None and key not in masking.source:
                 out.append(masked[key].col.alias(name))
         elif masking.options.keep_derived:
             out.append(value.col.alias(name))
@@ -340,6 +341,30 @@ def deidentify(
     return df.select(*out)
 
 
+@dataclass(frozen=True)
+class Coverage:
+    """How a policy and a table fit: columns treated, removed, and policy columns
+    that the table lacks, which often are misspelt."""
+
+    treated: list[str]
+    removed: list[str]
+    missing: list[str]
+
+
+def policy_coverage(df: DataFrame, policy: TablePolicy) -> Coverage:
+    """Compare a policy with a table's columns without reading the table."""
+    listed = {name.lower(): name for name in policy.chains()}
+    present = {name.lower() for name in df.columns}
+    derived = {f"{s.column}_duplicate".lower() for s in policy.strategies if s.type == "Duplicate"}
+    if any(s.type == "EpochStart" for s in policy.strategies):
+        derived.add(EPOCH_START.lower())
+    return Coverage(
+        [name for name in df.columns if name.lower() in listed],
+        [name for name in df.columns if name.lower() not in listed],
+        [name for key, name in listed.items() if key not in present | derived],
+    )
+
+
 def _missing(name: str, strategies: list[Strategy], masking: Masking) -> Value | None:
     """Treatment of a policy column that the table lacks.
 

@@ -18,6 +18,8 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line; empty fields are null, bad fields too.
 
+    Files read together must agree in their headers; they are compared.
+
     ``infer_types`` reads the data once more to find the types, except for
     ``text_columns``, which stay text so that zips and ids keep their zeros.
     Without it every column is text and one pass is enough; strategies read
@@ -27,6 +29,7 @@ def read_csv(
     path = path if isinstance(path, str) else list(path)
     if schema is not None:
         return reader.schema(schema).csv(path)
+    reader = reader.option("enforceSchema", False)
     if not infer_types:
         return reader.csv(path)
     df = reader.option("inferSchema", True).csv(path)

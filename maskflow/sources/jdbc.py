@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class JdbcConnection:
-    """Where a database is. Credentials never appear in its repr."""
+    """Where a database is. Credentials never appear in its repr.
+
+    ``write_connections`` bounds how many tasks write at a time: a cluster has
+    more cores than a database takes connections.
+    """
 
     url: str
     user: str = ""
@@ -22,6 +26,7 @@ class JdbcConnection:
     schema: str = ""
     fetch_size: int = 10_000
     batch_size: int = 10_000
+    write_connections: int = 32
 
     @classmethod
     def from_json(cls, text: str) -> JdbcConnection:
@@ -74,6 +79,7 @@ class JdbcConnection:
             **self.options(),
             "dbtable": self.table(name),
             "batchsize": str(self.batch_size),
+            "numPartitions": str(self.write_connections),
         }
 
 
@@ -127,8 +133,18 @@ def read_jdbc(
     name: str,
     partition_column: str | None = None,
     partitions: int | None = None,
+    cuts: list | None = None,
 ) -> DataFrame:
-    """A table, in parallel ranges of ``partition_column`` if one is given."""
+    """A table, in parallel ranges of ``partition_column`` if one is given.
+
+    Ranges are of equal width between the least and the greatest value, or
+    split at ``cuts`` for keys whose values crowd.
+    """
+    if partition_column and cuts:
+        options = connection.read_options(name)
+        url, table = options.pop("url"), options.pop("dbtable")
+        predicates = range_predicates(partition_column, cuts)
+        return spark.read.jdbc(url, table, predicates=predicates, properties=options)
     bounds = None
     if partition_column:
         query = bounds_query(connection.table(name), partition_column)
@@ -140,7 +156,15 @@ def read_jdbc(
 
 
 def write_jdbc(
-    df: DataFrame, connection: JdbcConnection, name: str, mode: str = "overwrite"
+    df: DataFrame,
+    connection: JdbcConnection,
+    name: str,
+    mode: str = "overwrite",
+    truncate: bool = False,
 ) -> None:
-    """Overwrite or append; inserts are sent in batches."""
-    df.write.format("jdbc").options(**connection.write_options(name)).mode(mode).save()
+    """Overwrite or append; inserts are sent in batches.
+
+    ``truncate`` empties an existing table in place of making it anew.
+    """
+    options = {**connection.write_options(name), "truncate": str(truncate).lower()}
+    df.write.format("jdbc").options(**options).mode(mode).save()

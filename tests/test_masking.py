@@ -9,7 +9,7 @@ import pytest
 from conftest import AS_OF, make_policy
 from pyspark.sql import functions as F
 
-from maskflow import MaskOptions, Salts, deidentify
+from maskflow import MaskOptions, Salts, deidentify, policy_coverage
 from maskflow.operators import keys
 
 
@@ -59,6 +59,22 @@ def test_missing_columns(table, mask):
     assert mask(table, {"id": "Identity", "none": "Hash"}, on_missing="warn").columns == ["Id"]
 
 
+def test_coverage(table):
+    policy = make_policy(
+        {"ID": "Duplicate", "id_duplicate": "Identity", "nmae": "Hash", "born": "EpochStart", "epoch_start": "Clear"}
+    )
+    found = policy_coverage(table, policy)
+    assert found.treated == ["Id", "born"]
+    assert found.removed == ["name", "secret"]
+    assert found.missing == ["nmae"]
+
+
+def test_draws_need_no_readable_value(spark, mask):
+    df = spark.sql("select array(1) as a, named_struct('x', 1) as s")
+    row = mask(df, {"a": "RandomFirstName", "s": "RandomLastName"}).collect()[0]
+    assert all(isinstance(value, str) for value in row)
+
+
 def test_odd_column_names(spark, mask):
     df = spark.createDataFrame([("a", "b", "c")], ["x.y", "q`r", "s t"])
     out = mask(df, {"x.y": "Identity", "q`r": "Clear", "s t": "Duplicate", "s t_duplicate": "Identity"})

@@ -160,6 +160,15 @@ def test_range_options():
     assert "min(id)" in jdbc.bounds_query("t", "id") and "FROM t" in jdbc.bounds_query("t", "id")
 
 
+def test_csv_headers_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n3,4\n")
+    paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, paths, infer_types=False).collect()
+    assert read_csv(spark, paths[:1]).select("y").collect() == [(2,)]
+
+
 class FakeReader:
     """Stands in for spark.read: records options, answers the bounds query."""
 
@@ -178,6 +187,10 @@ class FakeReader:
         self.loads.append(self.current)
         return self
 
+    def jdbc(self, url, table, predicates, properties):
+        self.loads.append((url, table, predicates, properties))
+        return self
+
     def first(self):
         return self.bounds
 
@@ -198,6 +211,31 @@ def test_read_jdbc_in_ranges(spark):
     Session.read = FakeReader(None)
     jdbc.read_jdbc(Session, connection, "t")
     assert len(Session.read.loads) == 1
+    Session.read = FakeReader(None)
+    jdbc.read_jdbc(Session, connection, "t", "id", cuts=[5])
+    url, table, predicates, properties = Session.read.loads[0]
+    assert (url, table) == ("u", "s.t") and "url" not in properties
+    assert predicates == ["id < 5 OR id IS NULL", "id >= 5"]
+
+
+def test_write_jdbc():
+    class Writer(FakeReader):
+        def mode(self, mode):
+            self.current["mode"] = mode
+            return self
+
+        def save(self):
+            self.loads.append(self.current)
+
+    class Table:
+        write = Writer(None)
+
+    jdbc.write_jdbc(Table, jdbc.JdbcConnection("u"), "t", "append")
+    sinks.jdbc_sink(jdbc.JdbcConnection("u", schema="s"))("t", Table)
+    first, second = Table.write.loads
+    assert first["mode"] == "append" and first["dbtable"] == "t" and first["truncate"] == "false"
+    assert second["mode"] == "overwrite" and second["dbtable"] == "s.t"
+    assert second["numPartitions"] == "32"
 
 
 @pytest.mark.parametrize("cuts", [[], [5], [2, 5, 5, 8]])
