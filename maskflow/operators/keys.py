@@ -34,8 +34,9 @@ def derive_distinct(values: DataFrame, salt: str, run_key: Column) -> DataFrame:
 
     The count lets equal values meet in partial aggregates, so a hot value is
     shuffled once per task. Derivation is pure computation, which the small
-    byte size of its input hides from adaptive coalescing: it gets a partition
-    count of its own.
+    byte size of its input hides from adaptive coalescing: its input is dealt
+    out over a fixed number of tasks. (Repartitioned by value it would not be,
+    as Spark drops a repartitioning that the grouping already provides.)
     """
     spark = values.sparkSession
     shared_folder(spark)
@@ -47,7 +48,7 @@ def derive_distinct(values: DataFrame, salt: str, run_key: Column) -> DataFrame:
         values.where(F.col("value").isNotNull())
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .repartition(tasks, "value")
+        .repartition(tasks)
     )
     derived = counted.select(
         _digest(F.col("value"), run_key).alias("digest"),

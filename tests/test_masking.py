@@ -234,6 +234,23 @@ def test_keys_by_broadcast_and_by_shuffle(spark, mask, shuffled_joins, monkeypat
     assert ("SortMergeJoin" in text) == (limit == 0)
 
 
+def test_derivation_is_dealt_out_over_all_cores(spark):
+    """Whatever the shuffle partitions, which adaptive execution would merge."""
+    from maskflow.functions.text import secret
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    values = spark.range(300).select((F.col("id") % 40).cast("string").alias("value"))
+    try:
+        for partitions in (8, 16, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            derived = keys.derive_distinct(values, "s", secret(spark, "run"))
+            sizes = derived.groupBy(F.spark_partition_id()).count().collect()
+            assert len(sizes) == max(16, partitions) and max(r["count"] for r in sizes) <= 16
+            assert derived.count() == 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_fillers_spread_rows_that_need_no_key(spark, shuffled_joins, monkeypatch):
     """Null and hot rows do not meet in one partition of the shuffled join."""
     monkeypatch.setattr(keys, "HOT_VALUES", 1)
