@@ -29,7 +29,7 @@ from maskflow.functions.vocabulary import (
     default_given_names,
 )
 from maskflow.functions.sql import register_sql
-from maskflow.operators.cities import cities_by_area
+from maskflow.operators.cities import cities_by_area, numbered_cities
 
 # -- text
 
@@ -324,6 +324,20 @@ def cities_by_area_query(spark, folder):
     )
 
 
+@query(
+    "numbered_cities",
+    f"""
+    SELECT substr(zip, 1, 3) AS zip3, city,
+           row_number() OVER (PARTITION BY substr(zip, 1, 3) ORDER BY city) - 1 AS place,
+           count(*) OVER (PARTITION BY substr(zip, 1, 3)) AS n
+    FROM ({POSTAL})
+    """,
+)
+def numbered_cities_query(spark, folder):
+    sizes, numbered = numbered_cities(postal(spark, folder))
+    return numbered.join(sizes, "zip3")
+
+
 # -- dates
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows up to which the postal table is broadcast (about 100 bytes each).
+# Rows up to which the postal table is broadcast or grouped (about 100 bytes each).
 BROADCAST_ROWS = 500_000
 
 # Texts given for zips that cannot be looked up.
@@ -16,9 +16,11 @@ UNKNOWN = "unknown"
 def cities_by_area(cities: DataFrame) -> DataFrame:
     """(zip, city) grouped to (zip3, cities), the cities sorted and complete.
 
-    For reports on postal tables; masking itself uses ``numbered_cities``,
-    which holds no list per area.
+    For postal tables of a known size, since an area becomes one row: larger
+    ones are refused. Masking uses ``numbered_cities``, which needs no lists.
     """
+    if cities.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        raise ValueError(f"more than {BROADCAST_ROWS} cities: use numbered_cities")
     return (
         cities.groupBy(F.substring("zip", 1, 3).alias("zip3"))
         .agg(F.sort_array(F.collect_list("city")).alias("cities"))

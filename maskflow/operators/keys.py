@@ -58,27 +58,34 @@ def derive_distinct(values: DataFrame, salt: str, run_key: Column) -> DataFrame:
     return derived.checkpoint()
 
 
-def _join_by_size(
-    frame: DataFrame, keys: DataFrame, key: str, out: str, spread_on: list[str], limit: int
-) -> DataFrame:
+def _join_broadcast(frame: DataFrame, keys: DataFrame, key: str, out: str) -> DataFrame:
     """Left join of ``keys`` by ``key``, adding ``derived`` as ``out``."""
     small = keys.select(F.col("digest").alias(key), F.col("derived").alias(out))
-    if keys.count() * ROW_BYTES <= limit:
-        return frame.join(F.broadcast(small), key, "left")
+    return frame.join(F.broadcast(small), key, "left")
+
 
-    # The most frequent values, a fixed number of fixed-length rows, are looked
-    # up by broadcast. They and null keys then take part in the shuffle under a
-    # filler that matches nothing and differs from row to row.
+def _join_shuffled(
+    frame: DataFrame, keys: DataFrame, key: str, out: str, spread_on: list[str]
+) -> DataFrame:
+    """The same for more keys than are broadcast.
+
+    The most frequent values, a fixed number of fixed-length rows, are looked up
+    by broadcast. They and null keys then take part in the shuffle under fillers
+    that match nothing. A filler comes from the row and its partition: it stays
+    the same when a task is repeated, and copies of a row spread as well.
+    """
+    cold = keys.select(F.col("digest").alias(key), F.col("derived").alias(f"{out}_cold"))
     hot = keys.orderBy(F.desc("n_rows"), "digest").limit(HOT_VALUES)
     hot = hot.select(F.col("digest").alias(key), F.col("derived").alias(f"{out}_hot"))
-    filler = F.concat(F.lit("-"), F.xxhash64(*[_quoted(c) for c in spread_on]).cast("string"))
+    row = F.xxhash64(F.spark_partition_id(), *[_quoted(name) for name in spread_on])
+    filler = F.concat(F.lit("-"), row.cast("string"))
     joined = (
         frame.join(F.broadcast(hot), key, "left")
         .withColumn(
             key, F.when(F.col(f"{out}_hot").isNull() & F.col(key).isNotNull(), F.col(key))
         )
         .withColumn(key, F.coalesce(F.col(key), filler))
-        .join(small.withColumnRenamed(out, f"{out}_cold"), key, "left")
+        .join(cold, key, "left")
     )
     return joined.withColumn(out, F.coalesce(f"{out}_hot", f"{out}_cold")).drop(
         f"{out}_hot", f"{out}_cold"
@@ -103,9 +110,12 @@ def add_derived_keys(
     run_key = secret(frame.sparkSession, secrets.token_hex(32))
     values = frame.select(F.explode(F.array(*inputs.values())).alias("value"))
     keys = derive_distinct(values, salt, run_key)
+    small = keys.count() * ROW_BYTES <= broadcast_bytes
     for out, c in inputs.items():
-        keyed = frame.withColumn(f"{out}_key", _digest(c, run_key))
-        frame = _join_by_size(
-            keyed, keys, f"{out}_key", out, spread_on, broadcast_bytes
-        ).drop(f"{out}_key")
+        key = f"{out}_key"
+        keyed = frame.withColumn(key, _digest(c, run_key))
+        if small:
+            frame = _join_broadcast(keyed, keys, key, out).drop(key)
+        else:
+            frame = _join_shuffled(keyed, keys, key, out, spread_on).drop(key)
     return frame

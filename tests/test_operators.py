@@ -79,6 +79,13 @@ def test_city_lists(spark):
     assert sorted(map(tuple, numbered.collect()), key=str)[0] == ("100", "A", 0)
 
 
+def test_city_lists_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(cities, "BROADCAST_ROWS", 2)
+    table = spark.range(3).select(F.lit("10001").alias("zip"), F.lit("A").alias("city"))
+    with pytest.raises(ValueError, match="numbered_cities"):
+        cities.cities_by_area(table)
+
+
 @pytest.mark.parametrize("rows", [500_000, 0])
 def test_large_city_tables_are_not_broadcast(spark, mask, monkeypatch, rows):
     monkeypatch.setattr(cities, "BROADCAST_ROWS", rows)
