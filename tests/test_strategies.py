@@ -3,7 +3,7 @@ import hashlib
 
 import pytest
 from conftest import AS_OF
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -358,7 +358,7 @@ def test_unknown_strategy(mask_values):
 # -- against plain Python on arbitrary input
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=8, deadline=None, phases=[Phase.generate])
 @given(st.lists(st.one_of(st.none(), st.text(st.characters(codec="utf-8", exclude_characters="\x00"))), min_size=1, max_size=40))
 def test_text_strategies_on_any_text(spark, salts, values):
     from conftest import make_policy
