@@ -79,14 +79,20 @@ def mask_csv_folder(
     salts: Salts | None = None,
     options: MaskOptions | None = None,
     infer_types: bool = True,
+    multi_line: bool = False,
     at_once: int = 4,
 ) -> list[str]:
-    """Every CSV file of a folder. Columns whose text must stay as it is, are text."""
+    """Every CSV file of a folder. Columns whose text must stay as it is, are text.
+
+    ``multi_line`` allows line breaks within quotes; such files are read by one
+    task each.
+    """
     policies = list(policies)
     by_name = {policy.name: policy for policy in policies}
 
     def reader(name: str, paths: list[str]) -> Callable[[], DataFrame]:
-        return lambda: read_csv(spark, paths, infer_types, by_name[name].text_columns())
+        text = by_name[name].text_columns()
+        return lambda: read_csv(spark, paths, infer_types, text, multi_line=multi_line)
 
     grouped = _paths_by_policy(spark, folder, policies)
     tables = {name: reader(name, paths) for name, paths in grouped.items()}

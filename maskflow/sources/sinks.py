@@ -60,8 +60,13 @@ def text_sink(folder: str, mode: str = "error") -> Sink:
 
 
 def fixed_width_sink(
-    folder: str, layouts: Mapping[str, list[Field]], mode: str = "error", truncate: bool = False
+    folder: str,
+    layouts: Mapping[str, list[Field]],
+    mode: str = "error",
+    truncate: bool = False,
+    zero_numbers: bool = False,
 ) -> Sink:
+    """Fixed-width lines, every table under the layout of its name."""
     return lambda name, df: write_fixed_width(
-        df, _under(folder, name), layouts[name], mode=mode, truncate=truncate
+        df, _under(folder, name), layouts[name], mode, truncate, zero_numbers
     )

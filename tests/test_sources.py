@@ -422,3 +422,17 @@ def test_claim_header_width_after_masking(spark, mask):
     back = split_lines(lines(spark, got[0]), layout).collect()[0]
     assert back["CLM_TYPE_CD"] == 7 and back["CLM_FROM_DT"] == dt.date(1998, 1, 1)
     assert back["PRVDR_OSCAR_NUM"] == "0" and back["BENE_HIC_NUM"] == ""
+
+
+def test_hashed_numbers_in_claim_lines(spark, mask):
+    """A hash fits no whole-number field: an error, or 0 where asked for."""
+    layout = [Field("id", 6, "9"), Field("name", 10, "X")]
+    df = spark.createDataFrame([(7, "ann")], "id bigint, name string")
+    hashed = {"type": "Hash", "salt_key": "k"}
+    out = mask(df, {"id": hashed, "name": hashed})
+    with pytest.raises(ValueError, match="cannot hold string"):
+        format_lines(out, layout)
+    with pytest.raises(PySparkException, match="longer than field name"):
+        format_lines(out, layout, zero_numbers=True).collect()
+    line = format_lines(out, layout, truncate=True, zero_numbers=True).collect()[0][0]
+    assert line[:6] == "0     " and len(line) == 16 and line[6:].isalnum()
