@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskflow.functions.vocabulary import SHIFT_DAYS
@@ -15,147 +13,145 @@ SLASH_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
 _STAMPS = (T.TimestampType, T.TimestampNTZType)
 
 
-def is_null_text(c: Column) -> Column:
-    return F.lower(c) == "null"
+def matches(c: str, pattern: str) -> str:
+    return f"{c} RLIKE r'{pattern}'"
 
 
-def starts_iso(c: Column) -> Column:
+def starts_iso(c: str) -> str:
     """Whether a text has the dashes of ``yyyy-MM-dd``. The cast that follows
     checks the rest; it alone would also take a year or a month for a date."""
-    return (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-") & (F.length(c) >= 10)
+    return f"(substring({c}, 5, 1) = '-' AND substring({c}, 8, 1) = '-' AND length({c}) >= 10)"
 
 
-def slash_to_iso(c: Column) -> Column:
-    month_day = F.replace(F.substring_index(c, "/", 2), F.lit("/"), F.lit("-"))
-    year = F.lpad(F.substring_index(c, "/", -1), 4, "0")
-    return F.concat(year, F.lit("-"), month_day)
+def slash_to_iso(c: str) -> str:
+    year = f"lpad(substring_index({c}, '/', -1), 4, '0')"
+    return f"concat({year}, '-', replace(substring_index({c}, '/', 2), '/', '-'))"
 
 
-def _read(c: Column, kind: str) -> Column:
-    return F.when(starts_iso(c), c.try_cast(kind)).when(
-        c.rlike(SLASH_DATE), slash_to_iso(c).try_cast(kind)
+def _read(c: str, kind: str) -> str:
+    return (
+        f"CASE WHEN {starts_iso(c)} THEN try_cast({c} AS {kind}) "
+        f"WHEN {matches(c, SLASH_DATE)} THEN try_cast({slash_to_iso(c)} AS {kind}) END"
     )
 
 
-def text_to_date(c: Column) -> Column:
+def text_to_date(c: str) -> str:
     """``yyyy-MM-dd`` with or without a time, or ``M/d/yyyy``; anything else is null."""
-    return _read(c, "date")
+    return _read(c, "DATE")
 
 
-def text_to_stamp(c: Column) -> Column:
-    return _read(c, "timestamp_ntz")
+def text_to_stamp(c: str) -> str:
+    return _read(c, "TIMESTAMP_NTZ")
 
 
-def _checked(source: Column, parsed: Column, on_bad: str) -> Column:
+def _checked(source: str, parsed: str, on_bad: str) -> str:
     """With ``error`` unreadable text fails the query; the message leaves the value out."""
     if on_bad != "error":
         return parsed
-    fail = F.raise_error(F.lit("unreadable date text"))
-    return F.coalesce(parsed, F.when(source.isNotNull() & ~is_null_text(source), fail))
+    return (
+        f"coalesce({parsed}, CASE WHEN {source} IS NOT NULL AND lower({source}) <> 'null' "
+        f"THEN raise_error('unreadable date text') END)"
+    )
 
 
-def as_date(c: Column, dtype: T.DataType, on_bad: str = "null") -> Column:
+def as_date(c: str, dtype: T.DataType, on_bad: str = "null") -> str:
     if isinstance(dtype, T.DateType):
         return c
     if isinstance(dtype, _STAMPS):
-        return c.cast("date")
+        return f"CAST({c} AS DATE)"
     if isinstance(dtype, T.StringType):
         return _checked(c, text_to_date(c), on_bad)
     raise ValueError(f"a date strategy cannot read {dtype.simpleString()}")
 
 
-def as_stamp(c: Column, dtype: T.DataType, on_bad: str = "null") -> Column:
+def as_stamp(c: str, dtype: T.DataType, on_bad: str = "null") -> str:
     """Timestamp without zone, as zoned and plain sources must give equal results."""
     if isinstance(dtype, T.TimestampNTZType):
         return c
     if isinstance(dtype, (T.DateType, T.TimestampType)):
-        return c.cast("timestamp_ntz")
+        return f"CAST({c} AS TIMESTAMP_NTZ)"
     if isinstance(dtype, T.StringType):
         return _checked(c, text_to_stamp(c), on_bad)
     raise ValueError(f"a date strategy cannot read {dtype.simpleString()}")
 
 
-def new_year(year: Column) -> Column:
+def new_year(year: str) -> str:
     """January 1, 00:00 of a year; null for a null year."""
-    return F.make_date(year, F.lit(1), F.lit(1)).cast("timestamp_ntz")
+    return f"CAST(make_date({year}, 1, 1) AS TIMESTAMP_NTZ)"
 
 
-def floored_year(d: Column, first: int) -> Column:
+def floored_year(d: str, first: int) -> str:
     """The year of ``d``, at least ``first``; null for null, which ``greatest``
     alone would skip."""
-    year = F.year(d)
-    return year + F.greatest(F.lit(first) - year, F.lit(0))
+    return f"(year({d}) + greatest({first} - year({d}), 0))"
 
 
-def year_only(c: Column, dtype: T.DataType, as_of: int, on_bad: str = "null") -> Column:
+def year_only(c: str, dtype: T.DataType, as_of: int, on_bad: str = "null") -> str:
     return new_year(floored_year(as_date(c, dtype, on_bad), as_of - 90))
 
 
-def year_only_compat(c: Column, dtype: T.DataType, as_of: int) -> Column:
+def year_only_compat(c: str, dtype: T.DataType, as_of: int) -> str:
     """Year as older outputs have it: only whole date texts are read, months and
     days beyond their range roll over, everything else counts as this year."""
-    text = c if isinstance(dtype, (T.DateType, T.StringType)) else F.lit("")
-    text = text.cast("string")
-    iso, slash = F.split(text, "-"), F.split(text, "/")
+    readable = isinstance(dtype, (T.DateType, T.StringType))
+    text = f"CAST({c} AS STRING)" if readable else "''"
 
-    def rolled(y: Column, m: Column, d: Column) -> Column:
-        start = F.make_date(F.greatest(y.cast("int"), F.lit(1)), F.lit(1), F.lit(1))
-        return F.year(F.date_add(F.add_months(start, m.cast("int") - 1), d.cast("int") - 1))
+    def rolled(separator: str, order: tuple[int, int, int]) -> str:
+        y, m, d = (f"CAST(split({text}, '{separator}')[{i}] AS INT)" for i in order)
+        start = f"make_date(greatest({y}, 1), 1, 1)"
+        return f"year(date_add(add_months({start}, {m} - 1), {d} - 1))"
 
     year = (
-        F.when(text.rlike(ISO_DATE), rolled(iso[0], iso[1], iso[2]))
-        .when(text.rlike(SLASH_DATE), rolled(slash[2], slash[0], slash[1]))
-        .otherwise(F.lit(as_of))
+        f"CASE WHEN {matches(text, ISO_DATE)} THEN {rolled('-', (0, 1, 2))} "
+        f"WHEN {matches(text, SLASH_DATE)} THEN {rolled('/', (2, 0, 1))} ELSE {as_of} END"
     )
-    return F.when(c.isNotNull(), new_year(F.greatest(year, F.lit(as_of - 90))))
+    capped = new_year(f"greatest({year}, {as_of - 90})")
+    return f"CASE WHEN {c} IS NOT NULL THEN {capped} END"
 
 
-def day_cut(c: Column, dtype: T.DataType, as_of: int, on_bad: str = "null") -> Column:
+def day_cut(c: str, dtype: T.DataType, as_of: int, on_bad: str = "null") -> str:
     """January 1 of the year, which is at least 89 years back."""
     return new_year(floored_year(as_date(c, dtype, on_bad), as_of - 89))
 
 
-def day_cut_keep_time(c: Column, dtype: T.DataType, as_of: int, on_bad: str = "null") -> Column:
+def day_cut_keep_time(c: str, dtype: T.DataType, as_of: int, on_bad: str = "null") -> str:
     """Like ``day_cut`` with the time of day kept."""
     stamp = as_stamp(c, dtype, on_bad)
-    time_of_day = stamp - stamp.cast("date").cast("timestamp_ntz")
-    return new_year(floored_year(stamp, as_of - 89)) + time_of_day
+    time_of_day = f"({stamp} - CAST(CAST({stamp} AS DATE) AS TIMESTAMP_NTZ))"
+    return f"({new_year(floored_year(stamp, as_of - 89))} + {time_of_day})"
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    return F.datediff(later, earlier)
+def days_between(later: str, earlier: str) -> str:
+    return f"datediff({later}, {earlier})"
 
 
-def shift_days(patient: Column, chance: Column, on_bad_key: str = "error") -> Column:
+def shift_days(patient: str, chance: str, on_bad_key: str = "error") -> str:
     """Days to shift by: set by the last digit of the patient id.
 
     ``chance`` (0 up to 1) picks one of the ten shifts where the id is null.
     """
-    shifts = F.array(*[F.lit(days) for days in SHIFT_DAYS])
-    digit = F.substring(patient, -1, 1).try_cast("int")
     if on_bad_key == "hash":
-        other = F.pmod(F.xxhash64(patient), F.lit(10)).cast("int")
+        other = f"CAST(pmod(xxhash64({patient}), 10) AS INT)"
     else:
-        other = F.raise_error(F.lit("patient id does not end in a digit")).cast("int")
-    index = (
-        F.when(patient.isNull(), F.floor(chance * len(SHIFT_DAYS)).cast("int"))
-        .when(digit.isNotNull(), digit)
-        .otherwise(other)
+        other = "CAST(raise_error('patient id does not end in a digit') AS INT)"
+    digit = f"try_cast(substring({patient}, -1, 1) AS INT)"
+    days = f"array({', '.join(map(str, SHIFT_DAYS))})"
+    return (
+        f"get({days}, CASE WHEN {patient} IS NULL THEN CAST(floor({chance} * 10) AS INT) "
+        f"ELSE coalesce({digit}, {other}) END)"
     )
-    return F.get(shifts, index)
 
 
-def shift_date(d: Column, days: Column) -> Column:
-    return F.date_add(d, days)
+def shift_date(d: str, days: str) -> str:
+    return f"date_add({d}, {days})"
 
 
-def shift_stamp(stamp: Column, days: Column) -> Column:
-    return stamp + F.make_dt_interval(days)
+def shift_stamp(stamp: str, days: str) -> str:
+    return f"({stamp} + make_dt_interval({days}))"
 
 
-def epoch_start(d: Column, chance: Column, compat: bool = False) -> Column:
+def epoch_start(d: str, chance: str, compat: bool = False) -> str:
     """A date up to 730 days before or after; compat first moves one month on."""
     if compat:
-        month_on = F.add_months(F.trunc(d, "month"), 1)
-        d = F.date_add(month_on, F.dayofmonth(d) - 1)
-    return F.date_add(d, (F.floor(chance * 1460) - 730).cast("int"))
+        d = f"date_add(add_months(trunc({d}, 'MM'), 1), dayofmonth({d}) - 1)"
+    return f"date_add({d}, CAST(floor({chance} * 1460) - 730 AS INT))"

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskflow.functions.text import literal, literals
 from maskflow.functions.vocabulary import (
     ETHNIC_GROUPS,
     PACIFIC_LABEL_COMPAT,
@@ -15,75 +14,74 @@ from maskflow.functions.vocabulary import (
 )
 
 
-def keyed_chance(value: Column, salt: Column) -> Column:
+def keyed_chance(value: str, salt: str) -> str:
     """A number from 0 up to 1 that depends on the value and the salt only."""
-    digest = F.md5(F.concat_ws("|", salt, F.coalesce(value, F.lit(""))))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
+    digest = f"md5(concat_ws('|', {salt}, coalesce({value}, '')))"
+    return f"(CAST(conv(substring({digest}, 1, 8), 16, 10) AS BIGINT) / {2**32}D)"
 
 
-def _listed(names: Sequence[str]) -> Column:
-    if any("\n" in name for name in names):
-        raise ValueError("names must not contain line breaks")
-    return F.split(F.lit("\n".join(names)), "\n")  # folds into one array literal
+def _at(listed: str, chance: str, size: int | str) -> str:
+    return f"get({listed}, CAST(floor({chance} * {size}) AS INT))"
 
 
-def pick(names: Sequence[str], chance: Column) -> Column:
+def pick(names: Sequence[str], chance: str) -> str:
     """The name at ``chance`` of the way through the list."""
-    return F.get(_listed(names), F.floor(chance * len(names)).cast("int"))
+    return _at(f"array({literals(names)})", chance, len(names))
 
 
 def given_name(
-    name: Column,
-    gender: Column,
+    name: str,
+    gender: str,
     female: Sequence[str],
     male: Sequence[str],
-    first: Column,
-    second: Column,
-) -> Column:
+    first: str,
+    second: str,
+) -> str:
     """A first name from the list of the gender, drawn once more if it came out equal."""
-    is_female = F.coalesce(F.lower(gender) == "female", F.lit(False))
-    names = F.when(is_female, _listed(female)).otherwise(_listed(male))
-    size = F.when(is_female, len(female)).otherwise(len(male))
+    is_female = f"coalesce(lower({gender}) = 'female', false)"
+    names = f"if({is_female}, array({literals(female)}), array({literals(male)}))"
+    size = f"if({is_female}, {len(female)}, {len(male)})"
+    drawn = _at(names, first, size)
+    return (
+        f"CASE WHEN {name} IS NULL THEN NULL WHEN lower({drawn}) = lower({name}) "
+        f"THEN {_at(names, second, size)} ELSE {drawn} END"
+    )
 
-    def draw(chance: Column) -> Column:
-        return F.get(names, F.floor(chance * size).cast("int"))
 
-    again = F.lower(draw(first)) == F.lower(name)
-    return F.when(name.isNotNull(), F.when(again, draw(second)).otherwise(draw(first)))
-
-
-def _is_fraction(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.FloatType, T.DoubleType))
-
-
-def cap_age(c: Column, dtype: T.DataType) -> Column:
+def cap_age(c: str, dtype: T.DataType) -> str:
     """At most 90; null and NaN become null. Text is read as whole years."""
     if isinstance(dtype, T.StringType):
-        c = F.floor(F.nanvl(c.try_cast("double"), F.lit(None).cast("double")))
-    elif _is_fraction(dtype):
-        c = F.when(~F.isnan(c), c)
+        c = f"floor(nanvl(try_cast({c} AS DOUBLE), CAST(NULL AS DOUBLE)))"
+    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+        c = f"CASE WHEN NOT isnan({c}) THEN {c} END"
     elif not isinstance(dtype, T.NumericType):
         raise ValueError(f"Age cannot read {dtype.simpleString()}")
-    return F.when(c.isNotNull(), F.least(c, F.lit(90)))
+    return f"CASE WHEN {c} IS NOT NULL THEN least({c}, 90) END"
 
 
-def floor_year(c: Column, dtype: T.DataType, as_of: int) -> Column:
+def floor_year(c: str, dtype: T.DataType, as_of: int) -> str:
     """A numeric year, at least 90 years back."""
     if isinstance(dtype, T.StringType):
-        c = c.try_cast("int")
+        c = f"try_cast({c} AS INT)"
     elif not isinstance(dtype, T.NumericType):
         raise ValueError(f"MaxYear cannot read {dtype.simpleString()}")
-    return F.when(c.isNotNull(), F.greatest(c, F.lit(as_of - 90)))
+    return f"CASE WHEN {c} IS NOT NULL THEN greatest({c}, {as_of - 90}) END"
+
 
+def ethnic_group(c: str, other: str = "White", compat: bool = False) -> str:
+    """Group label of a term in any case; ``other`` for terms on no list.
 
-def ethnic_group(c: Column, other: str = "White", compat: bool = False) -> Column:
-    """Group label of a term in any case; ``other`` for terms on no list."""
-    term = F.lower(c)
+    The lists are all looked at in an array of hits, as the lower-case term is
+    then made once; branches of a CASE would each make it again.
+    """
     labels = [
         PACIFIC_LABEL_COMPAT if compat and terms is PACIFIC_TERMS else label
         for label, terms in ETHNIC_GROUPS
     ]
-    hits = F.array(*[term.isin(*terms) for _, terms in ETHNIC_GROUPS])
-    first = F.array_position(hits, F.lit(True)).cast("int")
-    group = F.get(F.array(F.lit(other), *[F.lit(label) for label in labels]), first)
-    return F.when(c.isNotNull(), group).otherwise(F.lit("" if compat else None))
+    hits = ", ".join(f"lower({c}) IN ({literals(terms)})" for _, terms in ETHNIC_GROUPS)
+    first = f"CAST(array_position(array({hits}), true) AS INT)"
+    null = "''" if compat else "NULL"
+    return (
+        f"CASE WHEN {c} IS NULL THEN {null} "
+        f"ELSE get(array({literal(other)}, {literals(labels)}), {first}) END"
+    )

@@ -2,34 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskflow.functions.text import literals
 from maskflow.functions.vocabulary import RESTRICTED_ZIP3
 
 
-def zip_text(c: Column, dtype: T.DataType) -> Column:
+def zip_text(c: str, dtype: T.DataType) -> str:
     """A zip as text; whole numbers get back the leading zeros they lost."""
     if isinstance(dtype, T.StringType):
         return c
     if isinstance(dtype, T.IntegralType):
-        digits = c.cast("string")
-        return F.lpad(digits, F.when(F.length(digits) <= 5, 5).otherwise(9), "0")
+        digits = f"CAST({c} AS STRING)"
+        return f"lpad({digits}, CASE WHEN length({digits}) <= 5 THEN 5 ELSE 9 END, '0')"
     raise ValueError(f"a zip strategy cannot read {dtype.simpleString()}")
 
 
-def zip3(c: Column) -> Column:
+def zip3(c: str) -> str:
     """First three digits and "00", or "00000" for restricted areas.
 
     Shorter texts are filled up with zeros; null and the word "null" give null.
     """
-    area = F.substring(c, 1, 3)
-    filled = F.rpad(c, 3, "0")
+    area, restricted = f"substring({c}, 1, 3)", literals(RESTRICTED_ZIP3)
     return (
-        F.when((F.length(c) == 4) & (F.lower(c) == "null"), F.lit(None).cast("string"))
-        .when(area.isin(*RESTRICTED_ZIP3), "00000")
-        .when(F.length(c) >= 3, F.concat(area, F.lit("00")))
-        .when(filled.isin(*RESTRICTED_ZIP3), "00000")
-        .otherwise(F.rpad(c, 5, "0"))
+        f"CASE WHEN length({c}) = 4 AND lower({c}) = 'null' THEN NULL "
+        f"WHEN {area} IN ({restricted}) THEN '00000' "
+        f"WHEN length({c}) >= 3 THEN concat({area}, '00') "
+        f"WHEN rpad({c}, 3, '0') IN ({restricted}) THEN '00000' "
+        f"ELSE rpad({c}, 5, '0') END"
     )

@@ -1,4 +1,4 @@
-"""The strategies' value functions as temporary SQL functions.
+"""The value functions as temporary SQL functions of a session.
 
 They take text, which Spark also makes of dates and numbers passed in, and are
 expanded into the calling query like a view, so they run as built-in
@@ -12,59 +12,24 @@ import datetime
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from maskflow.functions.dates import SLASH_DATE
-from maskflow.functions.vocabulary import (
-    ETHNIC_GROUPS,
-    FIRST_NAMES,
-    LAST_NAMES,
-    RESTRICTED_ZIP3,
-    SHIFT_DAYS,
-    default_given_names,
-)
+from maskflow.functions import dates, people, places, text
+from maskflow.functions.vocabulary import FIRST_NAMES, LAST_NAMES, default_given_names
 from maskflow.operators.cities import NOT_A_ZIP, UNKNOWN, cities_by_area
 
+STRING = T.StringType()
 
-def _texts(values) -> str:
-    return ", ".join("'" + value.replace("'", "\\'") + "'" for value in values)
 
-
-def _parsed(kind: str) -> str:
-    iso = "substring_index(c, '/', -1) || '-' || replace(substring_index(c, '/', 2), '/', '-')"
-    has_dashes = "substr(c, 5, 1) = '-' AND substr(c, 8, 1) = '-' AND length(c) >= 10"
-    return (
-        f"CASE WHEN {has_dashes} THEN try_cast(c AS {kind}) "
-        f"WHEN c RLIKE r'{SLASH_DATE}' THEN try_cast({iso} AS {kind}) END"
-    )
-
-
-def _new_year(back: int, as_of: int) -> str:
-    year = f"greatest(year({_parsed('DATE')}), {as_of - back})"
-    return (
-        f"CASE WHEN {_parsed('DATE')} IS NOT NULL "
-        f"THEN CAST(make_date({year}, 1, 1) AS TIMESTAMP_NTZ) END"
-    )
-
-
-def _pick(values) -> str:
-    return f"get(array({_texts(values)}), CAST(floor(rand() * {len(values)}) AS INT))"
-
-
-def _days() -> str:
-    shifts = ", ".join(map(str, SHIFT_DAYS))
-    bad = "CAST(raise_error('patient id does not end in a digit') AS INT)"
-    digit = "try_cast(right(patient, 1) AS INT)"
+def _redrawn(values) -> str:
+    """A value drawn at random, and once more if it equals ``c``. The lambda
+    holds the first draw, which is looked at twice."""
+    listed = f"array({text.literals(values)})"
     return (
-        f"get(array({shifts}), CASE WHEN patient IS NULL THEN CAST(floor(rand() * 10) AS INT) "
-        f"ELSE coalesce({digit}, {bad}) END)"
-    )
-
-
-def _group() -> str:
-    whens = " ".join(
-        f"WHEN lower(c) IN ({_texts(terms)}) THEN '{label}'" for label, terms in ETHNIC_GROUPS
+        f"get(transform(array(CAST(floor(rand() * {len(values)}) AS INT)), i -> "
+        f"CASE WHEN lower(get({listed}, i)) = lower(c) THEN {people.pick(values, 'rand()')} "
+        f"ELSE get({listed}, i) END), 0)"
     )
-    return f"CASE WHEN c IS NOT NULL THEN CASE {whens} ELSE 'White' END END"
 
 
 def register_sql(
@@ -79,34 +44,24 @@ def register_sql(
     """
     as_of = as_of_year or datetime.date.today().year
     given = given_names or default_given_names()
-    area = "rpad(left(c, 3), 3, '0')"
-    stamp = f"({_parsed('TIMESTAMP_NTZ')})"
+    day, stamp = dates.text_to_date("c"), dates.text_to_stamp("c")
+    days = dates.shift_days("patient", "rand()")
     functions = {
-        "CleanseData(c STRING) RETURNS STRING": r"translate(c, '\n\r', '  ')",
-        "Zip3(c STRING) RETURNS STRING": (
-            f"CASE WHEN lower(c) <> 'null' THEN CASE WHEN {area} IN ({_texts(RESTRICTED_ZIP3)}) "
-            f"THEN '00000' ELSE {area} || '00' END END"
-        ),
-        "Ethnicity(c STRING) RETURNS STRING": _group(),
-        "DateScrub(c STRING) RETURNS TIMESTAMP_NTZ": _new_year(90, as_of),
-        "DateDayTransform(c STRING) RETURNS TIMESTAMP_NTZ": _new_year(89, as_of),
+        "CleanseData(c STRING) RETURNS STRING": text.clean_lines("c"),
+        "Zip3(c STRING) RETURNS STRING": places.zip3("c"),
+        "Ethnicity(c STRING) RETURNS STRING": people.ethnic_group("c"),
+        "DateScrub(c STRING) RETURNS TIMESTAMP_NTZ": dates.year_only("c", STRING, as_of),
+        "DateDayTransform(c STRING) RETURNS TIMESTAMP_NTZ": dates.day_cut("c", STRING, as_of),
         "DateTimeDayTransform(c STRING) RETURNS TIMESTAMP_NTZ": (
-            f"CASE WHEN {stamp} IS NOT NULL THEN make_timestamp_ntz("
-            f"greatest(year({stamp}), {as_of - 89}), 1, 1, hour({stamp}), minute({stamp}), "
-            f"extract(SECOND FROM {stamp})) END"
-        ),
-        "DateShiftTransform(c STRING, patient STRING) RETURNS DATE": (
-            f"CASE WHEN ({_parsed('DATE')}) IS NOT NULL "
-            f"THEN date_add({_parsed('DATE')}, {_days()}) END"
+            dates.day_cut_keep_time("c", STRING, as_of)
         ),
+        "DateShiftTransform(c STRING, patient STRING) RETURNS DATE": dates.shift_date(day, days),
         "DateTimeShiftTransform(c STRING, patient STRING) RETURNS TIMESTAMP_NTZ": (
-            f"CASE WHEN {stamp} IS NOT NULL THEN {stamp} + make_dt_interval({_days()}) END"
-        ),
-        "EpochStart(c STRING) RETURNS DATE": (
-            f"date_add({_parsed('DATE')}, CAST(floor(rand() * 1460) AS INT) - 730)"
+            dates.shift_stamp(stamp, days)
         ),
-        "FirstName(c STRING) RETURNS STRING": _pick(FIRST_NAMES),
-        "LastName(c STRING) RETURNS STRING": _pick(LAST_NAMES),
+        "EpochStart(c STRING) RETURNS DATE": dates.epoch_start(day, "rand()"),
+        "FirstName(c STRING) RETURNS STRING": people.pick(FIRST_NAMES, "rand()"),
+        "LastName(c STRING) RETURNS STRING": people.pick(LAST_NAMES, "rand()"),
         "oncoemrFirstName(c STRING, gender STRING) RETURNS STRING": (
             f"CASE WHEN c IS NOT NULL THEN CASE WHEN lower(gender) = 'female' "
             f"THEN {_redrawn(given['female'])} ELSE {_redrawn(given['male'])} END END"
@@ -125,17 +80,6 @@ def register_sql(
     return [signature.split("(")[0] for signature in functions] + ["PBEKeyHash"]
 
 
-def _redrawn(values) -> str:
-    """A value drawn at random, and once more if it equals ``c``. The lambda
-    holds the first draw, which is looked at twice."""
-    listed = f"array({_texts(values)})"
-    return (
-        f"get(transform(array(CAST(floor(rand() * {len(values)}) AS INT)), i -> "
-        f"CASE WHEN lower(get({listed}, i)) = lower(c) THEN {_pick(values)} "
-        f"ELSE get({listed}, i) END), 0)"
-    )
-
-
 def pbe_key_hash_udf():
     """PBEKeyHash(value, salt) for SQL; null and empty texts stay as they are."""
 

@@ -1,17 +1,33 @@
-"""Text: line-break cleansing and salted hashes."""
+"""Text: literals, line-break cleansing, salted hashes and key derivation."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+
+def quoted(name: str) -> str:
+    """A column name as SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: str) -> str:
+    """A text as an SQL literal."""
+    value = value.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + "".join(c if c >= " " else f"\\u{ord(c):04x}" for c in value) + "'"
+
+
+def literals(values: Iterable[str]) -> str:
+    return ", ".join(literal(value) for value in values)
+
+
 # The characters trimmed as white space around tokens and
 # before key derivation, U+0000 to U+0020.
-BLANKS = "".join(map(chr, range(0x21)))
+BLANKS = literal("".join(map(chr, range(0x21))))
 
 
 def secret(spark: SparkSession, value: str) -> Column:
@@ -23,28 +39,27 @@ def secret(spark: SparkSession, value: str) -> Column:
     return spark.createDataFrame(pa.table({"value": [value]})).select("value").scalar()
 
 
-def clean_lines(c: Column) -> Column:
+def clean_lines(c: str) -> str:
     """Every line feed and carriage return becomes a space.
 
     Two replacements are several times faster than one ``translate``.
     """
-    space = F.lit(" ")
-    return F.replace(F.replace(c, F.lit("\n"), space), F.lit("\r"), space)
+    return rf"replace(replace({c}, '\n', ' '), '\r', ' ')"
 
 
-def strip_blanks(c: Column) -> Column:
-    return F.btrim(c, F.lit(BLANKS))
+def strip_blanks(c: str) -> str:
+    return f"btrim({c}, {BLANKS})"
 
 
-def salted_hash(c: Column, salt: Column, bits: int = 512, is_text: bool = True) -> Column:
+def salted_hash(c: str, salt: str, bits: int = 512, is_text: bool = True) -> str:
     """Hex SHA-2 of the text without surrounding spaces, followed by the salt.
 
     Null stays null and the empty text stays empty. For numbers and dates cast
     to text (``is_text`` unset) there is nothing to trim and no empty text.
     """
     if not is_text:
-        return F.sha2(F.concat(c, salt), bits)
-    return F.when(c == "", c).otherwise(F.sha2(F.concat(F.trim(c), salt), bits))
+        return f"sha2(concat({c}, {salt}), {bits})"
+    return f"CASE WHEN {c} = '' THEN {c} ELSE sha2(concat(trim({c}), {salt}), {bits}) END"
 
 
 def pbkdf2_udf(salt: str):
@@ -71,12 +86,3 @@ def pbkdf2_udf(salt: str):
             yield values.map(known).astype(object)
 
     return pbkdf2
-
-
-def derived_key(c: Column, salt: str) -> Column:
-    """Salted key derivation of the text without surrounding blanks, within the scan.
-
-    Null stays null and the empty text stays empty. A value takes some
-    milliseconds: ``operators.keys`` derives once per distinct value instead.
-    """
-    return F.when(c == "", c).otherwise(pbkdf2_udf(salt)(strip_blanks(c)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows up to which the postal table is broadcast or grouped (about 100 bytes each).
@@ -36,9 +36,10 @@ def numbered_cities(cities: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def add_city(
-    frame: DataFrame, zip_code: Column, chance: Column, cities: DataFrame, out: str
+    frame: DataFrame, zip_code: str, chance: str, cities: DataFrame, out: str
 ) -> DataFrame:
-    """Add ``out``: the city at ``chance`` of the way through the zip's area.
+    """Add ``out``: the city at ``chance`` of the way through the zip's area, both
+    being columns.
 
     Two equi-joins, by area and by (area, place), in place of a list per row.
     Either side is broadcast only while its row count allows. A postal table
@@ -57,14 +58,13 @@ def add_city(
         F.col("zip3").alias(zip3), F.col("place").alias(place), F.col("city").alias(city)
     )
     joined = (
-        frame.withColumn(out, zip_code)
-        .withColumn(zip3, F.when(F.length(out) >= 3, F.substring(out, 1, 3)))
+        frame.withColumn(zip3, F.when(F.length(zip_code) >= 3, F.substring(zip_code, 1, 3)))
         .join(sizes, zip3, "left")
-        .withColumn(place, F.floor(chance * F.col(n)))
+        .withColumn(place, F.floor(F.col(chance) * F.col(n)))
         .join(numbered, [zip3, place], "left")
     )
     found = (
-        F.when(F.col(out).isNull(), None)
+        F.when(F.col(zip_code).isNull(), None)
         .when(F.col(zip3).isNull(), NOT_A_ZIP)
         .otherwise(F.coalesce(F.col(city), F.lit(UNKNOWN)))
     )

@@ -13,7 +13,7 @@ import secrets
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskflow.functions.text import pbkdf2_udf, secret
+from maskflow.functions.text import pbkdf2_udf, quoted, secret
 from maskflow.sources.shared import shared_folder
 
 # Rows of the derived table that are handled apart as possible hot values. No
@@ -77,7 +77,7 @@ def _join_shuffled(
     cold = keys.select(F.col("digest").alias(key), F.col("derived").alias(f"{out}_cold"))
     hot = keys.orderBy(F.desc("n_rows"), "digest").limit(HOT_VALUES)
     hot = hot.select(F.col("digest").alias(key), F.col("derived").alias(f"{out}_hot"))
-    row = F.xxhash64(F.spark_partition_id(), *[_quoted(name) for name in spread_on])
+    row = F.xxhash64(F.spark_partition_id(), *[quoted(name) for name in spread_on])
     filler = F.concat(F.lit("-"), row.cast("string"))
     joined = (
         frame.join(F.broadcast(hot), key, "left")
@@ -92,18 +92,14 @@ def _join_shuffled(
     )
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def add_derived_keys(
     frame: DataFrame,
-    inputs: dict[str, Column],
+    inputs: dict[str, str],
     salt: str,
     spread_on: list[str],
     broadcast_bytes: int,
 ) -> DataFrame:
-    """Add one column per entry of ``inputs``, the derived key of its expression.
+    """Add one column per entry of ``inputs``, the derived key of the column it names.
 
     Columns under one salt share one derived table, filled in one scan.
     """
@@ -113,7 +109,7 @@ def add_derived_keys(
     small = keys.count() * ROW_BYTES <= broadcast_bytes
     for out, c in inputs.items():
         key = f"{out}_key"
-        keyed = frame.withColumn(key, _digest(c, run_key))
+        keyed = frame.withColumn(key, _digest(F.col(c), run_key))
         if small:
             frame = _join_broadcast(keyed, keys, key, out).drop(key)
         else:

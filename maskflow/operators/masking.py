@@ -1,10 +1,10 @@
 """Masking one table: every policy column treated, every other column removed.
 
-A policy compiles to one projection of plain column expressions, so scans keep
+A policy compiles to one projection of built-in expressions, so scans keep
 column pruning and whole-stage code generation. Only two strategies look values
 up in another table (``PBEKeyHash`` and ``City``) and add joins below that
-projection. Random draws are columns of their own below it, since an
-expression naming a draw twice must see the same number.
+projection. Salts are columns right below it, and random draws columns below
+the joins, since an expression naming a draw twice must see the same number.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskflow.functions import dates, people, places, text
+from maskflow.functions.text import quoted
 from maskflow.functions.vocabulary import FIRST_NAMES, LAST_NAMES
 from maskflow.operators.cities import add_city
 from maskflow.operators.keys import add_derived_keys
@@ -34,36 +35,32 @@ CONSTANTS = {"Clear": " ", "FixedFirstName": "FirstName", "FixedLastName": "Last
 EPOCH_START = "EPOCH_START"
 
 
-def column(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 @dataclass(frozen=True)
 class Value:
-    """A column expression and the type it has."""
+    """An SQL expression and the type it has."""
 
-    col: Column
+    sql: str
     dtype: T.DataType
     level: int = 0  # lookups that must run one after another before it exists
 
-    def text(self) -> Column:
+    def text(self) -> str:
         if isinstance(self.dtype, T.StringType):
-            return self.col
+            return self.sql
         if isinstance(self.dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
             raise ValueError(f"strategy needs a plain value, not {self.dtype.simpleString()}")
-        return self.col.cast("string")
+        return f"CAST({self.sql} AS STRING)"
 
 
 @dataclass
 class Lookup:
-    """A join to run below the final projection; it adds the column ``out``."""
+    """A step below the final projection that adds the column ``out``."""
 
     kind: str
     out: str
-    input: Column
+    input: str
     level: int
     salt: str | None = None
-    chance: Column | None = None
+    chance: str = "0"
 
 
 @dataclass
@@ -78,32 +75,34 @@ class Masking:
     draws: list[tuple[str, int]] = field(default_factory=list)
     lookups: list[Lookup] = field(default_factory=list)
     used: set[str] = field(default_factory=set)
-    _secrets: dict[str, Column] = field(default_factory=dict)
+    secrets: dict[str, tuple[str, Column]] = field(default_factory=dict)
 
     def __post_init__(self):
         for item in self.df.schema.fields:
-            self.source[item.name.lower()] = Value(column(item.name), item.dataType)
+            self.source[item.name.lower()] = Value(quoted(item.name), item.dataType)
 
     # -- inputs of strategies
 
     def salt(self, strategy: Strategy) -> str:
         return self.salts.get(self.options.salt_key(strategy.column, strategy.salt_key))
 
-    def secret_salt(self, strategy: Strategy) -> Column:
+    def secret_salt(self, strategy: Strategy) -> str:
+        """Name of the column that holds the salt."""
         key = self.options.salt_key(strategy.column, strategy.salt_key)
-        if key not in self._secrets:
-            self._secrets[key] = text.secret(self.df.sparkSession, self.salts.get(key))
-        return self._secrets[key]
+        if key not in self.secrets:
+            salt = text.secret(self.df.sparkSession, self.salts.get(key))
+            self.secrets[key] = (f"__salt_{len(self.secrets)}", salt)
+        return self.secrets[key][0]
 
-    def chance(self, strategy: Strategy, value: Value, label: str = "") -> Column:
+    def chance(self, strategy: Strategy, value: Value, label: str = "") -> str:
         """A number from 0 up to 1: drawn anew per row, or set by value and salt."""
         if self.options.random == "keyed":
-            tagged = F.concat(F.lit(label), F.coalesce(value.text(), F.lit("")))
+            tagged = f"concat('{label}', coalesce({value.text()}, ''))"
             return people.keyed_chance(tagged, self.secret_salt(strategy))
         name = f"__draw_{len(self.draws)}"
         seed = self.options.draw_seed(f"{strategy.column}/{strategy.type}/{len(self.draws)}")
         self.draws.append((name, seed))
-        return F.col(name)
+        return name
 
     def other(self, name: str, strategy: Strategy) -> Value:
         """Another column as the table has it; only derived names give derived values."""
@@ -123,11 +122,11 @@ class Masking:
         """The value after one strategy. Drop and the deriving types are the caller's."""
         o = self.options
         if s.type in CONSTANTS:
-            return Value(F.lit(CONSTANTS[s.type]), STRING)
+            return Value(text.literal(CONSTANTS[s.type]), STRING)
         match s.type:
             case "Identity":
                 if isinstance(v.dtype, T.StringType):
-                    return Value(text.clean_lines(v.col), STRING)
+                    return Value(text.clean_lines(v.sql), STRING)
                 return v
             case "Hash":
                 salt = self.secret_salt(s)
@@ -138,36 +137,36 @@ class Masking:
             case "City":
                 return self.city(s, v)
             case "Zip3Digit":
-                return Value(places.zip3(places.zip_text(v.col, v.dtype)), STRING)
+                return Value(places.zip3(places.zip_text(v.sql, v.dtype)), STRING)
             case "Year":
                 if o.compat:
-                    return Value(dates.year_only_compat(v.col, v.dtype, o.year), STAMP)
-                return Value(dates.year_only(v.col, v.dtype, o.year, o.on_bad_date), STAMP)
+                    return Value(dates.year_only_compat(v.sql, v.dtype, o.year), STAMP)
+                return Value(dates.year_only(v.sql, v.dtype, o.year, o.on_bad_date), STAMP)
             case "DateDay":
-                return Value(dates.day_cut(v.col, v.dtype, o.year, o.on_bad_date), STAMP)
+                return Value(dates.day_cut(v.sql, v.dtype, o.year, o.on_bad_date), STAMP)
             case "DateTimeDay":
                 return Value(
-                    dates.day_cut_keep_time(v.col, v.dtype, o.year, o.on_bad_date), STAMP
+                    dates.day_cut_keep_time(v.sql, v.dtype, o.year, o.on_bad_date), STAMP
                 )
             case "DateEpoch":
                 start = self.other(s.date_epoch, s)
                 days = dates.days_between(
-                    dates.as_date(v.col, v.dtype, o.on_bad_date),
-                    dates.as_date(start.col, start.dtype, o.on_bad_date),
+                    dates.as_date(v.sql, v.dtype, o.on_bad_date),
+                    dates.as_date(start.sql, start.dtype, o.on_bad_date),
                 )
                 return Value(days, INT, start.level)
             case "DateShift":
-                shifted = dates.as_date(v.col, v.dtype, o.on_bad_date)
+                shifted = dates.as_date(v.sql, v.dtype, o.on_bad_date)
                 return Value(dates.shift_date(shifted, self.shift(s, v)), DATE)
             case "DateTimeShift":
-                shifted = dates.as_stamp(v.col, v.dtype, o.on_bad_date)
+                shifted = dates.as_stamp(v.sql, v.dtype, o.on_bad_date)
                 return Value(dates.shift_stamp(shifted, self.shift(s, v)), STAMP)
             case "Age":
                 is_text = isinstance(v.dtype, T.StringType)
-                return Value(people.cap_age(v.col, v.dtype), LONG if is_text else v.dtype)
+                return Value(people.cap_age(v.sql, v.dtype), LONG if is_text else v.dtype)
             case "MaxYear":
                 is_text = isinstance(v.dtype, T.StringType)
-                capped = people.floor_year(v.col, v.dtype, o.year)
+                capped = people.floor_year(v.sql, v.dtype, o.year)
                 return Value(capped, INT if is_text else v.dtype)
             case "Ethnicity":
                 group = people.ethnic_group(v.text(), o.ethnicity_default, o.compat)
@@ -180,43 +179,46 @@ class Masking:
                 return Value(self.given_name(s, v), STRING)
         raise ValueError(f"unknown strategy type {s.type!r} for column {s.column!r}")
 
-    def shift(self, s: Strategy, v: Value) -> Column:
+    def shift(self, s: Strategy, v: Value) -> str:
         """Days to shift by; the patient id of a null date is not looked at."""
         patient = self.other(self.options.patient_column, s).text()
         days = dates.shift_days(patient, self.chance(s, v), self.options.on_bad_key)
-        return F.when(v.col.isNotNull(), days)
+        return f"CASE WHEN {v.sql} IS NOT NULL THEN {days} END"
 
-    def given_name(self, s: Strategy, v: Value) -> Column:
+    def given_name(self, s: Strategy, v: Value) -> str:
         gender = self.other(self.options.gender_column, s).text()
         names = self.options.given_names
         first, second = self.chance(s, v, "1"), self.chance(s, v, "2")
         return people.given_name(v.text(), gender, names["female"], names["male"], first, second)
 
-    def lookup(self, kind: str, value: Column, level: int, **extra) -> Value:
+    def lookup(self, kind: str, value: str, level: int, **extra) -> Value:
         out = f"__lookup_{len(self.lookups)}"
         self.lookups.append(Lookup(kind, out, value, level, **extra))
-        return Value(F.col(out), STRING, level + 1)
+        return Value(out, STRING, level + 1)
 
     def derive_key(self, s: Strategy, v: Value) -> Value:
         value = v.text()
-        if self.options.key_derivation == "inline" or self.df.isStreaming:
-            return Value(text.derived_key(value, self.salt(s)), STRING)
-        found = self.lookup("key", text.strip_blanks(value), v.level, salt=self.salt(s))
-        lost = F.raise_error(F.lit("the table changed while keys were derived"))
-        key = F.when(value == "", value).when(value.isNotNull(), F.coalesce(found.col, lost))
-        return replace(found, col=key)
+        inline = self.options.key_derivation == "inline" or self.df.isStreaming
+        kind = "inline key" if inline else "key"
+        found = self.lookup(kind, text.strip_blanks(value), v.level, salt=self.salt(s))
+        lost = "raise_error('the table changed while keys were derived')"
+        key = (
+            f"CASE WHEN {value} = '' THEN '' "
+            f"WHEN {value} IS NOT NULL THEN coalesce({found.sql}, {lost}) END"
+        )
+        return replace(found, sql=key)
 
     def city(self, s: Strategy, v: Value) -> Value:
         if self.options.cities is None:
             raise ValueError(f"City on {s.column!r} needs the option cities")
         if self.options.city_zip_column:
             v = self.other(self.options.city_zip_column, s)
-        zip_code = places.zip_text(v.col, v.dtype)
+        zip_code = places.zip_text(v.sql, v.dtype)
         chance = self.chance(s, Value(zip_code, STRING))
         return self.lookup("city", zip_code, v.level, chance=chance)
 
     def epoch_start(self, s: Strategy, v: Value) -> Value:
-        day = dates.as_date(v.col, v.dtype, self.options.on_bad_date)
+        day = dates.as_date(v.sql, v.dtype, self.options.on_bad_date)
         chance = self.chance(s, v)
         return Value(dates.epoch_start(day, chance, self.options.compat), DATE)
 
@@ -246,12 +248,20 @@ class Masking:
 
     # -- the frame below the projection
 
+    def with_values(self, frame: DataFrame, values: dict[str, str]) -> DataFrame:
+        """Add columns, the salts being at hand for their expressions."""
+        salts = [salt.alias(name) for name, salt in self.secrets.values()]
+        return frame.select("*", *salts).selectExpr(
+            *[quoted(name) for name in frame.columns],
+            *[f"{value} AS {quoted(name)}" for name, value in values.items()],
+        )
+
     def lower_frame(self) -> DataFrame:
         """The needed columns with draws and looked-up values added."""
         kept = [name for name in self.df.columns if name.lower() in self.used]
-        frame = self.df.select(
-            *[column(name) for name in kept],
-            *[F.rand(seed).alias(name) for name, seed in self.draws],
+        frame = self.df.selectExpr(
+            *[quoted(name) for name in kept],
+            *[f"rand({seed}L) AS {name}" for name, seed in self.draws],
         )
         spread_on = [
             item.name
@@ -260,16 +270,24 @@ class Masking:
         ]
         for level in sorted({lookup.level for lookup in self.lookups}):
             todo = [lookup for lookup in self.lookups if lookup.level == level]
+            inputs = {f"{lookup.out}_input": lookup.input for lookup in todo}
+            chances = {f"{x.out}_chance": x.chance for x in todo if x.kind == "city"}
+            frame = self.with_values(frame, inputs | chances)
             for salt in dict.fromkeys(lookup.salt for lookup in todo if lookup.kind == "key"):
-                inputs = {lookup.out: lookup.input for lookup in todo if lookup.salt == salt}
+                names = {
+                    x.out: f"{x.out}_input" for x in todo if x.kind == "key" and x.salt == salt
+                }
                 frame = add_derived_keys(
-                    frame, inputs, salt, spread_on, self.options.broadcast_bytes
+                    frame, names, salt, spread_on, self.options.broadcast_bytes
                 )
             for lookup in todo:
-                if lookup.kind == "city":
-                    frame = add_city(
-                        frame, lookup.input, lookup.chance, self.options.cities, lookup.out
-                    )
+                value, chance = f"{lookup.out}_input", f"{lookup.out}_chance"
+                if lookup.kind == "inline key":
+                    key = text.pbkdf2_udf(lookup.salt)(F.col(value))
+                    frame = frame.withColumn(lookup.out, key)
+                elif lookup.kind == "city":
+                    frame = add_city(frame, value, chance, self.options.cities, lookup.out)
+            frame = frame.drop(*inputs, *chances)
         return frame
 
 
@@ -327,18 +345,19 @@ def deidentify(
         if name.lower() not in chains:
             logger.warning("no strategy for column %s, dropping it", name)
         elif masked.get(name.lower()) is not None:
-            out.append(masked[name.lower()].col.alias(name))
+            out.append((name, masked[name.lower()].sql))
     for key, (name, value) in masking.derived.items():
         if key in chains:
             if masked.get(key) is not None and key not in masking.source:
-                out.append(masked[key].col.alias(name))
+                out.append((name, masked[key].sql))
         elif masking.options.keep_derived:
-            out.append(value.col.alias(name))
-    out += [value.col.alias(name) for name, value in added.items()]
+            out.append((name, value.sql))
+    out += [(name, value.sql) for name, value in added.items()]
 
-    if masking.draws or masking.lookups:
-        return masking.lower_frame().select(*out)
-    return df.select(*out)
+    frame = masking.lower_frame() if masking.draws or masking.lookups else df
+    if masking.secrets:
+        frame = frame.select("*", *[salt.alias(name) for name, salt in masking.secrets.values()])
+    return frame.selectExpr(*[f"{sql} AS {quoted(name)}" for name, sql in out])
 
 
 @dataclass(frozen=True)

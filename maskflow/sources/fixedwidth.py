@@ -11,15 +11,13 @@ import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskflow.functions.dates import slash_to_iso
-from maskflow.functions.text import strip_blanks
+from maskflow.functions.dates import matches, slash_to_iso
+from maskflow.functions.text import literal, quoted, strip_blanks
 
 CORRUPT = "_corrupt_record"
 
@@ -64,45 +62,42 @@ def layout_width(layout: Sequence[Field]) -> int:
 # -- reading
 
 
-def _date(token: Column) -> Column:
+def _date(token: str) -> str:
     """``yyyy-MM-dd`` or ``M/d/y``; years of two digits are taken as they stand."""
-    return F.when(token.rlike(DASH_DATE), token.try_cast("date")).when(
-        token.rlike(SLASH_DATE), slash_to_iso(token).try_cast("date")
+    return (
+        f"CASE WHEN {matches(token, DASH_DATE)} THEN try_cast({token} AS DATE) "
+        f"WHEN {matches(token, SLASH_DATE)} THEN try_cast({slash_to_iso(token)} AS DATE) END"
     )
 
 
-def _typed(token: Column, item: Field, fail: bool) -> Column:
+def _typed(item: Field, fail: bool) -> str:
     """The token as its field's type. Null stands for unreadable, unless that fails."""
-    dtype = item.dtype
-    if isinstance(dtype, T.StringType):
+    token, kind = quoted(item.name), item.dtype.simpleString()
+    if kind == "string":
         return token
-    if isinstance(dtype, T.LongType):
-        number = F.coalesce(token.try_cast("bigint"), F.lit(0).cast("bigint"))
-        return F.when(token.isNotNull(), number)
-    if isinstance(dtype, T.DoubleType):
-        value = F.coalesce(token.try_cast("double"), F.when(token == "Z", F.lit(0.0)))
+    if kind == "bigint":
+        return f"CASE WHEN {token} IS NOT NULL THEN coalesce(try_cast({token} AS BIGINT), 0L) END"
+    if kind == "double":
+        value = f"coalesce(try_cast({token} AS DOUBLE), CASE WHEN {token} = 'Z' THEN 0D END)"
     else:
         value = _date(token)
     if fail:
-        error = F.raise_error(F.lit(f"unreadable value in field {item.name}")).cast(dtype)
-        value = F.coalesce(value, error)
-    if isinstance(dtype, T.DateType):
-        value = F.when(token != "", value)
+        message = literal(f"unreadable value in field {item.name}")
+        value = f"coalesce({value}, CAST(raise_error({message}) AS {kind}))"
+    if kind == "date":
+        value = f"CASE WHEN {token} <> '' THEN {value} END"
     return value
 
 
-def _line_too_short(line: Column, layout: Sequence[Field]) -> Column:
+def _line_too_short(layout: Sequence[Field]) -> str:
     """Message naming the first field end that lies beyond the line."""
-    width, beyond = 0, []
+    width, ends = 0, []
     for item in layout:
         width += item.length
-        beyond.append(F.when(F.length(line) < width, F.lit(width)))
-    beyond = F.least(*beyond, F.lit(width))
-    return F.concat(
-        F.lit("Expected string of length at least "),
-        beyond.cast("string"),
-        F.lit("; got one of length "),
-        F.length(line).cast("string"),
+        ends.append(f"CASE WHEN length(value) < {width} THEN {width} END")
+    return (
+        f"concat('Expected string of length at least ', least({', '.join(ends)}, {width}), "
+        f"'; got one of length ', length(value))"
     )
 
 
@@ -121,47 +116,39 @@ def split_lines(
         raise ValueError(f"unknown mode {mode!r}")
     if not layout:
         return lines.select()
-    value = F.col("value")
-    too_short = F.length(value) < layout_width(layout)
     fail = mode == "FAILFAST"
-    if fail:
-        error = F.raise_error(_line_too_short(value, layout)).cast("string")
-        line = F.when(too_short, error).otherwise(value)
-    else:
-        line = F.when(~too_short, value)
+    width = layout_width(layout)
+    short = f"CAST(raise_error({_line_too_short(layout)}) AS STRING)" if fail else "NULL"
+    names = [quoted(item.name) for item in layout]
 
-    # Three projections, as tokens and values are each looked at more than once:
-    # Spark computes them once and still drops the columns nobody selects.
+    # Several projections, as lines, tokens and values are each looked at more
+    # than once: Spark computes them once and still drops unselected columns.
+    checked = lines.selectExpr(
+        "value",
+        f"CASE WHEN length(value) < {width} THEN {short} ELSE value END AS line",
+        r"value RLIKE r'[\x00-\x1f]' AS has_controls",
+    )
     cut, start = [], 1
     for item in layout:
-        cut.append(F.substring("line", start, item.length).alias(item.name))
+        cut.append(f"substring(line, {start}, {item.length}) AS {quoted(item.name)}")
         start += item.length
-    has_controls = value.rlike(r"[\x00-\x1f]")
-    checked = lines.select("value", line.alias("line"), has_controls.alias("has_controls"))
-    tokens = checked.select("value", "line", "has_controls", *cut)
-    trimmed = tokens.select(
+    trimmed = checked.selectExpr("value", "line", "has_controls", *cut).selectExpr(
         "value",
         "line",
-        *[
-            F.when(F.col("has_controls"), strip_blanks(F.col(item.name)))
-            .otherwise(F.trim(F.col(item.name)))
-            .alias(item.name)
-            for item in layout
-        ],
+        *[f"if(has_controls, {strip_blanks(c)}, trim({c})) AS {c}" for c in names],
     )
-    typed = [_typed(F.col(item.name), item, fail).alias(item.name) for item in layout]
+    typed = [f"{_typed(item, fail)} AS {quoted(item.name)}" for item in layout]
     if fail:
-        return trimmed.select(*typed)
+        return trimmed.selectExpr(*typed)
 
-    numbers = [item.name for item in layout if isinstance(item.dtype, T.DoubleType)]
-    days = [item.name for item in layout if isinstance(item.dtype, T.DateType)]
-    blank_days = [(F.col(name) == "").alias(f"__blank_{name}") for name in days]
-    values = trimmed.select("value", "line", *typed, *blank_days)
-    faults = [F.col("line").isNull()]
-    faults += [F.col(name).isNull() for name in numbers]
-    faults += [F.col(name).isNull() & ~F.col(f"__blank_{name}") for name in days]
-    corrupt = F.when(reduce(or_, faults), F.col("value")).alias(CORRUPT)
-    return values.select(*[item.name for item in layout], corrupt)
+    kinds = {quoted(item.name): item.dtype.simpleString() for item in layout}
+    days = [c for c, kind in kinds.items() if kind == "date"]
+    blanks = [f"{c} = '' AS __blank_{i}" for i, c in enumerate(days)]
+    faults = ["line IS NULL"]
+    faults += [f"{c} IS NULL" for c, kind in kinds.items() if kind == "double"]
+    faults += [f"({c} IS NULL AND NOT __blank_{i})" for i, c in enumerate(days)]
+    corrupt = f"CASE WHEN {' OR '.join(faults)} THEN value END AS {CORRUPT}"
+    return trimmed.selectExpr("value", "line", *typed, *blanks).selectExpr(*names, corrupt)
 
 
 def read_fixed_width(
@@ -232,7 +219,7 @@ def format_lines(
         if found is None:
             tokens.append(F.lit(ABSENT[item.dtype].ljust(item.length)[: item.length]))
             continue
-        c = F.col("`" + found.name.replace("`", "``") + "`")
+        c = F.col(quoted(found.name))
         text = F.coalesce(_written(c, found.dataType, item, zero_numbers), F.lit(""))
         texts.append(text.alias(f"text_{i}"))
         text = F.col(f"text_{i}")

@@ -261,7 +261,7 @@ def test_fillers_spread_rows_that_need_no_key(spark, shuffled_joins, monkeypatch
         )
         # by the whole row, and by the key alone, as where all rows are copies
         for spread_on, most in ((["id", "c"], 600), (["c"], 1000)):
-            out = keys.add_derived_keys(df, {"out": F.col("c")}, "s", spread_on, 0)
+            out = keys.add_derived_keys(df, {"out": "c"}, "s", spread_on, 0)
             idle = out.where("c is null or c = 'hot'")
             sizes = idle.groupBy(F.spark_partition_id()).count().collect()
             assert len(sizes) == 8 and max(r["count"] for r in sizes) < most
