@@ -155,6 +155,29 @@ def pbe_key_hash(spark, folder):
     )
 
 
+@query(
+    "pbe_key_hash_shuffled",
+    f"""
+    WITH RECURSIVE {sql_pbkdf2("SELECT CAST(l_suppkey AS VARCHAR) AS value FROM lineitem", "salt-person")}
+    SELECT l_orderkey, l_linenumber, derived AS l_suppkey
+    FROM lineitem LEFT JOIN keys ON raw = CAST(l_suppkey AS VARCHAR) AND l_linenumber > 1
+    """,
+)
+def pbe_key_hash_shuffled(spark, folder):
+    """Keys joined as where they are too many to broadcast; first lines have no supplier."""
+    df = load(spark, folder, "lineitem")
+    df = df.withColumn("l_suppkey", F.when(F.col("l_linenumber") > 1, F.col("l_suppkey")))
+    return masked(
+        df,
+        {
+            "l_orderkey": "Identity",
+            "l_linenumber": "Identity",
+            "l_suppkey": salted("PBEKeyHash", "person"),
+        },
+        broadcast_bytes=0,
+    )
+
+
 RAW_SUPPLIER = """
     CASE s_suppkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' || s_name || '  '
          ELSE s_name END

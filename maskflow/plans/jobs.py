@@ -78,12 +78,14 @@ def mask_csv_folder(
     sink: Sink,
     salts: Salts | None = None,
     options: MaskOptions | None = None,
-    infer_types: bool = True,
+    infer_types: bool | None = None,
     multi_line: bool = False,
     at_once: int = 4,
 ) -> list[str]:
     """Every CSV file of a folder. Columns whose text must stay as it is, are text.
 
+    Types are inferred, at the price of reading the files once more, where the
+    policy passes some on; ``infer_types`` sets it for all tables.
     ``multi_line`` allows line breaks within quotes; such files are read by one
     task each.
     """
@@ -91,8 +93,10 @@ def mask_csv_folder(
     by_name = {policy.name: policy for policy in policies}
 
     def reader(name: str, paths: list[str]) -> Callable[[], DataFrame]:
-        text = by_name[name].text_columns()
-        return lambda: read_csv(spark, paths, infer_types, text, multi_line=multi_line)
+        policy = by_name[name]
+        infer = policy.keeps_types() if infer_types is None else infer_types
+        text = policy.text_columns()
+        return lambda: read_csv(spark, paths, infer, text, multi_line=multi_line)
 
     grouped = _paths_by_policy(spark, folder, policies)
     tables = {name: reader(name, paths) for name, paths in grouped.items()}

@@ -50,6 +50,9 @@ STRATEGY_TYPES = frozenset(
 # would already have lost leading zeros.
 TEXT_STRATEGIES = frozenset({"Zip3Digit", "City", "Hash", "PBEKeyHash"})
 
+# Strategies whose result has the type of their input.
+TYPE_KEEPING = frozenset({"Identity", "Duplicate", "Age", "MaxYear"})
+
 
 @dataclass(frozen=True)
 class Strategy:
@@ -82,6 +85,10 @@ class TablePolicy:
         """Columns a reader should keep as text whatever their values look like."""
         return [s.column for s in self.strategies if s.type in TEXT_STRATEGIES]
 
+    def keeps_types(self) -> bool:
+        """Whether the types a reader finds can show in the masked table."""
+        return any(s.type in TYPE_KEEPING for s in self.strategies)
+
     def check(self) -> None:
         for strategy in self.strategies:
             if strategy.type not in STRATEGY_TYPES:

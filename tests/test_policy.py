@@ -74,6 +74,14 @@ def test_match():
         match_policy("doctors", policies)
 
 
+def test_types_matter_only_where_passed_on():
+    def policy(*types):
+        return TablePolicy("t", tuple(Strategy(f"c{i}", t) for i, t in enumerate(types)))
+
+    assert not policy("Hash", "Year", "Zip3Digit", "Clear", "DateShift").keeps_types()
+    assert policy("Hash", "Identity").keeps_types() and policy("Age").keeps_types()
+
+
 def test_date_epoch_needs_a_column():
     with pytest.raises(ValueError, match="date_epoch"):
         TablePolicy("t", (Strategy("a", "DateEpoch"),)).check()
