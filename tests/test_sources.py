@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from maskflow.sources import jdbc, sinks
 from maskflow.sources.files import list_tables, read_csv, read_json
 from maskflow.sources.fixedwidth import (
-    CORRUPT,
     Field,
     format_lines,
     layout_schema,
