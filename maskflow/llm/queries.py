@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm import contamination, fingerprints, mixing, quality, sharding
+from maskflow.llm import contamination, fingerprints, language, mixing, quality, sharding, warc
 from maskflow.llm.common import load, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,40 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    model = language.train(docs.where(~language.held_out("doc_id")))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        language.held_out("doc_id").alias("held_out"),
+        F.col("language.nearest").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.rejected").alias("rejected"),
+    )
+
+
+@query
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(load(spark, folder, "pages"))
+
+
+SQL["op2_warc"] = """
+WITH digests AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
+    octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes
+  FROM pages),
+firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM digests
+  WHERE payload_bytes >= 100 GROUP BY payload_digest HAVING count(*) > 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response'
+    ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM digests LEFT JOIN firsts USING (payload_digest)
+"""
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
