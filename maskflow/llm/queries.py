@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm import contamination, fingerprints, language, mixing, quality, sharding, warc
+from maskflow.llm import contamination, fingerprints, language, mixing, personal, quality, sharding, warc
 from maskflow.llm.common import load, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,27 @@ FROM digests LEFT JOIN firsts USING (payload_digest)
 """
 
 
+@query
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    found = personal.find_personal_data(docs.select("doc_id", "text"), personal.train(docs))
+    base, spans = F.col("personal.base"), F.col("personal.spans")
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def written(column):
+        parts = F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.concat_ws(",", parts)
+
+    return found.select("doc_id", "personal").select(
+        "doc_id",
+        *map(count, personal.KINDS),
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(spans).alias("spans"),
+    )
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
