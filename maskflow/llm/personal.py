@@ -349,12 +349,17 @@ def training_windows(texts: list[str], windows: int = TRAIN_WINDOWS, seed: int =
             text, own = found[k]
         else:
             text = plain[int(draw.integers(0, len(plain)))]
-            cuts = [m.start() for m in re.finditer(r"\s", text[: WINDOW - 24])] or [0]
+            cuts = [m.start() for m in re.finditer(r"\s", text[: WINDOW - 16])] or [0]
             cut = cuts[int(draw.integers(0, len(cuts)))]
-            kind = KINDS[k % 4] if k % 5 else None
-            value = _spoken_like(kind, draw) if kind else _harmless(draw)
+            value, own = "", []
+            # One value, two side by side, or a harmless number.
+            for n in range(0 if k % 5 == 0 else 1 + (k % 3 == 0)):
+                kind = KINDS[(k + n * int(draw.integers(0, 4))) % 4]
+                first, value = len(value) + (n > 0), value + " " * (n > 0) + _spoken_like(kind, draw)
+                own.append((cut + 1 + first, cut + 1 + len(value), kind))
+            value = value or _harmless(draw)
             text = f"{text[:cut]} {value}{draw.choice(['', '', '.', ','])} {text[cut:]}"[:WINDOW]
-            own = tags_of(WINDOW, [(cut + 1, cut + 1 + len(value), kind)] if kind else [])
+            own = tags_of(WINDOW, own)
         codes.append(symbols(text.ljust(WINDOW, "\n")))
         tags.append(own)
     return np.array(codes), np.array(tags)
