@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm import contamination, fingerprints, language, mixing, personal, quality, sharding, warc
+from maskflow.llm import contamination, fingerprints, graphs, language, mixing, personal, quality, sharding, warc
 from maskflow.llm.common import load, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.find_leaks(docs, load(spark, folder, "benchmark"))
 
 
+@query
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return graphs.near_vectors(load(spark, folder, "embeddings"))
+
+
 @query
 def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
