@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskflow.llm import contamination, fingerprints, graphs, language, mixing, personal, quality, sharding, warc
+from maskflow.llm import contamination, fingerprints, graphs, language, mixing, personal, quality, sharding, templates, warc
 from maskflow.llm.common import load, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,61 @@ FROM digests LEFT JOIN firsts USING (payload_digest)
 """
 
 
+@query
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    clean = templates.drop_recurring_lines(docs)
+    return clean.select(
+        "doc_id",
+        F.coalesce(F.size("dropped"), F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.octet_length("text").cast("bigint").alias("clean_bytes"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("clean_sha256"),
+    )
+
+
+SQL["op3_line_dedup"] = r"""
+WITH rows AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+lines AS (
+  SELECT row, coalesce(doc_id, 9223372036854775807) AS doc,
+    unnest(string_split(text, chr(10))) AS line,
+    unnest(range(len(string_split(text, chr(10))))) AS place
+  FROM rows WHERE text IS NOT NULL),
+tokens AS (
+  SELECT *, list_transform(string_split(line, ' '),
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+  FROM lines WHERE trim(line, ' ') <> ''),
+leaves AS (
+  SELECT *, len(tokens) AS n, array_to_string(tokens[1:3], ' ') AS lead FROM tokens),
+shared AS (
+  SELECT n, lead FROM leaves GROUP BY n, lead HAVING min(doc) <> max(doc)),
+uniques AS (
+  SELECT n, lead, line, tokens, array_to_string(tokens, ' ') AS masked, min(doc) AS first
+  FROM leaves JOIN shared USING (n, lead) GROUP BY n, lead, line, tokens),
+templates AS (
+  SELECT n, lead, first AS template_first, tokens AS template FROM uniques
+  QUALIFY row_number() OVER (PARTITION BY n, lead ORDER BY first, masked) = 1),
+keepers AS (
+  SELECT line, CASE WHEN list_sum(list_transform(range(1, n + 1),
+      lambda i: CASE WHEN tokens[i] = template[i] AND tokens[i] <> '<*>' THEN 1 ELSE 0 END)) / n >= 0.8
+    THEN template_first ELSE first END AS keeper
+  FROM uniques JOIN templates USING (n, lead)),
+gone AS (
+  SELECT row, count(*) AS n_dropped, list(place) AS dropped
+  FROM lines JOIN keepers USING (line) WHERE doc <> keeper GROUP BY row),
+kept AS (
+  SELECT lines.row, string_agg(line, chr(10) ORDER BY place) AS text
+  FROM lines JOIN gone ON lines.row = gone.row AND NOT list_contains(dropped, place)
+  GROUP BY lines.row),
+clean AS (
+  SELECT doc_id, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
+    CASE WHEN n_dropped IS NULL THEN rows.text ELSE coalesce(kept.text, '') END AS text
+  FROM rows LEFT JOIN gone ON rows.row = gone.row LEFT JOIN kept ON rows.row = kept.row)
+SELECT doc_id, n_dropped, octet_length(encode(text))::BIGINT AS clean_bytes,
+  sha256(text) AS clean_sha256
+FROM clean
+"""
+
+
 @query
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
