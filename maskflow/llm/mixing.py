@@ -57,17 +57,51 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, epochs=EPOCHS, most=MOST)
     )
 
 
-def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, slack: int = 64,
-               knapsack_sizes: int = 512) -> np.ndarray:
+def knapsack(sizes: list[int], rooms: list[int], budget: int) -> dict[int, int]:
+    """How many documents of each index to take, at most ``rooms`` of it, so that the sum
+    of their sizes is nearest to ``budget``, the lower of two.
+
+    A bounded knapsack with a bit for every reachable sum, counts in binary
+    parts. Sums up to one largest size above the budget are looked at.
+    """
+    usable = [i for i, room in enumerate(rooms) if room]
+    if not usable or budget <= 0:
+        return {}
+    reach = budget + max(sizes[i] for i in usable)
+    parts = []  # (index, number of documents)
+    for i in usable:
+        room, part = min(rooms[i], reach // sizes[i]), 1
+        while room > 0:
+            parts.append((i, min(part, room)))
+            room -= parts[-1][1]
+            part *= 2
+    mask = (1 << (reach + 1)) - 1
+    states = [1]
+    for i, n in parts:
+        states.append((states[-1] | states[-1] << (sizes[i] * n)) & mask)
+    best = (states[-1] & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = states[-1] >> (budget + 1)
+    if above:
+        over = budget + 1 + (above & -above).bit_length() - 1
+        best = over if over - budget < budget - best else best
+    taken: dict[int, int] = {}
+    for (i, n), state in zip(reversed(parts), reversed(states[:-1])):
+        if not state >> best & 1:
+            taken[i] = taken.get(i, 0) + n
+            best -= sizes[i] * n
+    return taken
+
+
+def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, most_bits: int = 1 << 30) -> np.ndarray:
     """How many documents of each size to take so that their sizes sum to about
     ``budget``; sizes are positive and distinct.
 
     Every size first gives its share of the budget, rounded down; then sizes with
-    the largest lost parts give one more while it fits. One document of the
-    ``slack`` smallest sizes is given back, and the remaining budget is fitted by
-    a bounded knapsack over ``knapsack_sizes`` sizes: a bit for every reachable
-    sum, counts in binary parts. The sum nearest to the budget is taken, the
-    lower of two.
+    the largest lost parts give one more while it fits. What remains is fitted
+    by a bounded knapsack, after a few documents of the smallest sizes are given
+    back; while the budget is missed and the table of reachable sums stays below
+    ``most_bits``, more are given back, in the end all of them. Without that
+    limit being met the sum is the nearest there is.
     """
     sizes = [int(s) for s in sizes]
     counts = [int(c) for c in counts]
@@ -75,46 +109,34 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, slack: int =
     budget = max(0, min(int(budget), total))
     if not total or not budget:
         return np.zeros(len(sizes), dtype=np.int64)
-    taken = [c * budget // total for c in counts]
+    shares = [c * budget // total for c in counts]
     lost = [c * budget % total for c in counts]
-    left = budget - sum(s * n for s, n in zip(sizes, taken))
+    left = budget - sum(s * n for s, n in zip(sizes, shares))
     for i in sorted(range(len(sizes)), key=lambda i: (-lost[i], -sizes[i])):
-        if sizes[i] <= left and taken[i] < counts[i]:
-            taken[i] += 1
+        if sizes[i] <= left and shares[i] < counts[i]:
+            shares[i] += 1
             left -= sizes[i]
-    for i in sorted(range(len(sizes)), key=lambda i: sizes[i])[:slack]:
-        if taken[i]:
-            taken[i] -= 1
-            left += sizes[i]
-    free = [i for i in range(len(sizes)) if counts[i] > taken[i]]
-    if not left or not free:
-        return np.array(taken, dtype=np.int64)
-    smallest = min(sizes[i] for i in free)
-    reach = left + smallest
-    usable = sorted((i for i in free if sizes[i] <= reach), key=lambda i: sizes[i])
-    step = max(1, -(-len(usable) // knapsack_sizes))
-    parts = []  # (index, number of documents)
-    for i in usable[:: step]:
-        room, part = min(counts[i] - taken[i], reach // sizes[i], 7), 1
-        while room:
-            parts.append((i, min(part, room)))
-            room -= parts[-1][1]
-            part *= 2
-    mask = (1 << (reach + 1)) - 1
-    states = [1]
-    for i, n in parts:
-        states.append((states[-1] | states[-1] << (sizes[i] * n)) & mask)
-    below = (states[-1] & ((1 << (left + 1)) - 1)).bit_length() - 1
-    above = states[-1] >> (left + 1)
-    best = below
-    if above:
-        over = left + 1 + (above & -above).bit_length() - 1
-        best = below if left - below <= over - left else over
-    for (i, n), state in zip(reversed(parts), reversed(states[:-1])):
-        if not state >> best & 1:
+    smallest = sorted(range(len(sizes)), key=lambda i: sizes[i])
+    found, miss = shares, left
+    # (sizes that give back, documents each, sizes in the knapsack, room of each)
+    for few, back, kinds, room in ((64, 1, 512, 7), (256, 4, 512, 15), (len(sizes), total, len(sizes), total)):
+        if not miss:
+            break
+        taken = list(shares)
+        for i in smallest[:few]:
+            taken[i] -= min(taken[i], back)
+        rest = budget - sum(s * n for s, n in zip(sizes, taken))
+        usable = [i for i in smallest if counts[i] > taken[i] and sizes[i] <= 2 * rest]
+        usable = set(usable[:: max(1, -(-len(usable) // kinds))])
+        rooms = [min(counts[i] - taken[i], room) if i in usable else 0 for i in range(len(sizes))]
+        if rest * sum(n.bit_length() for n in rooms) > most_bits:
+            continue
+        for i, n in knapsack(sizes, rooms, rest).items():
             taken[i] += n
-            best -= sizes[i] * n
-    return np.array(taken, dtype=np.int64)
+        off = abs(budget - sum(s * n for s, n in zip(sizes, taken)))
+        if off < miss:
+            found, miss = taken, off
+    return np.array(found, dtype=np.int64)
 
 
 def _fit(group: pd.DataFrame) -> pd.DataFrame:
