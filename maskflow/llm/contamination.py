@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -16,13 +17,15 @@ from pyspark.sql import functions as F
 # Words of an indexed piece of an item; passages are twice as long and start at
 # every multiple of it, so every piece that occurs lies in one passage whole.
 PIECE = 64
-BLOCK = 8
+BLOCK = 4
 SCORE = 0.6
 OVERLAP = 0.8
 GRAM = 5
 K1, B = 1.2, 0.75
-# Bytes of items in one index, which is sent to every task.
-INDEX_BYTES = 4 << 20
+# Bytes of items in one index, which is sent to every task, and of its table of bounds;
+# blocks hold more pieces where the table would be larger.
+INDEX_BYTES = 256 << 10
+BOUNDS_BYTES = 64 << 20
 
 WORD = re.compile(r"\w+")
 MATCHES = "array<struct<item_id: string, score: double, question_overlap: double, answer_overlap: double>>"
@@ -76,7 +79,9 @@ class Index:
         common = {w: k for k, (w, _) in enumerate(sorted(frequency.items(), key=lambda x: (-x[1], x[0])))}
         pieces.sort(key=lambda piece: sorted(common[word] for word in piece[1])[:8])
         self.owners = [number for number, _ in pieces]
-        blocks = -(-len(pieces) // BLOCK)
+        table = 4 * (len(self.vocabulary) + 1) * len(pieces)
+        size = max(BLOCK, -(-table // BOUNDS_BYTES))
+        blocks = -(-len(pieces) // size)
         self.bounds = np.zeros((len(self.vocabulary) + 1, blocks), dtype=np.float32)
         self.postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
         mean = sum(sum(t.values()) for _, t in pieces) / max(1, len(pieces))
@@ -87,7 +92,7 @@ class Index:
                 df = frequency[word]
                 idf = math.log(1 + (len(pieces) - df + 0.5) / (df + 0.5))
                 weights[word] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
-            own, block = sum(weights.values()), place // BLOCK
+            own, block = sum(weights.values()), place // size
             for word, weight in weights.items():
                 term, impact = self.vocabulary[word], weight / own
                 self.postings.setdefault((term, block), []).append((place, impact))
@@ -132,7 +137,7 @@ class Index:
         """Best score by item of all passages, for items that reach ``least`` in one."""
         unknown = len(self.vocabulary)
         get = self.vocabulary.get
-        ids = np.fromiter((get(w, unknown) for w in words), dtype=np.int64, count=len(words))
+        ids = np.fromiter(map(get, words, repeat(unknown)), dtype=np.int64, count=len(words))
         at = np.flatnonzero(ids < unknown)
         if not len(at):
             return {}
@@ -146,14 +151,16 @@ class Index:
         bounds[follows] += sums[follows + 1]
         ends = np.append(starts[1:], len(terms))
         best: dict[int, float] = {}
-        for row, block in np.argwhere(bounds >= least - 1e-3):
+        for row in np.flatnonzero((bounds >= least - 1e-3).any(axis=1)):
             last = row + 1 if row + 1 < len(numbers) and numbers[row + 1] == numbers[row] + 1 else row
-            distinct = np.unique(terms[starts[row] : ends[last]])
-            if self.bounds[distinct, block].sum() < least - 1e-3:
-                continue
-            for place, score in self.search(distinct.tolist(), int(block), least):
-                owner = self.owners[place]
-                best[owner] = max(best.get(owner, 0.0), score)
+            distinct = np.array(sorted(set(terms[starts[row] : ends[last]].tolist())))
+            # Terms of both halves now count once.
+            exact = bounds[row] if last == row else self.bounds[distinct].sum(axis=0)
+            for block in np.flatnonzero(exact >= least - 1e-3).tolist():
+                own = distinct[self.bounds[distinct, block] > 0].tolist()
+                for place, score in self.search(own, block, least):
+                    owner = self.owners[place]
+                    best[owner] = max(best.get(owner, 0.0), score)
         return best
 
     def matches(self, text: str | None, least: float = SCORE, overlap: float = OVERLAP) -> list[dict]:
