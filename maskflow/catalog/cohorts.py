@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from maskflow.catalog.registry import load, query, sql_list
 from maskflow.operators.generate import (
     BATCH_COHORT,
+    BATCH_IDS,
     NOTES,
     Cohort,
+    batch_ids,
     encounters,
     heart_rates,
     heart_rates_of,
@@ -19,7 +19,6 @@ from maskflow.operators.generate import (
 
 SEED = 7
 COHORT = Cohort()
-SHORT = replace(COHORT, readings=61)
 
 
 def sql_number(field: str, span: tuple[int, int], row: str, more: str = "") -> str:
@@ -107,12 +106,12 @@ def generate_encounters(spark, folder):
     "generate_heart_rates",
     sql_readings(
         f"SELECT patient_id, {sql_date('series', COHORT.visit_years, COHORT, 'CAST(patient_id AS VARCHAR)')} AS start FROM ({IDS})",
-        SHORT,
+        COHORT,
         "CAST(patient_id AS VARCHAR)",
     ),
 )
 def generate_heart_rates(spark, folder):
-    return heart_rates(customer_ids(spark, folder), SEED, SHORT)
+    return heart_rates(customer_ids(spark, folder), SEED, COHORT)
 
 
 @query(
@@ -126,3 +125,18 @@ def generate_heart_rates(spark, folder):
 def generate_heart_rates_batch(spark, folder):
     visits = encounters(customer_ids(spark, folder), 1, SEED, BATCH_COHORT)
     return heart_rates_of(visits, SEED)
+
+
+@query(
+    "generate_batch_ids",
+    f"""
+    SELECT c_custkey, {sql_number("patient", BATCH_IDS, "CAST(c_custkey AS VARCHAR)")} AS patient_id
+    FROM customer
+    """,
+)
+def generate_batch_ids(spark, folder):
+    """As many random, repeating ids as there are customers, beside their numbers."""
+    customers = load(spark, folder, "customer")
+    ids = batch_ids(spark, customers.count(), SEED)
+    numbered = ids.withColumn("c_custkey", F.col("row"))
+    return customers.select("c_custkey").join(numbered, "c_custkey").select("c_custkey", "patient_id")

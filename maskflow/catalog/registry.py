@@ -53,9 +53,9 @@ def policy(columns: dict, name: str = "") -> TablePolicy:
     return parse_table_policy(json.dumps(document), name)
 
 
-def masked(df: DataFrame, columns: dict, **options) -> DataFrame:
+def masked(df: DataFrame, columns: dict, where=None, **options) -> DataFrame:
     options.setdefault("as_of_year", AS_OF)
-    return deidentify(df, policy(columns), SALTS, MaskOptions(**options))
+    return deidentify(df, policy(columns), SALTS, MaskOptions(**options), where)
 
 
 # -- SQL text

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from maskflow.catalog.registry import (
@@ -309,27 +310,44 @@ def masked_fixed_width(spark, folder):
     UNION ALL SELECT 'ignore', count(*) FROM nation
     UNION ALL SELECT 'overwrite', count(*) FROM nation
     UNION ALL SELECT 'error', count(*) FROM nation
+    UNION ALL SELECT 'error, refused', count(*) FROM nation
     """,
 )
 def save_modes(spark, folder):
-    """Lines after writing nations twice under each mode."""
+    """Lines after writing nations twice under each mode; under ``error`` the second
+    write must fail and leave the first as it is."""
     nations = load(spark, folder, "nation")
     layout = [Field("n_nationkey", 4, "9"), Field("n_name", 25, "X")]
     counts = None
     for mode in ("append", "ignore", "overwrite", "error"):
         out = new_path(spark, f"lines-{mode}")
         write_fixed_width(nations, out, layout, mode=mode)
-        if mode != "error":
+        labels = [mode]
+        try:
             write_fixed_width(nations, out, layout, mode=mode)
-        count = spark.read.text(out).agg(
-            F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("n_lines")
-        )
-        counts = count if counts is None else counts.unionAll(count)
+        except AnalysisException:
+            labels.append(f"{mode}, refused")
+        for label in labels:
+            count = spark.read.text(out).agg(
+                F.lit(label).alias("mode"), F.count(F.lit(1)).alias("n_lines")
+            )
+            counts = count if counts is None else counts.unionAll(count)
     return counts
 
 
-@query("text_dump", "SELECT url AS value FROM pages")
+@query(
+    "text_dump",
+    """
+    SELECT concat_ws(chr(9), page_id, url, replace(replace(html, chr(10), ' '), chr(13), ' ')) AS value
+    FROM pages
+    """,
+)
 def text_dump(spark, folder):
+    """Whole pages, a line each with tabs between the columns."""
     out = new_path(spark, "text")
-    text_sink(out)("pages", load(spark, folder, "pages").select("url"))
+    pages = masked(
+        load(spark, folder, "pages"), {"page_id": "Identity", "url": "Identity", "html": "Identity"}
+    )
+    lines = pages.select(F.concat_ws("\t", "page_id", "url", "html").alias("value"))
+    text_sink(out)("pages", lines)
     return spark.read.text(f"{out}/pages")

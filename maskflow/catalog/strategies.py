@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from maskflow.catalog.digests import sql_sha512
 from maskflow.catalog.registry import (
     AS_OF,
+    SALTS,
     load,
     masked,
     query,
@@ -94,7 +97,25 @@ def hash_256(spark, folder):
     )
 
 
-@query("hash_512")
+def sql_sha512_of(c: str, salt: str) -> str:
+    """The text that Hash digests, for a value that is neither null nor empty."""
+    return f"CASE WHEN {c} <> '' THEN trim({c}, ' ') || '{salt}' END"
+
+
+@query(
+    "hash_512",
+    f"""
+    WITH RECURSIVE raw AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, {RAW_NAME} AS c_name FROM customer),
+    texts AS (
+        SELECT *, {sql_sha512_of("c_custkey", "salt-person")} AS key_text,
+               {sql_sha512_of("c_name", "salt-person")} AS name_text
+        FROM raw),
+    {sql_sha512("SELECT key_text AS value FROM texts UNION ALL SELECT name_text FROM texts")}
+    SELECT k.digest AS c_custkey, CASE WHEN c_name = '' THEN '' ELSE n.digest END AS c_name
+    FROM texts JOIN sha512s k ON k.raw = key_text LEFT JOIN sha512s n ON n.raw = name_text
+    """,
+)
 def hash_512(spark, folder):
     return masked(
         with_raw_name(load(spark, folder, "customer")),
@@ -178,6 +199,35 @@ def pbe_key_hash_shuffled(spark, folder):
     )
 
 
+@query(
+    "pbe_key_hash_three_salts",
+    f"""
+    WITH RECURSIVE {sql_pbkdf2("SELECT s_name AS value FROM supplier", "salt-person").replace("keys AS", "people AS").replace("padded", "padded_a").replace("blocks", "blocks_a").replace("rounds", "rounds_a")},
+    {sql_pbkdf2("SELECT CAST(s_nationkey AS VARCHAR) AS value FROM supplier", "salt-place").replace("keys AS", "places AS").replace("padded", "padded_b").replace("blocks", "blocks_b").replace("rounds", "rounds_b")},
+    {sql_pbkdf2("SELECT CAST(s_nationkey AS VARCHAR) AS value FROM supplier", "salt-event").replace("keys AS", "events_ AS").replace("padded", "padded_c").replace("blocks", "blocks_c").replace("rounds", "rounds_c")}
+    SELECT s_suppkey, people.derived AS s_name, places.derived AS s_nationkey,
+           events_.derived AS nation
+    FROM supplier JOIN people ON people.raw = s_name
+    JOIN places ON places.raw = CAST(s_nationkey AS VARCHAR)
+    JOIN events_ ON events_.raw = CAST(s_nationkey AS VARCHAR)
+    """,
+)
+def pbe_key_hash_three_salts(spark, folder):
+    """Three columns under three salts, derived in one pass."""
+    df = load(spark, folder, "supplier").select(
+        "s_suppkey", "s_name", "s_nationkey", F.col("s_nationkey").alias("nation")
+    )
+    return masked(
+        df,
+        {
+            "s_suppkey": "Identity",
+            "s_name": salted("PBEKeyHash", "person"),
+            "s_nationkey": salted("PBEKeyHash", "place"),
+            "nation": salted("PBEKeyHash", "event"),
+        },
+    )
+
+
 RAW_SUPPLIER = """
     CASE s_suppkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' || s_name || '  '
          ELSE s_name END
@@ -269,9 +319,7 @@ def postal(spark, folder) -> DataFrame:
     )
 
 
-@query(
-    "city_keyed",
-    f"""
+CITY_KEYED = f"""
     WITH areas AS (
         SELECT substr(zip, 1, 3) AS zip3, city,
                row_number() OVER (PARTITION BY substr(zip, 1, 3) ORDER BY city) - 1 AS place,
@@ -284,15 +332,46 @@ def postal(spark, folder) -> DataFrame:
                 ELSE coalesce(city, 'unknown') END AS city
     FROM drawn LEFT JOIN areas
       ON zip3 = substr(zip, 1, 3) AND length(zip) >= 3 AND place = floor(chance * n)
-    """,
-)
-def city_keyed(spark, folder):
+    """
+
+
+def city_masked(spark, folder, **options):
     df = load(spark, folder, "customer").withColumn("city", F.expr(RAW_ZIP))
     return masked(
         df,
         {"c_custkey": "Identity", "city": salted("City", "place")},
         random="keyed",
         cities=postal(spark, folder),
+        **options,
+    )
+
+
+@query("city_keyed", CITY_KEYED)
+def city_keyed(spark, folder):
+    return city_masked(spark, folder)
+
+
+@query("city_keyed_shuffled", CITY_KEYED)
+def city_keyed_shuffled(spark, folder):
+    """The plan for postal tables that are not broadcast: same cities."""
+    return city_masked(spark, folder, broadcast_bytes=0)
+
+
+@query(
+    "city_by_zip_column",
+    CITY_KEYED.replace("coalesce(city, 'unknown') END AS city", "coalesce(city, 'unknown') END AS place_name"),
+)
+def city_by_zip_column(spark, folder):
+    """A place name masked by the zip in another column."""
+    df = load(spark, folder, "customer").select(
+        "c_custkey", F.col("c_name").alias("place_name"), F.expr(RAW_ZIP).alias("zip")
+    )
+    return masked(
+        df,
+        {"c_custkey": "Identity", "place_name": salted("City", "place")},
+        random="keyed",
+        cities=postal(spark, folder),
+        city_zip_column="zip",
     )
 
 
@@ -333,15 +412,20 @@ def city_uniform(spark, folder):
 @query(
     "cities_by_area",
     f"""
-    SELECT substr(zip, 1, 3) AS zip3, string_agg(city, '|' ORDER BY city) AS cities,
+    SELECT zip3, CAST(place // 3 AS INTEGER) AS part, string_agg(city, '|' ORDER BY city) AS cities,
            count(*) AS n
-    FROM ({POSTAL}) GROUP BY 1
+    FROM (SELECT substr(zip, 1, 3) AS zip3, city,
+                 row_number() OVER (PARTITION BY substr(zip, 1, 3) ORDER BY city) - 1 AS place
+          FROM ({POSTAL}))
+    GROUP BY 1, 2
     """,
 )
 def cities_by_area_query(spark, folder):
-    lists = cities_by_area(postal(spark, folder))
+    """Lists of at most three cities, so that areas have several parts."""
+    lists = cities_by_area(postal(spark, folder), list_size=3)
     return lists.select(
         "zip3",
+        "part",
         F.array_join("cities", "|").alias("cities"),
         F.size("cities").cast("bigint").alias("n"),
     )
@@ -357,7 +441,7 @@ def cities_by_area_query(spark, folder):
     """,
 )
 def numbered_cities_query(spark, folder):
-    sizes, numbered = numbered_cities(postal(spark, folder))
+    sizes, numbered = numbered_cities(postal(spark, folder), large=True)
     return numbered.join(sizes, "zip3")
 
 
@@ -453,6 +537,53 @@ def date_time_day(spark, folder):
     return masked(df, {"event_id": "Identity", "ts": "DateTimeDay"})
 
 
+def dirty_text(c: str, key: str) -> Column:
+    """Date texts as files have them: with milliseconds, NULL, and dates with
+    something behind them, which are no dates."""
+    stamp, k = F.col(c), F.col(key)
+    day = F.date_format(stamp, "yyyy-MM-dd")
+    return (
+        F.when(k % 11 == 0, F.concat(day, F.lit(" soon")))
+        .when(k % 11 == 1, F.concat(day, F.lit("Tgarbage")))
+        .when(k % 11 == 2, F.concat(F.date_format(stamp, "yyyy-MM-dd HH:mm:ss"), F.lit(" x")))
+        .otherwise(date_text(stamp, k))
+    )
+
+
+def sql_dirty(key: str, c: str) -> str:
+    """The timestamp that a dirty text stands for, to milliseconds where it has a time."""
+    return (
+        f"CASE WHEN {key} % 11 < 3 OR {key} % 9 IN (0, 1, 5) THEN NULL "
+        f"WHEN {key} % 9 = 3 THEN date_trunc('milliseconds', {c}) "
+        f"WHEN {key} % 9 = 4 THEN date_trunc('second', {c}) ELSE date_trunc('day', {c}) END"
+    )
+
+
+def dirty_events(spark, folder) -> DataFrame:
+    past = F.col("ts") - F.make_ym_interval((F.col("user_id") % 40).cast("int"))
+    return load(spark, folder, "events").withColumn("past", past)
+
+
+DIRTY_EVENTS = f"""
+    (SELECT event_id, user_id, {sql_dirty("event_id", "past")} AS past
+     FROM (SELECT *, ts - to_years(CAST(user_id % 40 AS INTEGER)) AS past FROM events))
+"""
+
+
+@query(
+    "date_time_day_text",
+    f"""
+    SELECT event_id, CASE WHEN past IS NOT NULL THEN
+           make_timestamp(greatest(year(past), {AS_OF - 89})::BIGINT, 1, 1, hour(past)::BIGINT,
+                          minute(past)::BIGINT, (microsecond(past) / 1000000.0)::DOUBLE) END AS past
+    FROM {DIRTY_EVENTS}
+    """,
+)
+def date_time_day_text(spark, folder):
+    df = dirty_events(spark, folder).withColumn("past", dirty_text("past", "event_id"))
+    return masked(df, {"event_id": "Identity", "past": "DateTimeDay"})
+
+
 def sql_shift(patient: str, chance: str) -> str:
     days = "[" + ", ".join(map(str, SHIFT_DAYS)) + "]"
     digit = f"CAST(right(CAST({patient} AS VARCHAR), 1) AS INTEGER)"
@@ -478,6 +609,85 @@ def date_shift(spark, folder):
     )
 
 
+@query(
+    "date_shift_text",
+    f"""
+    SELECT event_id, CAST(past AS DATE) + {sql_shift("user_id", "0")} AS past
+    FROM {DIRTY_EVENTS}
+    """,
+)
+def date_shift_text(spark, folder):
+    df = dirty_events(spark, folder).withColumn("past", dirty_text("past", "event_id"))
+    return masked(df, {"event_id": "Identity", "past": "DateShift"}, patient_column="user_id")
+
+
+@query(
+    "date_time_shift_text",
+    f"""
+    SELECT event_id, past + to_days({sql_shift("user_id", "0")}) AS past
+    FROM {DIRTY_EVENTS}
+    """,
+)
+def date_time_shift_text(spark, folder):
+    df = dirty_events(spark, folder).withColumn("past", dirty_text("past", "event_id"))
+    return masked(df, {"event_id": "Identity", "past": "DateTimeShift"}, patient_column="user_id")
+
+
+@query(
+    "date_shift_by_hash",
+    """
+    SELECT count(*) AS n_rows, true AS by_shifts, true AS one_shift_per_patient FROM events
+    """,
+)
+def date_shift_by_hash(spark, folder):
+    """Patient ids that end in a letter pick their shift by digest: one of the shifts,
+    the same for every row of a patient."""
+    df = load(spark, folder, "events").select(
+        F.concat(F.col("user_id").cast("string"), F.lit("x")).alias("patientid"),
+        F.col("ts").cast("date").alias("day"),
+        "ts",
+    )
+    out = masked(
+        df,
+        {"patientid": "Identity", "day": "Identity", "ts": "DateShift"},
+        on_bad_key="hash",
+    )
+    days = F.datediff("ts", "day")
+    per_patient = out.groupBy("patientid").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(days).alias("least"),
+        F.max(days).alias("most"),
+    )
+    return per_patient.agg(
+        F.sum("n").alias("n_rows"),
+        F.bool_and(F.col("least").isin(*SHIFT_DAYS)).alias("by_shifts"),
+        F.bool_and(F.col("least") == F.col("most")).alias("one_shift_per_patient"),
+    )
+
+
+@query(
+    "bad_dates_fail",
+    "SELECT 'unreadable date text' AS error, count(*) AS readable FROM orders WHERE o_orderkey % 9 > 5",
+)
+def bad_dates_fail(spark, folder):
+    """Under ``on_bad_date="error"`` an unreadable text fails the query, without being
+    shown; readable ones pass."""
+    df = load(spark, folder, "orders")
+    dirty = df.withColumn("o_orderdate", dirty_text("o_orderdate", "o_orderkey"))
+    rules = {"o_orderkey": "Identity", "o_orderdate": "Year"}
+    error = "none"
+    try:
+        masked(dirty, rules, on_bad_date="error").write.format("noop").mode("overwrite").save()
+    except PySparkException as failure:
+        error = "unreadable date text" if "unreadable date text" in str(failure) else "another"
+    clean = df.where("o_orderkey % 9 > 5").withColumn(
+        "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")
+    )
+    return masked(clean, rules, on_bad_date="error").agg(
+        F.lit(error).alias("error"), F.count("o_orderdate").alias("readable")
+    )
+
+
 # Event times shifted by user, with some users unknown.
 UNKNOWN_USER = "CASE WHEN event_id % 5 = 0 THEN NULL ELSE user_id END"
 
@@ -518,6 +728,68 @@ def date_epoch(spark, folder):
     )
 
 
+@query(
+    "date_epoch_text",
+    f"""
+    SELECT event_id, CAST(date_diff('day', CAST(past AS DATE), CAST(ts AS DATE)) AS INTEGER) AS ts
+    FROM {DIRTY_EVENTS} JOIN (SELECT event_id, ts FROM events) USING (event_id)
+    """,
+)
+def date_epoch_text(spark, folder):
+    df = dirty_events(spark, folder).withColumn("past", dirty_text("past", "event_id"))
+    df = df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"))
+    return masked(
+        df, {"event_id": "Identity", "ts": {"type": "DateEpoch", "date_epoch": "past"}}
+    )
+
+
+@query(
+    "epoch_start_text",
+    f"""
+    SELECT event_id, CAST(past AS DATE) + CAST(floor({sql_chance("text", "event")} * 1460) - 730
+           AS INTEGER) AS EPOCH_START
+    FROM (SELECT event_id, {sql_dirty("event_id", "ts")} AS past,
+                 CASE WHEN event_id % 9 = 2 THEN strftime(ts, '%-m/%-d/%Y')
+                      WHEN event_id % 9 = 3 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%g')
+                      WHEN event_id % 9 = 4 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                      ELSE strftime(ts, '%Y-%m-%d') END AS text
+          FROM events)
+    """,
+)
+def epoch_start_text(spark, folder):
+    df = load(spark, folder, "events").withColumn("ts", dirty_text("ts", "event_id"))
+    return masked(
+        df,
+        {
+            "event_id": "Identity",
+            "ts": [salted("EpochStart", "event"), "Drop"],
+            "EPOCH_START": "Identity",
+        },
+        random="keyed",
+    )
+
+
+@query(
+    "epoch_start_compat",
+    f"""
+    SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) + to_months(1) AS DATE)
+           + CAST(dayofmonth(o_orderdate) - 1 AS INTEGER) + CAST(floor(
+               {sql_chance("strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", "o_orderdate")} * 1460) - 730
+               AS INTEGER) AS EPOCH_START
+    FROM orders
+    """.replace("salt-o_orderdate", "salt-event"),
+)
+def epoch_start_compat(spark, folder):
+    """A month on first, as older outputs have it; salts go by column name then."""
+    df = load(spark, folder, "orders").withColumnRenamed("o_orderdate", "event")
+    return masked(
+        df,
+        {"o_orderkey": "Identity", "event": ["EpochStart", "Drop"], "EPOCH_START": "Identity"},
+        random="keyed",
+        compat=True,
+    )
+
+
 @query(
     "epoch_start_keyed",
     f"""
@@ -794,3 +1066,86 @@ def sql_date_functions(spark, folder):
         "DateShiftTransform(l_shipdate, l_suppkey) AS shifted",
         "DateTimeShiftTransform(l_shipdate, l_suppkey) AS stamp_shifted",
     )
+
+
+@query(
+    "sql_random_functions",
+    """
+    SELECT count(*) AS n_rows, true AS first_names, true AS last_names, true AS given_names,
+           true AS epoch_starts, true AS times_kept FROM events
+    """,
+)
+def sql_random_functions(spark, folder):
+    """Drawn names come from their lists, drawn dates lie within bounds, times stay."""
+    register_sql(spark, AS_OF)
+    out = load(spark, folder, "events").selectExpr(
+        "FirstName(event_type) AS first_name",
+        "LastName(event_type) AS last_name",
+        "oncoemrFirstName(event_type, if(user_id % 2 = 0, 'Female', 'x')) AS given_name",
+        "user_id % 2 = 0 AS female",
+        "datediff(EpochStart(ts), to_date(ts)) AS days",
+        "DateTimeDayTransform(ts) AS cut",
+        "ts",
+    )
+    given = F.when(F.col("female"), F.col("given_name").isin(*GIVEN["female"])).otherwise(
+        F.col("given_name").isin(*GIVEN["male"])
+    )
+    year = F.greatest(F.year("ts"), F.lit(AS_OF - 89))
+    time_of_day = F.date_format("cut", "HH:mm:ss.SSSSSS") == F.date_format("ts", "HH:mm:ss.SSSSSS")
+    new_year = (F.year("cut") == year) & (F.dayofyear("cut") == 1)
+    return out.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(F.col("first_name").isin(*FIRST_NAMES)).alias("first_names"),
+        F.bool_and(F.col("last_name").isin(*LAST_NAMES)).alias("last_names"),
+        F.bool_and(given).alias("given_names"),
+        F.bool_and(F.col("days").between(-730, 729)).alias("epoch_starts"),
+        F.bool_and(time_of_day & new_year).alias("times_kept"),
+    )
+
+
+@query(
+    "sql_city_function",
+    f"""
+    WITH areas AS (SELECT DISTINCT substr(zip, 1, 3) AS zip3 FROM ({POSTAL})),
+    raw AS (SELECT {RAW_ZIP} AS zip FROM customer)
+    SELECT CASE WHEN zip IS NULL THEN 'none' WHEN length(zip) < 3 THEN 'invalid'
+                WHEN zip3 IS NULL THEN 'unknown' ELSE 'of its area' END AS outcome,
+           count(*) AS n
+    FROM raw LEFT JOIN areas ON zip3 = substr(zip, 1, 3) AND length(zip) >= 3
+    GROUP BY 1
+    """,
+)
+def sql_city_function(spark, folder):
+    places = postal(spark, folder)
+    register_sql(spark, AS_OF, cities=places)
+    out = load(spark, folder, "customer").selectExpr(f"{RAW_ZIP} AS zip")
+    out = out.selectExpr("zip", "CityTransform(zip) AS city")
+    known = places.select(F.substring("zip", 1, 3).alias("zip3"), F.col("city").alias("there"))
+    known = known.distinct().withColumn("found", F.lit(True))
+    checked = out.join(
+        known, (F.substring("zip", 1, 3) == F.col("zip3")) & (F.col("city") == F.col("there")), "left"
+    )
+    outcome = (
+        F.when(F.col("city").isNull(), "none")
+        .when(F.col("found"), "of its area")
+        .when(F.col("city") == "unknown", "unknown")
+        .when(F.col("city") == "that is not a valid zipcode", "invalid")
+        .otherwise("of another area")
+    )
+    return checked.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "sql_key_function",
+    f"""
+    WITH RECURSIVE named AS (SELECT s_suppkey, {RAW_SUPPLIER} AS name FROM supplier),
+    {sql_pbkdf2("SELECT trim(name) AS value FROM named", "salt-person")}
+    SELECT s_suppkey, CASE WHEN name = '' THEN '' ELSE derived END AS s_name
+    FROM named LEFT JOIN keys ON raw = trim(name)
+    """,
+)
+def sql_key_function(spark, folder):
+    """The salt is bound to the function; the query names its key."""
+    register_sql(spark, AS_OF, salts=SALTS, salt_keys=["person"])
+    named = load(spark, folder, "supplier").withColumn("s_name", F.expr(RAW_SUPPLIER))
+    return named.selectExpr("s_suppkey", "PBEKeyHash(s_name, 'person') AS s_name")

@@ -50,9 +50,13 @@ def deidentify_orders(spark, folder):
     f"SELECT * FROM ({ORDERS_SQL}) WHERE o_orderstatus = 'F'",
 )
 def filter_through_masking(spark, folder):
-    """Filters on passed-through columns reach the scan."""
-    out = masked(load(spark, folder, "orders"), ORDERS_POLICY, hash_bits=256)
-    return out.where(F.col("o_orderstatus") == "F")
+    """Rows are picked below the masking, where the filter reaches the scan."""
+    return masked(
+        load(spark, folder, "orders"),
+        ORDERS_POLICY,
+        where=F.col("o_orderstatus") == "F",
+        hash_bits=256,
+    )
 
 
 @query(

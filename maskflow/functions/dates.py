@@ -9,6 +9,10 @@ from maskflow.functions.vocabulary import SHIFT_DAYS
 # The date texts that are understood.
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 SLASH_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
+# A date with or without a time of day and a zone, as a whole text.
+ISO_STAMP = (
+    r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+)
 
 _STAMPS = (T.TimestampType, T.TimestampNTZType)
 
@@ -17,31 +21,24 @@ def matches(c: str, pattern: str) -> str:
     return f"{c} RLIKE r'{pattern}'"
 
 
-def starts_iso(c: str) -> str:
-    """Whether a text has the dashes of ``yyyy-MM-dd``. The cast that follows
-    checks the rest; it alone would also take a year or a month for a date."""
-    return f"(substring({c}, 5, 1) = '-' AND substring({c}, 8, 1) = '-' AND length({c}) >= 10)"
-
-
 def slash_to_iso(c: str) -> str:
     year = f"lpad(substring_index({c}, '/', -1), 4, '0')"
     return f"concat({year}, '-', replace(substring_index({c}, '/', 2), '/', '-'))"
 
 
-def _read(c: str, kind: str) -> str:
+def text_to_stamp(c: str) -> str:
+    """``yyyy-MM-dd`` with or without a time, or ``M/d/yyyy``; anything else, and any
+    text with something behind the date or time, is null."""
     return (
-        f"CASE WHEN {starts_iso(c)} THEN try_cast({c} AS {kind}) "
-        f"WHEN {matches(c, SLASH_DATE)} THEN try_cast({slash_to_iso(c)} AS {kind}) END"
+        f"CASE WHEN {matches(c, ISO_STAMP)} THEN try_cast({c} AS TIMESTAMP_NTZ) "
+        f"WHEN {matches(c, SLASH_DATE)} THEN try_cast({slash_to_iso(c)} AS TIMESTAMP_NTZ) END"
     )
 
 
 def text_to_date(c: str) -> str:
-    """``yyyy-MM-dd`` with or without a time, or ``M/d/yyyy``; anything else is null."""
-    return _read(c, "DATE")
-
-
-def text_to_stamp(c: str) -> str:
-    return _read(c, "TIMESTAMP_NTZ")
+    """The day of ``text_to_stamp``. A cast to a date alone would pass over what is
+    behind the day."""
+    return f"CAST({text_to_stamp(c)} AS DATE)"
 
 
 def _checked(source: str, parsed: str, on_bad: str) -> str:

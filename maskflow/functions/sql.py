@@ -8,6 +8,7 @@ expressions. Only the key derivation is a (vectorized) Python function.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 
 from maskflow.functions import dates, people, places, text
 from maskflow.functions.vocabulary import FIRST_NAMES, LAST_NAMES, default_given_names
-from maskflow.operators.cities import NOT_A_ZIP, UNKNOWN, cities_by_area
+from maskflow.operators.cities import NOT_A_ZIP, UNKNOWN, numbered_cities, table_bytes
+from maskflow.plans.salts import Salts
 
 STRING = T.StringType()
 
@@ -37,10 +39,15 @@ def register_sql(
     as_of_year: int | None = None,
     given_names: dict | None = None,
     cities: DataFrame | None = None,
+    salts: Salts | None = None,
+    salt_keys: Iterable[str] = (),
+    broadcast_bytes: int = 64 << 20,
 ) -> list[str]:
     """Create the functions in the session; returns their names.
 
-    ``CityTransform`` needs the postal table ``cities`` (zip, city).
+    ``CityTransform`` needs the postal table ``cities`` (zip, city), and
+    ``PBEKeyHash(value, salt_key)`` the ``salts`` under ``salt_keys``: they are
+    bound to the function here, and queries name them by their keys alone.
     """
     as_of = as_of_year or datetime.date.today().year
     given = given_names or default_given_names()
@@ -68,35 +75,56 @@ def register_sql(
         ),
     }
     if cities is not None:
-        cities_by_area(cities).createOrReplaceTempView("maskflow_cities")
-        found = "(SELECT first(cities) FROM maskflow_cities WHERE zip3 = left(c, 3))"
+        # Two lookups, of an area's size and of one place in it.
+        known = cities.where(F.length("zip") >= 3)
+        sizes, numbered = numbered_cities(known, table_bytes(known, "city") > broadcast_bytes)
+        sizes.createOrReplaceTempView("maskflow_areas")
+        numbered.createOrReplaceTempView("maskflow_places")
+        functions["maskflow_area_size(area STRING) RETURNS BIGINT"] = (
+            "(SELECT max(n) FROM maskflow_areas WHERE zip3 = area)"
+        )
+        functions["maskflow_city_at(area STRING, at BIGINT) RETURNS STRING"] = (
+            "(SELECT max(city) FROM maskflow_places WHERE zip3 = area AND place = at)"
+        )
+        area = "CASE WHEN length(c) >= 3 THEN left(c, 3) END"
+        drawn = f"CAST(floor(rand() * maskflow_area_size({area})) AS BIGINT)"
         functions["CityTransform(c STRING) RETURNS STRING"] = (
             f"CASE WHEN c IS NULL THEN NULL WHEN length(c) < 3 THEN '{NOT_A_ZIP}' "
-            f"ELSE coalesce(element_at(shuffle({found}), 1), '{UNKNOWN}') END"
+            f"ELSE coalesce(maskflow_city_at({area}, {drawn}), '{UNKNOWN}') END"
         )
     for signature, body in functions.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
-    spark.udf.register("PBEKeyHash", pbe_key_hash_udf())
-    return [signature.split("(")[0] for signature in functions] + ["PBEKeyHash"]
+    names = [signature.split("(")[0] for signature in functions]
+    if salts is not None:
+        spark.udf.register("PBEKeyHash", pbe_key_hash_udf(salts.resolve(salt_keys)))
+        names.append("PBEKeyHash")
+    return [name for name in names if not name.startswith("maskflow_")]
 
 
-def pbe_key_hash_udf():
-    """PBEKeyHash(value, salt) for SQL; null and empty texts stay as they are."""
+def pbe_key_hash_udf(salts: dict[str, str]):
+    """PBEKeyHash(value, salt_key) for SQL; null and empty texts stay as they are.
+
+    A task keeps the keys it has derived, up to a bound on its memory.
+    """
 
     @F.pandas_udf("string")
-    def pbe_key_hash(values: pd.Series, salts: pd.Series) -> pd.Series:
+    def pbe_key_hash(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         import hashlib
 
         blanks = "".join(map(chr, range(0x21)))
-        known = {}
-        for pair in set(zip(values, salts)):
-            value, salt = pair
-            if value is None or value == "":
-                known[pair] = value
-            else:
-                known[pair] = hashlib.pbkdf2_hmac(
-                    "sha1", value.strip(blanks).encode(), salt.encode(), 2016, 64
-                ).hex()
-        return pd.Series([known[pair] for pair in zip(values, salts)], dtype=object)
+        known: dict[tuple[str, str], str] = {}
+        for values, names in batches:
+            if len(known) > 100_000:
+                known.clear()
+            for value, name in set(zip(values, names)) - known.keys():
+                if name not in salts:
+                    raise KeyError(f"no salt bound under key {name!r}")
+                if value is None or value == "":
+                    known[value, name] = value
+                else:
+                    known[value, name] = hashlib.pbkdf2_hmac(
+                        "sha1", value.strip(blanks).encode(), salts[name].encode(), 2016, 64
+                    ).hex()
+            yield pd.Series([known[pair] for pair in zip(values, names)], dtype=object)
 
     return pbe_key_hash

@@ -62,27 +62,32 @@ def salted_hash(c: str, salt: str, bits: int = 512, is_text: bool = True) -> str
     return f"CASE WHEN {c} = '' THEN {c} ELSE sha2(concat(trim({c}), {salt}), {bits}) END"
 
 
-def pbkdf2_udf(salt: str):
-    """Pandas UDF: hex PBKDF2-HMAC-SHA1 of each text, 2016 rounds, 512 bits.
+def pbkdf2_udf(salts: list[str]):
+    """Pandas UDF of (place in ``salts``, text): hex PBKDF2-HMAC-SHA1, 2016 rounds, 512 bits.
 
     It is defined locally so that executors need no copy of this package. A
     task keeps the keys it has derived, up to a bound on its memory.
     """
 
     @F.pandas_udf("string")
-    def pbkdf2(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def pbkdf2(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         import hashlib
 
-        key = salt.encode("utf-8")
-        known: dict[str, str] = {}
-        for values in batches:
+        keys = [salt.encode("utf-8") for salt in salts]
+        known: dict[tuple[int, str], str] = {}
+        for places, values in batches:
             if len(known) > 100_000:
                 known.clear()
-            for value in values.dropna().unique():
-                if value not in known:
-                    known[value] = hashlib.pbkdf2_hmac(
-                        "sha1", value.encode("utf-8"), key, 2016, 64
+            found = []
+            for pair in zip(places, values):
+                if pair[1] is None:
+                    found.append(None)
+                    continue
+                if pair not in known:
+                    known[pair] = hashlib.pbkdf2_hmac(
+                        "sha1", pair[1].encode("utf-8"), keys[pair[0]], 2016, 64
                     ).hex()
-            yield values.map(known).astype(object)
+                found.append(known[pair])
+            yield pd.Series(found, dtype=object)
 
     return pbkdf2

@@ -74,17 +74,20 @@ ETHNIC_GROUPS = (
 PACIFIC_LABEL_COMPAT = "Native Hawaiian orOther Pacific Islander"
 
 
-def default_given_names() -> dict[str, tuple[str, ...]]:
-    """Built-in first names by gender; pass ``given_names`` for longer lists.
+# The package's own list of female first names, for use where none is given.
+FEMALE_NAMES = (
+    "Abigail", "Agnes", "Alice", "Amanda", "Amelia", "Amy", "Andrea", "Angela", "Ann", "Anna",
+    "Barbara", "Beatrice", "Betty", "Brenda", "Carla", "Carmen", "Caroline", "Catherine", "Cecilia",
+    "Charlotte", "Christine", "Clara", "Claudia", "Cynthia", "Daisy", "Deborah", "Diana", "Donna",
+    "Doris", "Dorothy", "Edith", "Eleanor", "Elena", "Elizabeth", "Ella", "Emily", "Emma", "Erica",
+    "Esther", "Eva", "Fiona", "Florence", "Frances", "Gloria", "Grace", "Hannah", "Heather", "Helen",
+    "Ida", "Irene", "Isabel", "Jane", "Janet", "Jennifer", "Jessica", "Joan", "Julia", "Karen",
+    "Laura", "Linda", "Lucy", "Margaret", "Maria", "Martha", "Mary", "Nancy", "Nora", "Olivia",
+    "Pamela", "Paula", "Rachel", "Rebecca", "Rosa", "Ruth", "Sandra", "Sarah", "Sofia", "Susan",
+    "Teresa", "Victoria", "Virginia",
+)
 
-    Female names are put together from stems and endings.
-    """
-    stems = (
-        "Al", "An", "Bel", "Car", "Dan", "El", "Flor", "Jan", "Jul", "Kar",
-        "Lor", "Mar", "Nor", "Ros", "Sel", "Ter", "Val", "Viv", "Yol", "Zel",
-    )
-    endings = ("a", "ana", "ella", "ena", "ie", "ina", "ine", "ise", "ora")
-    return {
-        "female": tuple(stem + ending for stem in stems for ending in endings),
-        "male": FIRST_NAMES,
-    }
+
+def default_given_names() -> dict[str, tuple[str, ...]]:
+    """Built-in first names by gender; pass ``given_names`` for longer lists."""
+    return {"female": FEMALE_NAMES, "male": FIRST_NAMES}

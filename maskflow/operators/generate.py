@@ -93,9 +93,12 @@ def id_range(spark: SparkSession, n: int, partitions: int | None = None) -> Data
 def batch_ids(
     spark: SparkSession, n: int, seed: int, partitions: int | None = None
 ) -> DataFrame:
-    """n patient ids picked at random; some may come twice."""
+    """n patient ids picked at random, some of which may come twice, with their row 0 to n-1."""
     picker = _Picker(seed, F.col("id"))
-    return spark.range(0, n, numPartitions=partitions).select(picker.number("patient", BATCH_IDS).alias("patient_id"))
+    rows = spark.range(0, n, numPartitions=partitions)
+    return rows.select(
+        picker.number("patient", BATCH_IDS).alias("patient_id"), F.col("id").alias("row")
+    )
 
 
 def patients(ids: DataFrame, seed: int, cohort: Cohort = Cohort()) -> DataFrame:

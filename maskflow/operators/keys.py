@@ -25,12 +25,13 @@ HOT_VALUES = 1024
 ROW_BYTES = 320
 
 
-def _digest(c: Column, key: Column) -> Column:
-    return F.sha2(F.concat(c, key), 256)
+def _digest(salt_id: Column, c: Column, key: Column) -> Column:
+    return F.sha2(F.concat(salt_id.cast("string"), F.lit("/"), c, key), 256)
 
 
-def derive_distinct(values: DataFrame, salt: str, run_key: Column) -> DataFrame:
-    """``values`` has one column ``value``; gives (digest, derived, n_rows).
+def derive_distinct(values: DataFrame, salts: list[str], run_key: Column) -> DataFrame:
+    """``values`` has columns ``salt_id``, a place in ``salts``, and ``value``; gives
+    (digest, derived, n_rows), the digest being that of both.
 
     The count lets equal values meet in partial aggregates, so a hot value is
     shuffled once per task. Derivation is pure computation, which the small
@@ -46,13 +47,13 @@ def derive_distinct(values: DataFrame, salt: str, run_key: Column) -> DataFrame:
     )
     counted = (
         values.where(F.col("value").isNotNull())
-        .groupBy("value")
+        .groupBy("salt_id", "value")
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .repartition(tasks)
     )
     derived = counted.select(
-        _digest(F.col("value"), run_key).alias("digest"),
-        pbkdf2_udf(salt)("value").alias("derived"),
+        _digest(F.col("salt_id"), F.col("value"), run_key).alias("digest"),
+        pbkdf2_udf(salts)("salt_id", "value").alias("derived"),
         "n_rows",
     )
     return derived.checkpoint()
@@ -94,22 +95,28 @@ def _join_shuffled(
 
 def add_derived_keys(
     frame: DataFrame,
-    inputs: dict[str, str],
-    salt: str,
+    inputs: dict[str, tuple[str, str]],
     spread_on: list[str],
     broadcast_bytes: int,
 ) -> DataFrame:
-    """Add one column per entry of ``inputs``, the derived key of the column it names.
+    """Add one column per entry of ``inputs``, the derived key of the column and under
+    the salt that it names.
 
-    Columns under one salt share one derived table, filled in one scan.
+    All columns and salts share one derived table, filled in one scan. Salts are
+    numbered; they themselves are in no row.
     """
     run_key = secret(frame.sparkSession, secrets.token_hex(32))
-    values = frame.select(F.explode(F.array(*inputs.values())).alias("value"))
-    keys = derive_distinct(values, salt, run_key)
+    salts = list(dict.fromkeys(salt for _, salt in inputs.values()))
+    pairs = [
+        F.struct(F.lit(salts.index(salt)).alias("salt_id"), F.col(c).alias("value"))
+        for c, salt in inputs.values()
+    ]
+    values = frame.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
+    keys = derive_distinct(values, salts, run_key)
     small = keys.count() * ROW_BYTES <= broadcast_bytes
-    for out, c in inputs.items():
+    for out, (c, salt) in inputs.items():
         key = f"{out}_key"
-        keyed = frame.withColumn(key, _digest(F.col(c), run_key))
+        keyed = frame.withColumn(key, _digest(F.lit(salts.index(salt)), F.col(c), run_key))
         if small:
             frame = _join_broadcast(keyed, keys, key, out).drop(key)
         else:

@@ -34,6 +34,13 @@ STAMP = T.TimestampNTZType()
 CONSTANTS = {"Clear": " ", "FixedFirstName": "FirstName", "FixedLastName": "LastName"}
 EPOCH_START = "EPOCH_START"
 
+# Strategies that use a salt, and those that do when draws are keyed.
+SALTED = {"Hash", "PBEKeyHash"}
+DRAWN = {
+    "City", "EpochStart", "DateShift", "DateTimeShift",
+    "RandomFirstName", "RandomLastName", "oncoemrFirstName",
+}
+
 
 @dataclass(frozen=True)
 class Value:
@@ -163,11 +170,11 @@ class Masking:
                 return Value(dates.shift_stamp(shifted, self.shift(s, v)), STAMP)
             case "Age":
                 is_text = isinstance(v.dtype, T.StringType)
-                return Value(people.cap_age(v.sql, v.dtype), LONG if is_text else v.dtype)
+                return _as_was(people.cap_age(v.sql, v.dtype), LONG if is_text else v.dtype)
             case "MaxYear":
                 is_text = isinstance(v.dtype, T.StringType)
                 capped = people.floor_year(v.sql, v.dtype, o.year)
-                return Value(capped, INT if is_text else v.dtype)
+                return _as_was(capped, INT if is_text else v.dtype)
             case "Ethnicity":
                 group = people.ethnic_group(v.text(), o.ethnicity_default, o.compat)
                 return Value(group, STRING)
@@ -273,24 +280,28 @@ class Masking:
             inputs = {f"{lookup.out}_input": lookup.input for lookup in todo}
             chances = {f"{x.out}_chance": x.chance for x in todo if x.kind == "city"}
             frame = self.with_values(frame, inputs | chances)
-            for salt in dict.fromkeys(lookup.salt for lookup in todo if lookup.kind == "key"):
-                names = {
-                    x.out: f"{x.out}_input" for x in todo if x.kind == "key" and x.salt == salt
-                }
-                frame = add_derived_keys(
-                    frame, names, salt, spread_on, self.options.broadcast_bytes
-                )
+            keys = {x.out: (f"{x.out}_input", x.salt) for x in todo if x.kind == "key"}
+            if keys:
+                frame = add_derived_keys(frame, keys, spread_on, self.options.broadcast_bytes)
             for lookup in todo:
                 value, chance = f"{lookup.out}_input", f"{lookup.out}_chance"
                 if lookup.kind == "inline key":
-                    key = text.pbkdf2_udf(lookup.salt)(F.col(value))
+                    key = text.pbkdf2_udf([lookup.salt])(F.lit(0), F.col(value))
                     frame = frame.withColumn(lookup.out, key)
                 elif lookup.kind == "city":
-                    frame = add_city(frame, value, chance, self.options.cities, lookup.out)
+                    frame = add_city(
+                        frame, value, chance, self.options.cities, lookup.out,
+                        self.options.broadcast_bytes, spread_on,
+                    )
             frame = frame.drop(*inputs, *chances)
         return frame
 
 
+def _as_was(sql: str, dtype: T.DataType) -> Value:
+    """A number in the type it came in, which comparing it with a bound may widen."""
+    return Value(f"CAST({sql} AS {dtype.simpleString()})", dtype)
+
+
 def _hashable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.ArrayType):
         return _hashable(dtype.elementType)
@@ -304,14 +315,20 @@ def deidentify(
     policy: TablePolicy,
     salts: Salts | None = None,
     options: MaskOptions | None = None,
+    where: Column | str | None = None,
 ) -> DataFrame:
     """The table under its policy. Columns without a strategy are removed.
 
+    ``where`` picks rows by the columns as the table has them. It reaches the
+    scan, which a filter on a masked text does not: cleansing wraps its column.
+
     Column names match in any case. ``EPOCH_START`` and ``*_duplicate`` columns
     that strategies add are kept where the policy lists them too (or with
     ``keep_derived``); strategies listed for them apply to the added values.
     """
     policy.check()
+    if where is not None:
+        df = df.where(where)
     masking = Masking(df, salts or Salts(), options or MaskOptions())
     chains = {name.lower(): (name, strategies) for name, strategies in policy.chains().items()}
     masked: dict[str, Value | None] = {}

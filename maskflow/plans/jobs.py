@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from maskflow.operators.masking import deidentify
+from maskflow.operators.masking import DRAWN, SALTED, deidentify
 from maskflow.plans.options import MaskOptions
 from maskflow.plans.policy import TablePolicy, best_name, match_policy
 from maskflow.plans.salts import Salts
@@ -22,6 +23,14 @@ from maskflow.sources.sinks import Sink
 logger = logging.getLogger(__name__)
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """Names of the tables a job wrote, and of those its sink left as they were."""
+
+    written: list[str]
+    skipped: list[str]
+
+
 def deidentify_dataset(
     tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
     policies: Iterable[TablePolicy],
@@ -29,12 +38,13 @@ def deidentify_dataset(
     salts: Salts | None = None,
     options: MaskOptions | None = None,
     at_once: int = 4,
-) -> list[str]:
+) -> Outcome:
     """Mask every table under the policy matching its name and hand it to the sink.
 
     Each table is one write, named after its policy; up to ``at_once`` writes
     share the cluster, so small tables do not wait for a large one. All
-    policies are matched before anything is written. Returns the names written.
+    policies are matched, and salts that are to be made are made, before
+    anything is written.
     """
     policies = list(policies)
     matched = {name: match_policy(name, policies) for name in tables}
@@ -43,22 +53,39 @@ def deidentify_dataset(
     if twice:
         raise ValueError(f"several tables match the policies {sorted(twice)}")
 
-    def run(name: str) -> None:
+    if salts is not None and salts.creates:
+        salts.resolve(_salt_keys(matched.values(), options or MaskOptions()))
+
+    def run(name: str) -> bool:
         table = tables[name]
         df = table() if callable(table) else table
-        sink(matched[name].name, deidentify(df, matched[name], salts, options))
-        logger.info("wrote %s", matched[name].name)
+        wrote = sink(matched[name].name, deidentify(df, matched[name], salts, options)) is not False
+        logger.info("%s %s", "wrote" if wrote else "left", matched[name].name)
+        return wrote
 
     if not tables:
-        return []
+        return Outcome([], [])
     session = SparkSession.active()
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         waiting = [
             pool.submit(inheritable_thread_target(session)(run), name) for name in tables
         ]
-        for task in waiting:
-            task.result()
-    return names
+        wrote = [task.result() for task in waiting]
+    return Outcome(
+        [name for name, new in zip(names, wrote) if new],
+        [name for name, new in zip(names, wrote) if not new],
+    )
+
+
+def _salt_keys(policies: Iterable[TablePolicy], options: MaskOptions) -> list[str]:
+    """Keys of the salts that masking under these policies looks up."""
+    salted = SALTED | (DRAWN if options.random == "keyed" else set())
+    return [
+        options.salt_key(strategy.column, strategy.salt_key)
+        for policy in policies
+        for strategy in policy.strategies
+        if strategy.type in salted
+    ]
 
 
 def _paths_by_policy(
@@ -81,7 +108,7 @@ def mask_csv_folder(
     infer_types: bool | None = None,
     multi_line: bool = False,
     at_once: int = 4,
-) -> list[str]:
+) -> Outcome:
     """Every CSV file of a folder. Columns whose text must stay as it is, are text.
 
     Types are inferred, at the price of reading the files once more, where the
@@ -113,7 +140,7 @@ def mask_fixed_width_folder(
     layouts: Mapping[str, list[Field]] = CLAIM_LAYOUTS,
     mode: str = "FAILFAST",
     at_once: int = 4,
-) -> list[str]:
+) -> Outcome:
     """Every fixed-width file of a folder, its layout found by file name."""
     policies = list(policies)
     tables = {}
@@ -134,18 +161,21 @@ def mask_database(
     options: MaskOptions | None = None,
     tables: Iterable[str] | None = None,
     partitions: int | None = None,
+    cuts: Mapping[str, list] | None = None,
     at_once: int = 4,
-) -> list[str]:
+) -> Outcome:
     """Database tables, read in ranges where the policy names a partitioning column.
 
-    ``tables`` picks some by name; otherwise every policy is a table.
+    ``tables`` picks some by name; otherwise every policy is a table. ``cuts``
+    has, by policy name, where to cut the ranges of a column whose values crowd.
     """
     policies = list(policies)
     names = list(tables) if tables is not None else [policy.name for policy in policies]
 
     def reader(policy: TablePolicy) -> Callable[[], DataFrame]:
         return lambda: read_jdbc(
-            spark, connection, policy.name, policy.partition_column, partitions
+            spark, connection, policy.name, policy.partition_column, partitions,
+            (cuts or {}).get(policy.name),
         )
 
     matched = [match_policy(name, policies) for name in names]

@@ -65,3 +65,15 @@ def list_tables(spark: SparkSession, folder: str) -> dict[str, str]:
     if not found:
         raise ValueError(f"no files in {folder}")
     return dict(sorted(found.items()))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this session has made and needs no more."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)

@@ -94,7 +94,7 @@ def column_bounds(df: DataFrame, column: str) -> DataFrame:
 
 
 def bound_text(value) -> str:
-    """A bound of any key type as Spark's range reader takes it."""
+    """A bound of a numeric, date or timestamp key as Spark's range reader takes it."""
     if isinstance(value, decimal.Decimal):
         return str(int(value))
     if isinstance(value, datetime.datetime):
@@ -102,6 +102,21 @@ def bound_text(value) -> str:
     return str(value)
 
 
+def bound_literal(value) -> str:
+    """A cut as an SQL literal of its type: quoted unless it is a number, and whole."""
+    if isinstance(value, bool) or value is None:
+        raise ValueError("cuts are numbers, texts, dates or timestamps")
+    if isinstance(value, decimal.Decimal):
+        return format(value, "f")
+    if isinstance(value, (int, float)):
+        return repr(value)
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
 def range_options(column: str, low, high, partitions: int) -> dict[str, str]:
     """Reader options of a range-partitioned read; none for an empty table."""
     if low is None or high is None:
@@ -118,9 +133,9 @@ def range_predicates(column: str, cuts: list) -> list[str]:
     """One condition per partition, split at ``cuts``; every row meets exactly one.
 
     For keys whose values crowd: cuts at quantiles give even partitions where
-    equal ranges would not.
+    equal ranges would not. Cuts may be numbers, texts, dates or timestamps.
     """
-    cuts = [bound_text(cut) for cut in cuts]
+    cuts = [bound_literal(cut) for cut in cuts]
     if not cuts:
         return ["1 = 1"]
     between = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]

@@ -1,41 +1,75 @@
-"""Sinks: where the tables of a job go. Each is called with (name, table)."""
+"""Sinks: where the tables of a job go.
+
+Each is called with (name, table) and returns False if it left the table out
+because it is there already.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from maskflow.sources.files import exists
 from maskflow.sources.fixedwidth import Field, write_fixed_width
 from maskflow.sources.jdbc import JdbcConnection, write_jdbc
 
-Sink = Callable[[str, DataFrame], None]
+Sink = Callable[[str, DataFrame], bool | None]
 
 
 def _under(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
 
+def _written_unless_complete(
+    spark: SparkSession, folder: str, mode: str, write: Callable[[str, str], None]
+) -> bool:
+    """Call ``write(folder, mode)``; under ``ignore`` only where no write has been completed.
+
+    A folder without the mark of a completed write is what a write that failed
+    has left, and is written anew.
+    """
+    if mode == "ignore":
+        if exists(spark, f"{folder}/_SUCCESS"):
+            return False
+        mode = "overwrite"
+    write(folder, mode)
+    return True
+
+
 def csv_sink(folder: str, mode: str = "ignore") -> Sink:
-    """CSV folders with a header. An existing folder is left as it is by default.
+    """CSV folders with a header. A completed folder is left as it is by default.
 
     Blanks around values are kept: a cleared column is a blank, not a null.
     """
 
-    def write(name: str, df: DataFrame) -> None:
-        df.write.mode(mode).csv(
-            _under(folder, name),
-            header=True,
-            nullValue="",
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
+    def sink(name: str, df: DataFrame) -> bool:
+        def write(path: str, mode: str) -> None:
+            df.write.mode(mode).csv(
+                path,
+                header=True,
+                nullValue="",
+                ignoreLeadingWhiteSpace=False,
+                ignoreTrailingWhiteSpace=False,
+            )
 
-    return write
+        return _written_unless_complete(df.sparkSession, _under(folder, name), mode, write)
+
+    return sink
 
 
 def parquet_sink(folder: str, mode: str = "ignore") -> Sink:
-    return lambda name, df: df.write.mode(mode).parquet(_under(folder, name))
+    """Parquet folders. A completed folder is left as it is by default."""
+
+    def sink(name: str, df: DataFrame) -> bool:
+        return _written_unless_complete(
+            df.sparkSession,
+            _under(folder, name),
+            mode,
+            lambda path, mode: df.write.mode(mode).parquet(path),
+        )
+
+    return sink
 
 
 def table_sink(database: str, mode: str = "overwrite", folder: str | None = None) -> Sink:

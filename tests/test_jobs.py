@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from maskflow import MaskOptions, Salts, load_policies
 from maskflow.plans.jobs import (
+    Outcome,
     deidentify_dataset,
     mask_csv_folder,
     mask_database,
@@ -35,9 +36,9 @@ def test_dataset(spark, salts):
     }
     policies = [named("people", {"name": "Clear"}), named("VISITS", {"note": "Identity", "y": "Identity"})]
     written, sink = collector()
-    assert deidentify_dataset(tables, policies, sink, salts, OPTIONS) == ["people", "VISITS"]
+    assert deidentify_dataset(tables, policies, sink, salts, OPTIONS) == Outcome(["people", "VISITS"], [])
     assert written == {"people": [(" ",)], "VISITS": [("b", 2)]}
-    assert deidentify_dataset({}, policies, sink) == []
+    assert deidentify_dataset({}, policies, sink) == Outcome([], [])
 
 
 def test_dataset_matches_before_writing(spark, salts):
@@ -79,8 +80,8 @@ def test_csv_folder(spark, salts, tmp_path):
     path.write_text(json.dumps(document))
     policies = load_policies(str(path), spark)
     out = tmp_path / "out"
-    names = mask_csv_folder(spark, str(raw), policies, parquet_sink(str(out)), salts, OPTIONS)
-    assert sorted(names) == ["demographics", "encounters"]
+    outcome = mask_csv_folder(spark, str(raw), policies, parquet_sink(str(out)), salts, OPTIONS)
+    assert sorted(outcome.written) == ["demographics", "encounters"] and outcome.skipped == []
     people = spark.read.parquet(str(out / "demographics"))
     assert people.columns == ["patient_id", "zip", "dob"]
     assert sorted(r["zip"] for r in people.collect()) == ["00000", "01200"]
@@ -111,8 +112,8 @@ def test_fixed_width_folder(spark, salts, tmp_path):
 def test_database(spark, salts, monkeypatch):
     asked = []
 
-    def fake(spark, connection, name, column, partitions):
-        asked.append((name, column, partitions))
+    def fake(spark, connection, name, column, partitions, cuts):
+        asked.append((name, column, partitions, cuts))
         return spark.range(2).select(F.col("id"))
 
     monkeypatch.setattr("maskflow.plans.jobs.read_jdbc", fake)
@@ -122,12 +123,14 @@ def test_database(spark, salts, monkeypatch):
     ]
     connection = jdbc.JdbcConnection("u")
     written, sink = collector()
-    mask_database(spark, connection, policies, sink, salts, OPTIONS, partitions=3)
-    assert sorted(asked) == [("people", "id", 3), ("visits", None, 3)]
+    mask_database(
+        spark, connection, policies, sink, salts, OPTIONS, partitions=3, cuts={"people": [5, 9]}
+    )
+    assert sorted(asked) == [("people", "id", 3, [5, 9]), ("visits", None, 3, None)]
     assert set(written) == {"people", "visits"}
     asked.clear()
     mask_database(spark, connection, policies, sink, salts, OPTIONS, tables=["VISITS"])
-    assert asked == [("visits", None, None)]
+    assert asked == [("visits", None, None, None)]
 
 
 def test_salts_can_be_made_during_a_job(spark, tmp_path):
@@ -140,3 +143,47 @@ def test_salts_can_be_made_during_a_job(spark, tmp_path):
         deidentify_dataset({"t": df}, policies, sink, Salts.load(path, create), OPTIONS)
         results.append(written)
     assert results[0] == results[1]
+
+
+def test_salts_are_made_once_by_many_threads(tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = tmp_path / "salts.json"
+    salts = Salts.load(path, create=True)
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda k: (k % 20, salts.get(f"key {k % 20}")), range(400)))
+    assert len(set(got)) == 20 == len({salt for _, salt in got})
+    assert all(Salts.load(path).get(f"key {k}") == salt for k, salt in got)
+    assert [file.name for file in tmp_path.iterdir()] == ["salts.json"]
+    assert path.stat().st_mode & 0o777 == 0o600
+
+
+@pytest.mark.parametrize("round_", range(4))
+def test_jobs_of_many_tables_make_their_salts(spark, tmp_path, round_):
+    path = tmp_path / "salts.json"
+    df = spark.createDataFrame([("a",)], "c string")
+    names = [f"table{chr(97 + k) * 3}" for k in range(6)]
+    rules = {"c": {"type": "Hash", "salt_key": "shared"}}
+    own = [named(name, rules | {f"c{k}": {"type": "Hash", "salt_key": f"own {k}"}}) for k, name in enumerate(names)]
+    tables = {name: df.withColumn(f"c{k}", F.lit("b")) for k, name in enumerate(names)}
+    written, sink = collector()
+    outcome = deidentify_dataset(tables, own, sink, Salts.load(path, create=True), OPTIONS, at_once=6)
+    assert sorted(outcome.written) == names
+    assert len({rows[0][0] for rows in written.values()}) == 1
+    assert len({rows[0][1] for rows in written.values()}) == 6
+    assert len(json.loads(path.read_text())) == 7
+
+
+@pytest.mark.parametrize("make", [csv_sink, parquet_sink])
+def test_unfinished_output_is_written_anew(spark, tmp_path, make):
+    out = tmp_path / "out"
+    (out / "t" / "_temporary" / "0").mkdir(parents=True)
+    policies = [named("t", {"id": "Identity"})]
+    runs = [
+        deidentify_dataset({"t": spark.range(n)}, policies, make(str(out)), None, OPTIONS) for n in (3, 5)
+    ]
+    assert runs == [Outcome(["t"], []), Outcome([], ["t"])]
+    read = spark.read.csv(str(out / "t"), header=True) if make is csv_sink else spark.read.parquet(str(out / "t"))
+    assert read.count() == 3
+    again = deidentify_dataset({"t": spark.range(5)}, policies, make(str(out), mode="overwrite"), None, OPTIONS)
+    assert again.written == ["t"]

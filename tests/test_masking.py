@@ -239,11 +239,11 @@ def test_derivation_is_dealt_out_over_all_cores(spark):
     from maskflow.functions.text import secret
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    values = spark.range(300).select((F.col("id") % 40).cast("string").alias("value"))
+    values = spark.range(300).select(F.lit(1).alias("salt_id"), (F.col("id") % 40).cast("string").alias("value"))
     try:
         for partitions in (8, 16, 32):
             spark.conf.set("spark.sql.shuffle.partitions", partitions)
-            derived = keys.derive_distinct(values, "s", secret(spark, "run"))
+            derived = keys.derive_distinct(values, ["r", "s"], secret(spark, "run"))
             sizes = derived.groupBy(F.spark_partition_id()).count().collect()
             assert len(sizes) == max(16, partitions) and max(r["count"] for r in sizes) <= 16
             assert derived.count() == 40
@@ -261,7 +261,7 @@ def test_fillers_spread_rows_that_need_no_key(spark, shuffled_joins, monkeypatch
         )
         # by the whole row, and by the key alone, as where all rows are copies
         for spread_on, most in ((["id", "c"], 600), (["c"], 1000)):
-            out = keys.add_derived_keys(df, {"out": "c"}, "s", spread_on, 0)
+            out = keys.add_derived_keys(df, {"out": ("c", "s")}, spread_on, 0)
             idle = out.where("c is null or c = 'hot'")
             sizes = idle.groupBy(F.spark_partition_id()).count().collect()
             assert len(sizes) == 8 and max(r["count"] for r in sizes) < most
@@ -289,3 +289,45 @@ def test_year_is_an_option(spark, mask):
     df = spark.createDataFrame([("1990-01-01",)], "c string")
     assert mask(df, {"c": "Year"}, as_of_year=2085).collect()[0][0].year == 1995
     assert mask(df, {"c": "Year"}, as_of_year=AS_OF).collect()[0][0].year == 1998
+
+
+def test_all_salts_are_derived_in_one_pass(spark, mask, monkeypatch):
+    calls = []
+    derive = keys.derive_distinct
+
+    def counted(values, salts, run_key):
+        calls.append(salts)
+        return derive(values, salts, run_key)
+
+    monkeypatch.setattr(keys, "derive_distinct", counted)
+    df = spark.createDataFrame([("ann", "ann", "ann", "bob"), ("bob", None, "", "ann")], "a string, b string, c string, d string")
+    salted = {name: {"type": "PBEKeyHash", "salt_key": key} for name, key in zip("abcd", ("k", "c", "zip", "k"))}
+    got = {tuple(r) for r in mask(df, salted).collect()}
+    assert calls == [["salt-k", "salt-c", "salt-zip"]]
+
+    def key(value, salt):
+        return hashlib.pbkdf2_hmac("sha1", value.encode(), salt.encode(), 2016, 64).hex()
+
+    assert got == {
+        (key("ann", "salt-k"), key("ann", "salt-c"), key("ann", "salt-zip"), key("bob", "salt-k")),
+        (key("bob", "salt-k"), None, "", key("ann", "salt-k")),
+    }
+
+
+def test_filters_on_text_reach_the_scan(spark, salts, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("F", 1), ("O", 2)], "status string, n int").write.parquet(path)
+    df = spark.read.parquet(path)
+    rules = make_policy({"status": "Identity", "n": "Identity"})
+    out = deidentify(df, rules, salts, MaskOptions(as_of_year=AS_OF), where=F.col("status") == "F")
+    plan = out._jdf.queryExecution().toString()
+    assert "EqualTo(status,F)" in plan.split("PushedFilters")[1].split("\n")[0]
+    assert out.collect() == [("F", 1)]
+
+
+@pytest.mark.parametrize("dtype", ["tinyint", "smallint", "int", "bigint", "decimal(3,1)", "float", "double"])
+def test_capped_numbers_keep_their_type(spark, mask, dtype):
+    df = spark.sql(f"select cast(95 as {dtype}) age, cast(20 as {dtype}) young")
+    out = mask(df, {"age": "Age", "young": "Age"})
+    assert [f.dataType.simpleString() for f in out.schema.fields] == [dtype, dtype]
+    assert [float(v) for v in out.first()] == [90.0, 20.0]

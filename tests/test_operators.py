@@ -6,9 +6,11 @@ from collections import Counter
 
 import pytest
 from conftest import AS_OF, make_policy
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from maskflow import MaskOptions
+from maskflow import Salts
 from maskflow.functions.sql import register_sql
 from maskflow.functions.vocabulary import FIRST_NAMES, LAST_NAMES, default_given_names
 from maskflow.operators import audit, cities, generate, relational
@@ -70,38 +72,67 @@ def test_join_size_equals_the_join(spark):
 def test_city_lists(spark):
     rows = [("10001", "B"), ("10002", "A"), ("10003", "A"), ("99999", "C")]
     table = spark.createDataFrame(rows, "zip string, city string")
-    assert {r["zip3"]: r["cities"] for r in cities.cities_by_area(table).collect()} == {
-        "100": ["A", "A", "B"],
-        "999": ["C"],
-    }
+    for large in (False, True):
+        lists = cities.cities_by_area(table, list_size=2, large=large).collect()
+        assert {(r["zip3"], r["part"]): r["cities"] for r in lists} == {
+            ("100", 0): ["A", "A"],
+            ("100", 1): ["B"],
+            ("999", 0): ["C"],
+        }
     sizes, numbered = cities.numbered_cities(table)
     assert {tuple(r) for r in sizes.collect()} == {("100", 3), ("999", 1)}
     assert sorted(map(tuple, numbered.collect()), key=str)[0] == ("100", "A", 0)
 
 
-def test_city_lists_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(cities, "BROADCAST_ROWS", 2)
-    table = spark.range(3).select(F.lit("10001").alias("zip"), F.lit("A").alias("city"))
-    with pytest.raises(ValueError, match="numbered_cities"):
-        cities.cities_by_area(table)
+def test_large_city_tables_are_numbered_alike(spark):
+    rows = [(f"{100 + k % 3}{k % 100:02d}", f"city {k * 7 % 400:04d}") for k in range(1200)]
+    table = spark.createDataFrame(rows, "zip string, city string").repartition(5)
+    found = [sorted(map(tuple, cities.numbered_cities(table, large)[1].collect())) for large in (False, True)]
+    assert found[0] == found[1] and len(found[0]) == 1200
 
 
-@pytest.mark.parametrize("rows", [500_000, 0])
-def test_large_city_tables_are_not_broadcast(spark, mask, monkeypatch, rows):
-    monkeypatch.setattr(cities, "BROADCAST_ROWS", rows)
+@pytest.mark.parametrize("size", [64 << 20, 0])
+def test_large_city_tables_are_not_broadcast(spark, mask, size):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        table = spark.createDataFrame([("10001", "A")], "zip string, city string")
-        df = spark.createDataFrame([("10077",), ("20001",)], "c string")
-        out = mask(df, {"c": "City"}, cities=table)
-        assert sorted(r[0] for r in out.collect()) == ["A", "unknown"]
+        table = spark.createDataFrame([("10001", "A"), (None, "B"), ("1", "C")], "zip string, city string")
+        df = spark.createDataFrame([("10077",), ("20001",), ("1",), (None,)], "c string")
+        out = mask(df, {"c": "City"}, cities=table, broadcast_bytes=size)
+        assert sorted(str(r[0]) for r in out.collect()) == ["A", "None", cities.NOT_A_ZIP, "unknown"]
         shown = out._jdf.queryExecution().executedPlan().toString()
-        assert ("SortMergeJoin" in shown) == (rows == 0)
+        assert ("SortMergeJoin" in shown) == (size == 0)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("random", ["keyed", "uniform"])
+def test_city_rows_are_spread(spark, mask, random):
+    """No partition of the shuffled plan holds more than twice the mean with half of
+    the zips null, a quarter equal, and a tenth of an unknown area."""
+    table = spark.range(500).select(
+        F.lpad((F.col("id") * 173 % 90000).cast("string"), 5, "0").alias("zip"),
+        F.concat(F.lit("city "), F.col("id")).alias("city"),
+    )
+    zip_code = (
+        F.when(F.col("id") % 20 < 10, F.lit(None)).when(F.col("id") % 20 < 15, "00173")
+        .when(F.col("id") % 20 < 17, "99999").otherwise(F.lpad((F.col("id") * 31 % 90000).cast("string"), 5, "0"))
+    )
+    df = spark.range(0, 80_000, 1, 16).select("id", zip_code.alias("city"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rules = {"id": "Identity", "city": {"type": "City", "salt_key": "k"}}
+        out = mask(df, rules, cities=table, broadcast_bytes=0, random=random)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 80_000 and len(sizes) == 8 and max(sizes) <= 20_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 # -- generators
 
 
@@ -167,7 +198,7 @@ def test_batch_cohort(spark):
 
 def test_sql_functions(spark, mask):
     table = spark.createDataFrame([("10001", "Aville")], "zip string, city string")
-    names = register_sql(spark, AS_OF, cities=table)
+    names = register_sql(spark, AS_OF, cities=table, salts=Salts({"k": "s"}), salt_keys=["k"])
     assert len(names) == 14
     rows = [
         (f"{y}", z, t, i)
@@ -209,9 +240,14 @@ def test_random_sql_functions(spark):
 
 
 def test_pbe_key_hash_in_sql(spark):
-    register_sql(spark)
-    row = spark.sql("select PBEKeyHash(' ann ', 's') a, PBEKeyHash('', 's') b, PBEKeyHash(string(null), 's') c").first()
-    assert row == (hashlib.pbkdf2_hmac("sha1", b"ann", b"s", 2016, 64).hex(), "", None)
+    register_sql(spark, salts=Salts({"k": "very secret"}), salt_keys=["k"])
+    df = spark.sql("select PBEKeyHash(' ann ', 'k') a, PBEKeyHash('', 'k') b, PBEKeyHash(string(null), 'k') c")
+    assert df.first() == (hashlib.pbkdf2_hmac("sha1", b"ann", b"very secret", 2016, 64).hex(), "", None)
+    assert "very secret" not in df._jdf.queryExecution().toString()
+    with pytest.raises(PySparkException, match="no salt bound"):
+        spark.sql("select PBEKeyHash('a', 'other')").collect()
+    with pytest.raises(KeyError):
+        register_sql(spark, salts=Salts({}), salt_keys=["k"])
 
 
 # -- streams

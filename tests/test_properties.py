@@ -27,6 +27,10 @@ date_texts = st.one_of(
     ),
     st.from_regex(r"\A\d{1,4}[-/]\d{1,2}[-/]\d{1,4}\Z"),
     st.sampled_from(["", " ", "NULL", "null", "2001", "2001-02", "2001-2-3", " 2001-02-03", "2001-02-30"]),
+    # whole dates with something behind them
+    st.tuples(dates, st.sampled_from([" soon", "Tgarbage", " 10:11:12 x", " 25:00:00", "x", " ", "T"])).map(
+        lambda pair: f"{pair[0]:%Y-%m-%d}{pair[1]}"
+    ),
 ).filter(lambda text: "0000" not in (text or ""))  # Python has no year 0
 
 

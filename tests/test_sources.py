@@ -237,12 +237,40 @@ def test_write_jdbc():
     assert second["numPartitions"] == "32"
 
 
-@pytest.mark.parametrize("cuts", [[], [5], [2, 5, 5, 8]])
-def test_range_predicates_cover_every_row_once(spark, cuts):
-    df = spark.createDataFrame([(i,) for i in [None, *range(10)]], "id int")
+DAYS = [dt.date(2020, 1, 1) + dt.timedelta(days=k) for k in range(10)]
+TIMES = [dt.datetime(2020, 1, 1, 5, 6, 7, 800) + dt.timedelta(hours=k) for k in range(10)]
+PRICES = [decimal.Decimal(k) / 4 for k in range(10)]
+
+
+@pytest.mark.parametrize(
+    "dtype,values,cuts",
+    [
+        ("int", range(10), []),
+        ("int", range(10), [5]),
+        ("bigint", range(10), [2, 5, 5, 8]),
+        ("double", [k / 8 for k in range(10)], [0.25, 0.9]),
+        ("decimal(9,2)", PRICES, [PRICES[2], decimal.Decimal("1.30")]),
+        ("date", DAYS, DAYS[3:6:2]),
+        ("timestamp_ntz", TIMES, [TIMES[2], TIMES[7]]),
+        ("string", [chr(ord("k") + k) + "'s" for k in range(10)], ["m", "o's", "zz"]),
+    ],
+)
+def test_range_predicates_cover_every_row_once(spark, dtype, values, cuts):
+    df = spark.createDataFrame([(v,) for v in [None, *values]], f"id {dtype}")
     tests = jdbc.range_predicates("id", cuts)
-    sizes = [df.where(test).count() for test in tests]
-    assert sum(sizes) == 11
+    parts = [{r["id"] for r in df.where(test).collect()} for test in tests]
+    assert sum(map(len, parts)) == 11
+    # a cut is the first value of its range
+    for cut, part in zip(cuts, parts[1:]):
+        assert all(v >= cut for v in part)
+    assert len([part for part in parts if part]) == len(set(cuts)) + 1 or dtype in ("bigint", "string")
+
+
+def test_cuts_have_a_type():
+    assert jdbc.bound_literal(dt.date(2020, 1, 1)) == "DATE '2020-01-01'"
+    assert jdbc.bound_literal("it's") == "'it''s'" and jdbc.bound_literal(decimal.Decimal("1E+2")) == "100"
+    with pytest.raises(ValueError):
+        jdbc.range_predicates("id", [None])
 
 
 # -- fixed width
