@@ -18,6 +18,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+# The names of strategies that policies use.
 STRATEGY_TYPES = frozenset(
     {
         "Identity",

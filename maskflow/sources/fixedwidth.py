@@ -89,6 +89,10 @@ def _typed(item: Field, fail: bool) -> str:
     return value
 
 
+# The two parts of the message for a line that ends too early.
+SHORT_LINE = ("Expected string of length at least ", "; got one of length ")
+
+
 def _line_too_short(layout: Sequence[Field]) -> str:
     """Message naming the first field end that lies beyond the line."""
     width, ends = 0, []
@@ -96,8 +100,8 @@ def _line_too_short(layout: Sequence[Field]) -> str:
         width += item.length
         ends.append(f"CASE WHEN length(value) < {width} THEN {width} END")
     return (
-        f"concat('Expected string of length at least ', least({', '.join(ends)}, {width}), "
-        f"'; got one of length ', length(value))"
+        f"concat({literal(SHORT_LINE[0])}, least({', '.join(ends)}, {width}), "
+        f"{literal(SHORT_LINE[1])}, length(value))"
     )
 
 
