@@ -217,6 +217,7 @@ def taken_times(rows: DataFrame, plan: DataFrame) -> DataFrame:
     small, else every row of it is copied to 16 salts. Rows equal to the cut are
     equal in all columns; they are counted off with ``numbered``.
     """
+    any_ties = bool(plan.where("at_cut < with_cut").head(1))
     plan = plan.select(*(F.col(c).alias(f"_{c}") for c in plan.columns))
     keys = ["_source_key", "_size"]
     rows = rows.withColumn("_source_key", null_key(F.col("source")))
@@ -234,6 +235,8 @@ def taken_times(rows: DataFrame, plan: DataFrame) -> DataFrame:
     )
     tied = F.coalesce((F.col("_draw") == F.col("_cut")) & (F.col("_at_cut") < F.col("_with_cut")), F.lit(False))
     once_more = F.coalesce(below | (F.col("_draw") == F.col("_cut")), F.lit(False))
+    if not any_ties:  # no repeated rows at a cut: one pass
+        return met.withColumn("_times", F.col("_whole") + once_more.cast("bigint"))
     clear = met.where(~tied).withColumn("_times", F.col("_whole") + once_more.cast("bigint"))
     ties = numbered(met.where(tied), keys, "_draw", "_place", "_home")
     ties = ties.withColumn("_times", F.col("_whole") + (F.col("_place") < F.col("_at_cut")).cast("bigint"))
