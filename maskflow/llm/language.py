@@ -56,7 +56,7 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Rows of counts as TF-IDF vectors of length 1; all zero stays zero."""
-    vectors = np.log1p(counts) * idf
+    vectors = counts * idf
     lengths = np.linalg.norm(vectors, axis=-1, keepdims=True)
     return vectors / np.where(lengths > 0, lengths, 1.0)
 
