@@ -61,10 +61,14 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return vectors / np.where(lengths > 0, lengths, 1.0)
 
 
-def cluster(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+def cluster(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12,
+            least_share: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means from farthest-first seeds: (centroids, distance radii).
 
-    A radius is the largest distance (1 - cosine) of a member, widened by half.
+    Clusters with less than ``least_share`` of the vectors are given up and the
+    rest run once more: farthest-first finds texts under a wrong label, which
+    are to have no centroid. A radius is the distance (1 - cosine) that 98 % of
+    the members keep, widened by half.
     """
     seeds = [int(np.argmax(vectors @ vectors.sum(axis=0)))]
     while len(seeds) < min(clusters, len(vectors)):
@@ -73,14 +77,22 @@ def cluster(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12) ->
             break
         seeds.append(int(np.argmin(nearest)))
     centroids = vectors[seeds]
-    for _ in range(rounds):
+    for step in range(2 * rounds):
         home = np.argmax(vectors @ centroids.T, axis=1)
+        if step == rounds:
+            sizes = np.bincount(home, minlength=len(centroids))
+            kept = sizes >= min(least_share * len(vectors), sizes.max())
+            centroids = centroids[kept]
+            home = np.argmax(vectors @ centroids.T, axis=1)
         sums = np.array([vectors[home == k].sum(axis=0) for k in range(len(centroids))])
         lengths = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(lengths > 0, sums / np.where(lengths > 0, lengths, 1.0), centroids)
     closeness = vectors @ centroids.T
     home = np.argmax(closeness, axis=1)
-    radii = [1 - closeness[home == k, k].min() if (home == k).any() else 0.0 for k in range(len(centroids))]
+    radii = [
+        np.quantile(1 - closeness[home == k, k], 0.98) if (home == k).any() else 0.0
+        for k in range(len(centroids))
+    ]
     return centroids, np.minimum(1.5 * np.array(radii) + 0.05, 0.99)
 
 

@@ -55,6 +55,16 @@ def test_clusters_part_what_is_apart():
     assert len(same) == 1
 
 
+def test_wrong_labels_get_no_centroid():
+    draw = np.random.default_rng(4)
+    own = np.eye(6)[0] + draw.normal(0, 0.05, (97, 6))
+    wrong = np.eye(6)[3] + draw.normal(0, 0.05, (3, 6))
+    vectors = np.concatenate([own, wrong])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    centroids, _ = language.cluster(vectors, 3)
+    assert len(centroids) and (centroids[:, 0] > 0.9).all()
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     rows = [(text(lang, k), lang) for lang in WORDS for k in range(60)]
