@@ -65,9 +65,9 @@ def cluster(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12,
             least_share: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means from farthest-first seeds: (centroids, distance radii).
 
-    Clusters with less than ``least_share`` of the vectors are given up and the
-    rest run once more: farthest-first finds texts under a wrong label, which
-    are to have no centroid. A radius is the distance (1 - cosine) that 98 % of
+    Clusters with less than ``least_share`` of the vectors are given up with their
+    members and the rest run once more: farthest-first finds texts under a wrong
+    label, which are to have no centroid. A radius is the distance (1 - cosine) that 98 % of
     the members keep, widened by half.
     """
     seeds = [int(np.argmax(vectors @ vectors.sum(axis=0)))]
@@ -82,7 +82,7 @@ def cluster(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12,
         if step == rounds:
             sizes = np.bincount(home, minlength=len(centroids))
             kept = sizes >= min(least_share * len(vectors), sizes.max())
-            centroids = centroids[kept]
+            vectors, centroids = vectors[kept[home]], centroids[kept]
             home = np.argmax(vectors @ centroids.T, axis=1)
         sums = np.array([vectors[home == k].sum(axis=0) for k in range(len(centroids))])
         lengths = np.linalg.norm(sums, axis=1, keepdims=True)
