@@ -142,13 +142,22 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -
         .agg(F.min("text").alias("text"))
     )
 
-    def vectors(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("draw").head(sample)
-        found = [(lang, c.astype(np.int32).tobytes()) for lang, text in zip(group["lang"], group["text"])
-                 if (c := ngram_counts(text)) is not None]
-        return pd.DataFrame(found, columns=["lang", "counts"])
+    # Texts are counted before a language's sample meets in one task, so that its size
+    # does not depend on their lengths.
+    @F.pandas_udf("binary")
+    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            found = [ngram_counts(text) for text in texts]
+            yield pd.Series([None if c is None else c.astype(np.int32).tobytes() for c in found])
+
+    def lowest(group: pd.DataFrame) -> pd.DataFrame:
+        return group.sort_values("draw").head(sample)[["lang", "counts"]]
 
-    sampled = stored(drawn.groupBy("lang").applyInPandas(vectors, "lang string, counts binary"), "ngrams")
+    sampled = stored(
+        drawn.select("lang", "draw", counted("text").alias("counts")).where("counts is not null")
+        .groupBy("lang").applyInPandas(lowest, "lang string, counts binary"),
+        "ngrams",
+    )
 
     def table(group: pd.DataFrame) -> np.ndarray:
         return np.array([np.frombuffer(c, np.int32) for c in group["counts"]])
