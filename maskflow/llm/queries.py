@@ -144,6 +144,29 @@ def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return graphs.near_vectors(load(spark, folder, "embeddings"))
 
 
+SQL["op6_embedding_dedup"] = """
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS row, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (
+  SELECT * FROM rows
+  WHERE label IS NOT NULL AND len(list_filter(v, lambda x: x <> 0)) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+links AS (
+  SELECT a.row AS a, b.row AS b FROM usable a JOIN usable b ON a.label = b.label AND a.row <> b.row
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.93 ELSE false END),
+counts AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a),
+reach AS (
+  SELECT row AS origin, row AS reached FROM rows
+  UNION SELECT origin, b FROM reach JOIN links ON reached = a),
+lows AS (
+  SELECT origin AS row, min(vec_id) AS component_id FROM reach JOIN rows ON reached = rows.row
+  GROUP BY origin)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id,
+  coalesce(vec_id = component_id, false) AS kept
+FROM rows JOIN lows USING (row) LEFT JOIN counts USING (row)
+"""
+
+
 @query
 def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")

@@ -40,7 +40,7 @@ def test_columns_and_reruns(spark, folder, name):
 def test_sql(spark, folder, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     df = QUERIES[name](spark, folder)
     found = connection.execute(f"SELECT {', '.join(df.columns)} FROM ({SQL[name]})")
