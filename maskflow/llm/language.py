@@ -136,7 +136,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -
     # Twice the sample on average, so that the lowest draws below hold all of it.
     share = F.lit(2.0 * sample) / F.col("n") * F.lit(2.0**63)
     drawn = (
-        rows.join(counts, "lang")
+        rows.join(F.broadcast(counts), "lang")  # a row per language: texts are not moved
         .where(F.shiftrightunsigned("draw", 1).cast("double") < share)
         .groupBy("lang", "draw")
         .agg(F.min("text").alias("text"))
