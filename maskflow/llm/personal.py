@@ -369,7 +369,7 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, windows: int = TRAIN_
     """A tagger fitted to windows of about ``sample`` documents, drawn by a hash of the
     text. Only pieces of at most 4,000 characters reach the driver."""
     texts = docs.select("text").where("text is not null")
-    rows = texts.count()
+    rows = docs.count()  # null texts included, as files know it without a scan
     if rows:
         share = F.lit(min(1.0, sample / rows) * 2.0**63)
         drawn = texts.where(F.shiftrightunsigned(F.xxhash64("text"), 1).cast("double") <= share)
