@@ -143,18 +143,24 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -
     )
 
     # Texts are counted before a language's sample meets in one task, so that its size
-    # does not depend on their lengths.
-    @F.pandas_udf("binary")
-    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            found = [ngram_counts(text) for text in texts]
-            yield pd.Series([None if c is None else c.astype(np.int32).tobytes() for c in found])
+    # does not depend on their lengths, and handed on in small parts.
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 128):
+                part = batch.iloc[start : start + 128]
+                found = [
+                    (lang, draw, c.astype(np.int32).tobytes())
+                    for lang, draw, text in zip(part["lang"], part["draw"], part["text"])
+                    if (c := ngram_counts(text)) is not None
+                ]
+                yield pd.DataFrame(found, columns=["lang", "draw", "counts"])
 
     def lowest(group: pd.DataFrame) -> pd.DataFrame:
         return group.sort_values("draw").head(sample)[["lang", "counts"]]
 
     sampled = stored(
-        drawn.select("lang", "draw", counted("text").alias("counts")).where("counts is not null")
+        drawn.select("lang", "draw", "text")
+        .mapInPandas(counted, "lang string, draw bigint, counts binary")
         .groupBy("lang").applyInPandas(lowest, "lang string, counts binary"),
         "ngrams",
     )
