@@ -28,6 +28,9 @@ INDEX_BYTES = 256 << 10
 BOUNDS_BYTES = 64 << 20
 
 WORD = re.compile(r"\w+")
+# A last line that ends a sentence, and lines that ask for an answer.
+SENTENCE = re.compile(r"[.!…。！][\"'”’»)\]]*\Z")
+ASKS = re.compile(r"[?？:：]\W*$|^\W*(?:q|question|problem)\s*[:.]|^\W*(?:a|answer|solution)\s*:", re.I | re.M)
 MATCHES = "array<struct<item_id: string, score: double, question_overlap: double, answer_overlap: double>>"
 
 
@@ -45,18 +48,27 @@ def grams_of(words: list[str], size: int = GRAM) -> set[tuple[str, ...]]:
 @dataclass(frozen=True)
 class Item:
     """A test item: its last line is the answer, what comes before the question; an
-    item of one line is all question."""
+    item of one line is all question. ``prose`` says that the last line is a sentence
+    and no line asks for an answer, so that the item may be one passage."""
 
     item_id: str
     question: list[str]
     answer: list[str]
+    prose: bool = False
 
     @classmethod
     def of(cls, item_id: str, text: str | None) -> Item:
-        question, _, answer = (text or "").rstrip().rpartition("\n")
+        whole = (text or "").rstrip()
+        question, _, answer = whole.rpartition("\n")
         if not words_of(question):
             question, answer = answer, ""
-        return cls(item_id, words_of(question), words_of(answer))
+        prose = bool(answer and SENTENCE.search(answer)) and not ASKS.search(whole)
+        return cls(item_id, words_of(question), words_of(answer), prose)
+
+    def wanted(self) -> list[set[tuple[str, ...]]]:
+        """Shingles of the question, of the answer, and of a passage of prose as a whole."""
+        whole = self.question + self.answer if self.prose else []
+        return [grams_of(words) for words in (self.question, self.answer, whole)]
 
 
 class Index:
@@ -164,21 +176,22 @@ class Index:
         return best
 
     def matches(self, text: str | None, least: float = SCORE, overlap: float = OVERLAP) -> list[dict]:
-        """Items found in a whole text whose question and answer overlap is verified."""
+        """Items found in a whole text whose overlap is verified: that of question and
+        answer each or, for prose, that of the item as a whole."""
         words = words_of(text)
         best = self.candidates(words, least)
         if not best:
             return []
-        wanted = {n: (grams_of(self.items[n].question), grams_of(self.items[n].answer)) for n in best}
-        sizes = {len(g) for pair in wanted.values() for grams in pair for g in grams}
-        needed = {g for pair in wanted.values() for grams in pair for g in grams}
+        wanted = {n: self.items[n].wanted() for n in best}
+        sizes = {len(g) for parts in wanted.values() for grams in parts for g in grams}
+        needed = {g for parts in wanted.values() for grams in parts for g in grams}
         present = set()
         for size in sizes:
             present.update(needed.intersection(zip(*(words[k:] for k in range(size)))))
         found = []
         for number in sorted(best):
             shares = [len(g & present) / len(g) if g else 1.0 for g in wanted[number]]
-            if min(shares) >= overlap:
+            if min(shares[:2]) >= overlap or (self.items[number].prose and shares[2] >= overlap):
                 found.append(
                     {"item_id": self.items[number].item_id, "score": best[number],
                      "question_overlap": shares[0], "answer_overlap": shares[1]}

@@ -89,6 +89,26 @@ def test_leaks(spark, make_docs, index_bytes, monkeypatch):
     assert clean.count() == sum(1 for d, text, _ in rows if not any(plain(text, i) for _, i in parsed))
 
 
+def test_one_word_edits_in_a_short_last_line(spark, make_docs):
+    draw = random.Random(9)
+    first, last = sentence(draw, 30) + ".", "Ann saw the red boat."
+    around = sentence(draw, 100), sentence(draw, 100)
+    items = [(1, f"{first}\n{last}"), (2, f"{first[:-1]}?\n{last}"), (3, f"{first}\n{last[:-1]}")]
+    rows, words = [], last.split()
+    for k in range(len(words)):
+        near = words[:k] + ["other"] + words[k + 1 :]
+        rows.append((k, " ".join([around[0], first, *near, around[1]]), "s"))
+    rows.append((10, " ".join([around[0], first, last, around[1]]), "s"))
+    rows.append((11, " ".join([around[0], *first.split()[:20], around[1]]), "s"))
+    docs = make_docs(rows)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in c.find_leaks(docs, benchmark).collect())
+    # Prose is one passage; questions that lack their answer are no leaks.
+    assert got == [(k, 1) for k in range(len(words))] + [(10, 1), (10, 2), (10, 3)]
+    left = c.without_leaks(docs, benchmark.where("item_id = 1")).collect()
+    assert [r["doc_id"] for r in left] == [11]
+
+
 def test_empty(spark, make_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     docs = make_docs([(1, "some text", "s")])
