@@ -83,6 +83,7 @@ class Discriminant:
     means: np.ndarray
     factors: np.ndarray
     offsets: np.ndarray  # log prior - half the log determinant
+    rows: int = 0  # labelled rows learnt from
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         """Probability of class 1 from the difference of the log densities."""
@@ -122,7 +123,7 @@ def fit_discriminant(moments: dict[int, tuple[int, np.ndarray, np.ndarray]], shr
         means.append(mean)
         factors.append(np.linalg.inv(lower))
         offsets.append(math.log((n + 1) / (rows + 2)) - np.log(np.diag(lower)).sum())
-    return Discriminant(np.array(means), np.array(factors), np.array(offsets))
+    return Discriminant(np.array(means), np.array(factors), np.array(offsets), rows)
 
 
 def _features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -206,7 +207,8 @@ def score_documents(features: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFrame:
     """The documents whose score is at least ``least``, with all their columns.
 
-    Statistics are taken once for training, stored narrow, and once more in the
+    All documents, if there is no label to learn from (none at all, or of other or
+    held-out documents alone): what cannot be told apart is not filtered. Statistics are taken once for training, stored narrow, and once more in the
     filter, so no text is shuffled.
     """
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label"))
@@ -214,4 +216,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFra
         docs.where(~held_out("doc_id")).select("doc_id", features_of("text").alias("features")), "features"
     )
     model = train(features.join(known, "doc_id"))
+    if not model.rows:
+        return docs
     return docs.where(score_of(model, features_of("text")) >= least)

@@ -72,6 +72,19 @@ def test_keep_good(spark, make_docs):
     assert {k for k in range(120) if k % 3} <= set(ids) and ids.count(1) == 2 and None in ids
 
 
+def test_keep_good_keeps_all_if_nothing_is_learnt(spark, make_docs):
+    rows, labels = corpus(30)
+    docs = make_docs(rows)
+    held = [r["doc_id"] for r in docs.where(quality.held_out("doc_id")).collect()]
+    assert held
+    for few in ([], [(k + 1000, one) for k, one in labels], [(k, one) for k, one in labels if k in held],
+                [(1, None), (None, 1), (1, 7)]):
+        few = spark.createDataFrame(few, "doc_id bigint, quality int")
+        kept = quality.keep_good(docs, few)
+        assert kept.columns == docs.columns
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(30))
+
+
 def test_empty(spark, make_docs):
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
     assert quality.keep_good(make_docs([]), labels).count() == 0
