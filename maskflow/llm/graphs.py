@@ -18,9 +18,12 @@ NEIGHBOURS = 12
 BUILD_BEAM = 40
 BEAM = 32
 # Audits: queries of a task that are also answered by brute force, and the share of
-# their links a search must find.
+# their links, and of queries with all links, a search must find. More are drawn until
+# FEW_AUDITS have links, but at most FEW of them.
 AUDITS = 256
 RECALL = 0.995
+FEW = 4
+FEW_AUDITS = 64
 SALTS = 16
 
 
@@ -145,31 +148,67 @@ class Graph:
         return nodes[: int(np.searchsorted(-closeness, -least, side="right"))]
 
 
-def search_all(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM, audits: int = AUDITS,
-               recall: float = RECALL) -> np.ndarray:
-    """Table (queries, nodes) of verified links found in a graph.
+def audited(graph: Graph, queries: np.ndarray, least: float, audits: int, own: bool) -> list[dict[int, np.ndarray]]:
+    """Links by brute force of audited queries that have any, as {query: nodes}: first
+    those with at most ``FEW``, then the others.
+
+    ``audits`` queries are drawn at a time, until ``FEW_AUDITS`` have few links or all
+    are drawn. Cosines that rounding could put below ``least`` are left out.
+    """
+    order = np.random.default_rng(0).permutation(len(queries))
+    few, many = {}, {}
+    for start in range(0, len(order), audits):
+        drawn = order[start : start + audits]
+        truth = queries[drawn] @ graph.vectors.T >= least + 1e-9
+        if own:
+            truth[np.arange(len(drawn)), drawn] = False
+        for k, row in zip(drawn, truth):
+            nodes = np.flatnonzero(row)
+            if 0 < len(nodes) <= FEW:
+                few[k] = nodes
+            elif len(nodes) and (start == 0 or len(many) < FEW_AUDITS):
+                many[k] = nodes
+        if len(few) >= FEW_AUDITS:
+            break
+    return [few, many]
+
 
-    The beam is doubled until searches find ``recall`` of the links that brute
-    force finds for an audited part of the queries; a beam as wide as the graph
-    is brute force. Cosines are verified in double precision.
+def search_all(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM, audits: int = AUDITS,
+               recall: float = RECALL, own: bool = False) -> np.ndarray:
+    """Table (queries, nodes) of verified links found in a graph; ``own`` if the queries
+    are the graph's vectors, whose links with themselves are not audited.
+
+    The beam is doubled until searches find all links of ``recall`` of the audited
+    queries, and ``recall`` of their links, those with few links and the others apart.
+    If all were drawn and none has a link, there is none to miss and the beam stays. As
+    wide as the graph it gives way to brute force. Cosines are verified in double precision.
     """
     size = len(graph.vectors)
-    checked = np.unique(np.linspace(0, len(queries) - 1, min(audits, len(queries))).astype(int))
-    truth = queries[checked] @ graph.vectors.T >= least
+    groups = audited(graph, queries, least, audits, own) if beam < size else []
     loose = least - 1e-9
 
-    def found(k: int) -> np.ndarray:
-        nodes = graph.within(queries[k], loose, beam)
+    def verified(k: int, nodes: np.ndarray) -> np.ndarray:
         return nodes[graph.vectors[nodes] @ queries[k] >= least]
 
-    while beam < size:
-        hits = sum(int(truth[row][found(k)].sum()) for row, k in enumerate(checked))
-        if hits >= recall * truth.sum():
-            break
+    def found(k: int) -> np.ndarray:
+        return verified(k, graph.within(queries[k], loose, beam))
+
+    def passes(truth: dict[int, np.ndarray]) -> bool:
+        total = np.array([len(nodes) for nodes in truth.values()])
+        hits = np.array([np.isin(nodes, found(k)).sum() for k, nodes in truth.items()])
+        return (hits == total).sum() >= recall * len(total) and hits.sum() >= recall * total.sum()
+
+    while beam < size and not all(map(passes, groups)):
         beam *= 2
     links = np.zeros((len(queries), size), dtype=bool)
-    for k in range(len(queries)):
-        links[k, found(k)] = True
+    if beam < size:
+        for k in range(len(queries)):
+            links[k, found(k)] = True
+        return links
+    for start in range(0, len(queries), AUDITS):
+        near = queries[start : start + AUDITS] @ graph.vectors.T >= loose
+        for k, row in enumerate(near, start):
+            links[k, verified(k, np.flatnonzero(row))] = True
     return links
 
 
@@ -218,7 +257,7 @@ def link_shards(rows: pd.DataFrame, least: float, **search) -> pd.DataFrame:
     vectors = [np.frombuffer(v, np.float64).reshape(len(i), -1) for v, i in zip(rows["vectors"], ids)]
     graphs = [unpack(data, v) for data, v in zip(rows["graph"], vectors)]
     if len(rows) == 1:
-        links = search_all(graphs[0], vectors[0], least, **search)
+        links = search_all(graphs[0], vectors[0], least, own=True, **search)
         links |= links.T
         np.fill_diagonal(links, False)
         counts, roots, all_ids = links @ copies[0], roots_of(links), ids[0]

@@ -56,6 +56,35 @@ def test_graph_recall_and_beams():
     assert (narrow == truth).all()  # beams are widened until the audit passes
 
 
+def hide(graph, nodes):
+    """No walk reaches ``nodes`` any more."""
+    for layer in graph.layers:
+        layer[np.isin(layer, nodes)] = -1
+
+
+def test_audits_see_rare_links_beside_a_dense_group():
+    draw = np.random.default_rng(11)
+    dense = draw.normal(0, 1, 32) + draw.normal(0, 0.02, (900, 32))
+    pairs = np.repeat(draw.normal(0, 1, (20, 32)), 2, axis=0) + draw.normal(0, 0.02, (40, 32))
+    vectors = graphs.unit(np.concatenate([dense, pairs]))
+    graph = graphs.Graph.build(vectors)
+    hide(graph, np.arange(900, 940))
+    graph.entry = 0
+    truth = vectors @ vectors.T >= 0.93
+    assert (graphs.search_all(graph, vectors, 0.93, own=True) | np.eye(940, dtype=bool) == truth).all()
+
+
+@pytest.mark.parametrize("linked", [1, 700, 1499])
+def test_audits_see_the_only_link(linked):
+    draw = np.random.default_rng(12)
+    vectors, queries = graphs.unit(draw.normal(0, 1, (300, 32))), graphs.unit(draw.normal(0, 1, (1500, 32)))
+    graph = graphs.Graph.build(vectors)
+    node = (graph.entry + 1) % 300
+    hide(graph, [node])
+    queries[linked] = vectors[node]
+    assert np.argwhere(graphs.search_all(graph, queries, 0.93)).tolist() == [[linked, node]]
+
+
 def test_packed_graphs_are_the_same():
     vectors = graphs.unit(clustered(np.random.default_rng(6), 300))
     graph = graphs.Graph.build(vectors)
