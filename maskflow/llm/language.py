@@ -62,12 +62,15 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def cluster(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12,
-            least_share: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+            least_share: float = 0.05, others: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means from farthest-first seeds: (centroids, distance radii).
 
     Clusters with less than ``least_share`` of the vectors are given up with their
     members and the rest run once more: farthest-first finds texts under a wrong
-    label, which are to have no centroid. A radius is the distance (1 - cosine) that 98 % of
+    label, which are to have no centroid. With ``others``, centroids and radii of other
+    languages, a small cluster is given up only if it lies within the radius of one of
+    them and nearer to it than to the large clusters here; a distinct form of the
+    language stays. A radius is the distance (1 - cosine) that 98 % of
     the members keep, widened by half.
     """
     seeds = [int(np.argmax(vectors @ vectors.sum(axis=0)))]
@@ -82,6 +85,10 @@ def cluster(vectors: np.ndarray, clusters: int = CLUSTERS, rounds: int = 12,
         if step == rounds:
             sizes = np.bincount(home, minlength=len(centroids))
             kept = sizes >= min(least_share * len(vectors), sizes.max())
+            if others is not None:
+                own = (centroids @ centroids[kept].T).max(axis=1, keepdims=True)
+                near = centroids @ others[0].T
+                kept |= (sizes > 0) & ~((near > own) & (1 - near <= others[1])).any(axis=1)
             vectors, centroids = vectors[kept[home]], centroids[kept]
             home = np.argmax(vectors @ centroids.T, axis=1)
         sums = np.array([vectors[home == k].sum(axis=0) for k in range(len(centroids))])
@@ -126,8 +133,9 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -
     """From rows (text, lang): up to ``sample`` texts of each language, drawn by a hash
     of the text; equal texts count once. Null languages and texts are left out.
 
-    Samples are clustered language by language on executors; IDF sums and
-    centroids, as large as the number of languages, reach the driver.
+    Samples are clustered language by language on executors, first by their large
+    clusters alone, then once more in sight of those of the other languages; IDF sums
+    and centroids, as large as the number of languages, reach the driver.
     """
     rows = labelled.where("lang is not null and text is not null").select(
         "text", "lang", F.xxhash64("text").alias("draw")
@@ -177,17 +185,27 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -
     df = sum((np.frombuffer(row["df"], np.int64) for row in sums), np.zeros(BUCKETS))
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
 
-    def centroids(group: pd.DataFrame) -> pd.DataFrame:
-        found, radii = cluster(weighted(table(group), idf), clusters)
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "k": range(len(found)),
-                             "vector": [v.astype(np.float32).tobytes() for v in found], "radius": radii})
-
-    rows = sorted(
-        sampled.groupBy("lang")
-        .applyInPandas(centroids, "lang string, k int, vector binary, radius double")
-        .collect(),
-        key=lambda row: (row["lang"], row["k"]),
-    )
+    def clustered(large: list[tuple[str, np.ndarray, float]] | None) -> list:
+        """Rows of centroids; ``large`` holds (lang, vector, radius) of large clusters."""
+
+        def centroids(group: pd.DataFrame) -> pd.DataFrame:
+            lang, others = group["lang"].iloc[0], None
+            if large is not None:
+                far = [(vector, radius) for other, vector, radius in large if other != lang]
+                others = np.array([v for v, _ in far]).reshape(-1, BUCKETS), np.array([r for _, r in far])
+            found, radii = cluster(weighted(table(group), idf), clusters, others=others)
+            return pd.DataFrame({"lang": lang, "k": range(len(found)),
+                                 "vector": [v.astype(np.float32).tobytes() for v in found], "radius": radii})
+
+        return sorted(
+            sampled.groupBy("lang")
+            .applyInPandas(centroids, "lang string, k int, vector binary, radius double")
+            .collect(),
+            key=lambda row: (row["lang"], row["k"]),
+        )
+
+    large = [(row["lang"], np.frombuffer(row["vector"], np.float32), row["radius"]) for row in clustered(None)]
+    rows = clustered(large)
     found = [np.frombuffer(row["vector"], np.float32) for row in rows]
     return Centroids(
         [row["lang"] for row in rows],

@@ -65,6 +65,17 @@ def test_wrong_labels_get_no_centroid():
     assert len(centroids) and (centroids[:, 0] > 0.9).all()
 
 
+def test_small_clusters_go_only_if_nearer_to_another_language(spark, make_docs):
+    words = "это которая после только можно время человек потому сейчас через".split()
+    second = [" ".join(words[(k * 3 + j * j) % len(words)] for j in range(40 + k)) for k in range(8)]
+    rows = [(text("en", k, 40 + k), "en") for k in range(200)] + [(text("de", k, 40 + k), "de") for k in range(200)]
+    rows += [(t, "en") for t in second[:4]] + [(text("fr", k, 40 + k), "fr") for k in range(200)]
+    rows += [(text("fr", k, 300 + k), "de") for k in range(4)]  # wrongly labelled
+    model = language.train(spark.createDataFrame(rows, "text string, lang string"))
+    found = model.identify(second[4:] + [text("fr", k, 305 + k) for k in range(4)])
+    assert list(found["lang"]) == ["en"] * 4 + ["fr"] * 4 and not found["rejected"].any()
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     rows = [(text(lang, k), lang) for lang in WORDS for k in range(60)]
