@@ -1,15 +1,14 @@
-import json
 import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[k]) for k in (0, 1)]
 
-from maskflow import MaskOptions, Salts, deidentify, parse_table_policy  # noqa: E402
+from support import AS_OF, make_policy  # noqa: E402
 
-AS_OF = 2088
+from maskflow import MaskOptions, Salts, deidentify  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -35,17 +34,6 @@ def salts():
     return Salts({key: f"salt-{key}" for key in ("k", "c", "d", "other", "name", "zip")})
 
 
-def make_policy(columns):
-    """Policy from {column: type or [type or strategy object, ...]}."""
-    document = {}
-    for name, chain in columns.items():
-        chain = chain if isinstance(chain, list) else [chain]
-        document[name] = {
-            "strategy": [{"type": item} if isinstance(item, str) else item for item in chain]
-        }
-    return parse_table_policy(json.dumps(document))
-
-
 @pytest.fixture
 def mask(salts):
     """mask(df, {column: strategies}, **options) -> masked DataFrame."""

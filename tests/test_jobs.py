@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import AS_OF, make_policy
+from support import AS_OF, make_policy
 from pyspark.sql import functions as F
 
 from maskflow import MaskOptions, Salts, load_policies

@@ -5,7 +5,7 @@ import hashlib
 from collections import Counter
 
 import pytest
-from conftest import AS_OF, make_policy
+from support import AS_OF, make_policy
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

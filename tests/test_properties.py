@@ -3,7 +3,7 @@
 import datetime as dt
 import re
 
-from conftest import AS_OF, make_policy
+from support import AS_OF, make_policy
 from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 

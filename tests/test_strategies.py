@@ -2,7 +2,7 @@ import datetime as dt
 import hashlib
 
 import pytest
-from conftest import AS_OF
+from support import AS_OF
 from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
@@ -361,7 +361,7 @@ def test_unknown_strategy(mask_values):
 @settings(max_examples=8, deadline=None, phases=[Phase.generate])
 @given(st.lists(st.one_of(st.none(), st.text(st.characters(codec="utf-8", exclude_characters="\x00"))), min_size=1, max_size=40))
 def test_text_strategies_on_any_text(spark, salts, values):
-    from conftest import make_policy
+    from support import make_policy
 
     from maskflow import MaskOptions, deidentify
 
