@@ -26,6 +26,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bytes_of(table: DataFrame) -> int:
+    """Bytes of a stored table's values: texts and binaries by their lengths, other values
+    16 each. What a broadcast is checked with, beside the overhead of its rows."""
+    texts = [f.name for f in table.schema if f.dataType.simpleString() in ("string", "binary")]
+    fixed = F.lit(16 * len(table.columns))
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts), fixed)
+    return int(table.agg(F.sum(size.cast("bigint"))).first()[0] or 0)
+
+
 def word_count(text: str | Column) -> Column:
     """Number of runs of other characters than white space; null counts 0.
 
