@@ -21,6 +21,7 @@ from maskflow.sources.shared import new_path
 # Payloads shorter than this are never stored as revisits.
 REVISIT_BYTES = 100
 SPLIT_BYTES = 32 << 20
+MOST_TASKS = 10_000
 FILE_BYTES = 1 << 30
 CHUNK = 1 << 20
 HEADER_BYTES = 64 << 10
@@ -118,7 +119,8 @@ def write_warc(pages: DataFrame, folder: str | None = None, file_bytes: int = FI
 
     Every task writes its own files under names no other attempt uses; only the
     files of attempts that succeed are in the manifest. Without ``folder`` they
-    go to the shared folder. An empty table gives an empty manifest.
+    go to the shared folder. An empty table gives an empty manifest; other columns play no
+    part, whatever their names.
     """
     folder = (folder or new_path(pages.sparkSession, "warc")).rstrip("/")
 
@@ -251,6 +253,16 @@ def read_split(source: Source, start: int, end: int) -> Iterator[Record]:
             at = record.end
 
 
+def splits_of(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(path, bytes, start) of all byte ranges of the files of a manifest, dealt out evenly:
+    a task for each range, up to ``MOST_TASKS``, then several ranges a task."""
+    ranges = F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(split_bytes).cast("bigint"))
+    files = manifest.where("bytes > 0")
+    count = files.agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0] or 1
+    # The number is given, as adaptive execution would merge such short rows into one task.
+    return files.select("path", "bytes", F.explode(ranges).alias("start")).repartition(int(min(count, MOST_TASKS)))
+
+
 def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool = True) -> DataFrame:
     """Records of the files of a manifest (path, bytes), a row for each.
 
@@ -259,11 +271,7 @@ def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool
     a revisit: of the payload it stands for). ``drop_embedded`` removes records
     of archives that lie within a payload larger than a split.
     """
-    splits = manifest.where("bytes > 0").select(
-        "path", "bytes",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(split_bytes).cast("bigint"))).alias("start"),
-    )
-    splits = splits.repartition("path", "start")
+    splits = splits_of(manifest, split_bytes)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

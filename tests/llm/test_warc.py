@@ -122,3 +122,28 @@ def test_payloads_and_files(spark, tmp_path):
 def test_empty(spark):
     pages = spark.createDataFrame([], PAGES)
     assert warc.round_trip(pages).count() == 0
+
+
+def test_tasks_grow_with_the_bytes_listed(spark):
+    """2,000 listed files of 1 GB are 64,000 ranges, a few in each of 10,000 tasks."""
+    files = spark.range(2000).selectExpr("concat('file-', id) AS path", "cast(1 << 30 AS bigint) AS bytes", "1L AS records")
+    splits = warc.splits_of(files)
+    held = splits.groupBy(F.spark_partition_id().alias("task")).count().agg(
+        F.count(F.lit(1)), F.max("count"), F.sum("count")
+    ).first()
+    assert held[0] == warc.MOST_TASKS and held[1] <= 8 and held[2] == 64_000
+    few = warc.splits_of(files.limit(3), 300 << 20)
+    assert few.rdd.getNumPartitions() == 12
+    assert {len(part) for part in few.rdd.glom().collect()} == {1}
+    assert warc.splits_of(files.where("bytes < 0")).count() == 0
+
+
+def test_other_columns_play_no_part(spark):
+    rows = [(1, "u", "<html>" + "x" * 200), (2, "u", "<html>" + "x" * 200), (3, None, None)]
+    pages = spark.createDataFrame(rows, PAGES)
+    plain = sorted(map(str, warc.round_trip(pages).collect()))
+    odd = pages.select(
+        F.lit("x").alias("digest"), F.lit(9).alias("bytes"), F.lit(8).alias("first"), "*", F.lit(7).alias("salt"),
+        F.create_map(F.lit(1), F.lit(2)).alias("payload"),
+    )
+    assert sorted(map(str, warc.round_trip(odd).collect())) == plain
