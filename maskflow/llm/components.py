@@ -31,13 +31,15 @@ def _to_smallest(links: DataFrame, only_larger: bool) -> DataFrame:
     return met.select(F.col("dst").alias("src"), F.col("low").alias("dst")).unionByName(own)
 
 
-def components(links: DataFrame, rounds: int = 64) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(id, component_id) for every id that occurs in ``links`` (a, b): the smallest
     id reachable. Null ends and self-links are ignored.
 
     Alternates linking larger neighbours and smaller neighbours to the smallest
-    one until the links form stars. Each round is a stored table, so lineage
-    stays short; only a count and a checksum reach the driver.
+    one until the links form stars, however many rounds that takes: every round
+    brings some node nearer to its smallest, and a round that changes nothing is the
+    last. Each round is a stored table, so lineage stays short; only a count and a
+    checksum reach the driver.
     """
     ends = links.select(F.col("a").cast("bigint").alias("src"), F.col("b").cast("bigint").alias("dst"))
     now = stored(
@@ -47,7 +49,7 @@ def components(links: DataFrame, rounds: int = 64) -> DataFrame:
         "links",
     )
     before = None
-    for _ in range(rounds):
+    while True:
         mark = now.agg(
             F.count(F.lit(1)),
             F.coalesce(F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")), F.lit(0)),
@@ -60,8 +62,6 @@ def components(links: DataFrame, rounds: int = 64) -> DataFrame:
         now = stored(
             _to_smallest(large, only_larger=False).where("src <> dst").distinct(), "links"
         )
-    else:
-        raise RuntimeError(f"links are no stars after {rounds} rounds")
     found = now.select(F.col("src").alias("id"), F.col("dst").alias("component_id"))
     roots = now.select(F.col("dst").alias("id")).distinct()
     return found.unionByName(roots.select("id", F.col("id").alias("component_id")))
