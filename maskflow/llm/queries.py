@@ -84,7 +84,7 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op3_line_dedup"] = r"""
-WITH rows AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
 lines AS (
   SELECT row, coalesce(doc_id, 9223372036854775807) AS doc,
     unnest(string_split(text, chr(10))) AS line,
@@ -95,23 +95,36 @@ tokens AS (
     lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
   FROM lines WHERE trim(line, ' ') <> ''),
 leaves AS (
-  SELECT *, len(tokens) AS n, array_to_string(tokens[1:3], ' ') AS lead FROM tokens),
+  SELECT *, len(tokens) AS n, array_to_string(tokens, ' ') AS form, array_to_string(tokens[1:3], ' ') AS lead
+  FROM tokens),
 shared AS (
   SELECT n, lead FROM leaves GROUP BY n, lead HAVING min(doc) <> max(doc)),
-uniques AS (
-  SELECT n, lead, line, tokens, array_to_string(tokens, ' ') AS masked, min(doc) AS first
-  FROM leaves JOIN shared USING (n, lead) GROUP BY n, lead, line, tokens),
-templates AS (
-  SELECT n, lead, first AS template_first, tokens AS template FROM uniques
-  QUALIFY row_number() OVER (PARTITION BY n, lead ORDER BY first, masked) = 1),
-keepers AS (
-  SELECT line, CASE WHEN list_sum(list_transform(range(1, n + 1),
-      lambda i: CASE WHEN tokens[i] = template[i] AND tokens[i] <> '<*>' THEN 1 ELSE 0 END)) / n >= 0.8
-    THEN template_first ELSE first END AS keeper
-  FROM uniques JOIN templates USING (n, lead)),
+forms AS (
+  SELECT n, form, tokens, min(doc) AS first FROM leaves JOIN shared USING (n, lead) GROUP BY n, form, tokens),
+rounds AS (
+  SELECT 0 AS round, n, form, tokens, first, NULL::BIGINT AS keeper FROM forms
+  UNION ALL
+  SELECT round + 1, n, form, tokens, first,
+    list_filter(founders, lambda f: f.tokens = tokens OR len(list_filter(range(1, n + 1),
+        lambda i: f.tokens[i] = tokens[i] AND tokens[i] <> '<*>'))
+      / greatest(1, len(list_filter(range(1, n + 1),
+        lambda i: f.tokens[i] <> '<*>' OR tokens[i] <> '<*>'))) >= 0.8)[1].first AS keeper
+  FROM (
+    SELECT *, list_reduce(early, lambda found, e: CASE WHEN len(list_filter(found,
+        lambda f: len(list_filter(range(1, n + 1),
+          lambda i: f.tokens[i] = e[1].tokens[i] AND f.tokens[i] <> '<*>'))
+        / greatest(1, len(list_filter(range(1, n + 1),
+          lambda i: f.tokens[i] <> '<*>' OR e[1].tokens[i] <> '<*>'))) >= 0.8)) > 0
+      THEN found ELSE list_concat(found, e) END) AS founders
+    FROM (
+      SELECT *, (list([{'first': first, 'tokens': tokens}]) OVER (
+        PARTITION BY n, array_to_string(tokens[1:3 * (1 << round)], ' ') ORDER BY first, form
+        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))[1:16] AS early
+      FROM rounds WHERE keeper IS NULL))),
+keepers AS (SELECT form, keeper FROM rounds WHERE keeper IS NOT NULL),
 gone AS (
   SELECT row, count(*) AS n_dropped, list(place) AS dropped
-  FROM lines JOIN keepers USING (line) WHERE doc <> keeper GROUP BY row),
+  FROM leaves JOIN keepers USING (form) WHERE doc <> keeper GROUP BY row),
 kept AS (
   SELECT lines.row, string_agg(line, chr(10) ORDER BY place) AS text
   FROM lines JOIN gone ON lines.row = gone.row AND NOT list_contains(dropped, place)
@@ -211,7 +224,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
-    return sharding.shard_digests(docs, sharding.Tree(SHARDS), sharding.Tree(SHARDS + 1))
+    return sharding.shard_digests(docs, sharding.Tree(SHARDS), SHARDS + 1)
 
 
 # The rules (host, path, verdict) of the url filter.

@@ -38,14 +38,15 @@ def _arrival(key: Column, shard: int, weight: float) -> Column:
     return -F.log((bits + F.lit(0.5)) / F.lit(2.0**53)) / F.lit(weight)
 
 
-def shard_of(key: Column, tree: Tree) -> Column:
-    """The shard a key belongs to, found by descending region, rack and shard.
-
-    An inner node's draw is the lowest draw in its subtree: exponential with the
-    subtree's weight as rate, so regions and racks are chosen by weight. As it
-    depends on nothing outside the subtree, a changed weight moves rows only
-    between the changed shard and others, and a new shard only takes rows in.
-    Equal draws go to the lower number at every level.
+def placed(key: Column, tree: Tree) -> Column:
+    """(shard, draw) of a key, found by descending region, rack and shard.
+
+    Every shard's draw belongs to its leaf alone; that of a rack or region is the lowest
+    draw in its subtree: exponential with the subtree's weight as rate, so regions and
+    racks are chosen by weight. As it depends on nothing outside the subtree, a changed
+    weight moves rows only between the changed shard and others, and a new shard only
+    takes rows in. Equal draws go to the lower number at every level. The descent hence
+    ends at the lowest draw of all shards.
     """
     key = key.cast("string")
     nested = tree.nested()
@@ -73,11 +74,27 @@ def shard_of(key: Column, tree: Tree) -> Column:
         rack = F.array_position(rack_draws, F.array_min(rack_draws)).cast("int")
         draws = F.element_at(F.element_at(node, region), rack)
         shard = F.array_position(draws, F.array_min(draws)).cast("int")
-        return F.element_at(F.element_at(F.element_at(number, region), rack), shard)
+        found = F.element_at(F.element_at(F.element_at(number, region), rack), shard)
+        return F.struct(found.alias("shard"), F.array_min(draws).alias("draw"))
 
-    return F.aggregate(
-        F.array(leaves), F.lit(None).cast("int"), lambda _, node: descend(node, numbers)
-    )
+    return F.get(F.transform(F.array(leaves), lambda node: descend(node, numbers)), F.lit(0))
+
+
+def shard_of(key: Column, tree: Tree) -> Column:
+    """The shard a key belongs to."""
+    return placed(key, tree)["shard"]
+
+
+def shard_after_growth(place: Column, key: Column, tree: Tree, shards: int) -> Column:
+    """The shard of a key once the tree has ``shards`` shards, new ones of weight 1, given its
+    (shard, draw) in ``tree``: a new shard where its draw is lower, else the one it had."""
+    new = range(tree.shards, shards)
+    if not new:
+        return place["shard"]
+    draws = F.array(*(_arrival(key.cast("string"), s, 1.0) for s in new))
+    lowest = F.array_min(draws)
+    taken = (F.array_position(draws, lowest) + F.lit(tree.shards - 1)).cast("int")
+    return F.when(lowest < place["draw"], taken).otherwise(place["shard"])
 
 
 def shard(docs: DataFrame, tree: Tree, key: str = "doc_id", out: str = "shard") -> DataFrame:
@@ -106,19 +123,23 @@ def with_slots(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return numbered(rows, ["shard"], "_order", "slot", "_home").select("doc.*", "slot")
 
 
-def shard_digests(docs: DataFrame, tree: Tree, grown: Tree) -> DataFrame:
+def shard_digests(docs: DataFrame, tree: Tree, grown: int) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     The size is the text's UTF-8 bytes (null: none) plus 16, the checksum that
-    of the text (null: of no bytes). The narrow rows are stored once; texts
-    pass no shuffle.
+    of the text (null: of no bytes); ``grown_shard`` is the shard once there are
+    ``grown`` shards. The narrow rows are stored once; texts pass no shuffle.
     """
     rows = docs.select(
         F.col("doc_id"),
         (utf8_bytes("text") + 16).alias("size"),
         F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
     )
-    rows = shard(shard(rows, tree), grown, out="grown_shard")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    place = F.col("_place")
+    rows = rows.withColumn("_place", placed(key, tree)).withColumns(
+        {"shard": place["shard"], "grown_shard": shard_after_growth(place, key, tree, grown)}
+    ).drop("_place")
     rows = rows.withColumn("_order", F.xxhash64(F.col("doc_id").cast("string"), "text_crc32", "size"))
     rows = stored(rows.withColumn("_home", F.spark_partition_id()), "shards")
     return numbered(rows, ["shard"], "_order", "slot", "_home").select(

@@ -7,7 +7,7 @@ from collections import Counter
 import xxhash
 from pyspark.sql import functions as F
 
-from maskflow.llm.sharding import Tree, shard, shard_digests, with_slots
+from maskflow.llm.sharding import Tree, placed, shard, shard_after_growth, shard_digests, with_slots
 
 
 def draw(key, number, weight=1.0):
@@ -36,6 +36,30 @@ def test_weights(spark):
     assert all(abs(counts[s] / 20_000 - 1 / 11) < 0.01 for s in range(8) if s != 3)
 
 
+def test_weights_at_every_level(spark):
+    weights = {0: 2.0, 1: 0.5, 2: 3.0, 4: 0.0, 7: 1.5, 8: 4.0, 9: 0.25, 11: 0.0}
+    tree = Tree(12, 2, 2, weights)
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"))
+    counts = Counter(r["shard"] for r in shard(docs, tree).select("shard").collect())
+    own = {s: weights.get(s, 1.0) for s in range(12)}
+    for size in (1, 2, 4):  # shards, racks, regions
+        for first in range(0, 12, size):
+            part = range(first, first + size)
+            share = sum(own[s] for s in part) / sum(own.values())
+            assert abs(sum(counts[s] for s in part) / 40_000 - share) < 0.01
+
+
+def test_growth_equals_the_grown_tree(spark):
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"))
+    tree = Tree(7, 2, 2, {3: 2.0, 5: 0.0})
+    key = F.col("doc_id").cast("string")
+    rows = docs.withColumn("place", placed(key, tree))
+    for shards in (7, 8, 11):
+        grown = Tree(shards, 2, 2, tree.weights)
+        found = rows.select("doc_id", shard_after_growth(F.col("place"), key, tree, shards).alias("shard"))
+        assert dict(map(tuple, found.collect())) == dict(map(tuple, shard(docs, grown).select("doc_id", "shard").collect()))
+
+
 def test_growth_and_changes_move_rows_only_to_or_from_what_changed(spark):
     docs = spark.range(5_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
 
@@ -56,7 +80,7 @@ def test_growth_and_changes_move_rows_only_to_or_from_what_changed(spark):
 def test_digests(spark, make_docs):
     special = [(9000, None, "s"), (9001, "", "s"), (None, "é" * 100_000, "s"), (None, None, None)]
     docs = make_docs(rows(800) + special + rows(5) + rows(5))
-    got = shard_digests(docs, Tree(40), Tree(41)).collect()
+    got = shard_digests(docs, Tree(40), 41).collect()
     assert len(got) == 814
     for number in range(40):
         slots = sorted(r["slot"] for r in got if r["shard"] == number)
@@ -68,7 +92,7 @@ def test_digests(spark, make_docs):
             data = (texts[r["doc_id"]] or "").encode()
             assert (r["size"], r["text_crc32"]) == (len(data) + 16, zlib.crc32(data))
     assert len({r["shard"] for r in got if r["doc_id"] is None}) == 1
-    again = shard_digests(docs.repartition(5), Tree(40), Tree(41)).collect()
+    again = shard_digests(docs.repartition(5), Tree(40), 41).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
@@ -83,5 +107,5 @@ def test_slots_keep_columns(make_docs):
 
 def test_empty(make_docs):
     docs = make_docs([])
-    assert shard_digests(docs, Tree(4), Tree(5)).count() == 0
+    assert shard_digests(docs, Tree(4), 5).count() == 0
     assert with_slots(shard(docs, Tree(4))).count() == 0
