@@ -20,6 +20,9 @@ COLUMNS = {
     "op8": "doc_id held_out score predicted",
     "op9": "doc_id size source_size target taken",
     "op10": "doc_id size text_crc32 law shard slot grown_shard",
+    "op11": "page_id host path rule verdict",
+    "op12": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op13": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
