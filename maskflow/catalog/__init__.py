@@ -7,6 +7,7 @@ from maskflow.catalog import (  # noqa: F401
     relations,
     stores,
     strategies,
+    streams,
     tables,
 )
 from maskflow.catalog.registry import QUERIES, SQL

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskflow.functions.text import pbkdf2_udf, quoted, secret
+from maskflow.operators.dictionary import KeyDictionary
 from maskflow.sources.shared import shared_folder
 
 # Rows of the derived table that are handled apart as possible hot values. No
@@ -29,7 +30,19 @@ def _digest(salt_id: Column, c: Column, key: Column) -> Column:
     return F.sha2(F.concat(salt_id.cast("string"), F.lit("/"), c, key), 256)
 
 
-def derive_distinct(values: DataFrame, salts: list[str], run_key: Column) -> DataFrame:
+def _digest_of(
+    salt_id: Column, c: Column, salts: list[str], run_key: Column, dictionary: KeyDictionary | None
+) -> Column:
+    """Digest of a value and its salt under the run's key, or under that of the dictionary."""
+    if dictionary is None:
+        return _digest(salt_id, c, run_key)
+    labels = F.array(*(F.lit(dictionary.label(salt)) for salt in salts))
+    return dictionary.digest(F.get(labels, salt_id), c, run_key)
+
+
+def derive_distinct(
+    values: DataFrame, salts: list[str], run_key: Column, dictionary: KeyDictionary | None = None
+) -> DataFrame:
     """``values`` has columns ``salt_id``, a place in ``salts``, and ``value``; gives
     (digest, derived, n_rows), the digest being that of both.
 
@@ -38,6 +51,8 @@ def derive_distinct(values: DataFrame, salts: list[str], run_key: Column) -> Dat
     byte size of its input hides from adaptive coalescing: its input is dealt
     out over a fixed number of tasks. (Repartitioned by value it would not be,
     as Spark drops a repartitioning that the grouping already provides.)
+
+    Keys that a dictionary has are taken from it; the others are added to it.
     """
     spark = values.sparkSession
     shared_folder(spark)
@@ -49,14 +64,24 @@ def derive_distinct(values: DataFrame, salts: list[str], run_key: Column) -> Dat
         values.where(F.col("value").isNotNull())
         .groupBy("salt_id", "value")
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .repartition(tasks)
     )
-    derived = counted.select(
-        _digest(F.col("salt_id"), F.col("value"), run_key).alias("digest"),
-        pbkdf2_udf(salts)("salt_id", "value").alias("derived"),
+    digest = _digest_of(F.col("salt_id"), F.col("value"), salts, run_key, dictionary)
+    if dictionary is None:
+        derived = counted.repartition(tasks).select(
+            digest.alias("digest"), pbkdf2_udf(salts)("salt_id", "value").alias("derived"), "n_rows"
+        )
+        return derived.checkpoint()
+    known = dictionary.keys(spark).withColumnRenamed("derived", "known")
+    met = counted.withColumn("digest", digest).join(known, "digest", "left").repartition(tasks)
+    missing = F.when(F.col("known").isNull(), F.col("value"))
+    derived = met.select(
+        "digest",
+        F.coalesce("known", pbkdf2_udf(salts)("salt_id", missing)).alias("derived"),
         "n_rows",
-    )
-    return derived.checkpoint()
+        F.col("known").isNull().alias("is_new"),
+    ).checkpoint()
+    dictionary.append(derived.where("is_new"))
+    return derived.drop("is_new")
 
 
 def _join_broadcast(frame: DataFrame, keys: DataFrame, key: str, out: str) -> DataFrame:
@@ -98,25 +123,31 @@ def add_derived_keys(
     inputs: dict[str, tuple[str, str]],
     spread_on: list[str],
     broadcast_bytes: int,
+    dictionary: KeyDictionary | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``inputs``, the derived key of the column and under
     the salt that it names.
 
     All columns and salts share one derived table, filled in one scan. Salts are
-    numbered; they themselves are in no row.
+    numbered; they themselves are in no row. Digests are under a key of this run,
+    or under that of the dictionary, which keeps them for later runs.
     """
-    run_key = secret(frame.sparkSession, secrets.token_hex(32))
+    run_key = secret(frame.sparkSession, dictionary.digest_key if dictionary else secrets.token_hex(32))
     salts = list(dict.fromkeys(salt for _, salt in inputs.values()))
     pairs = [
         F.struct(F.lit(salts.index(salt)).alias("salt_id"), F.col(c).alias("value"))
         for c, salt in inputs.values()
     ]
     values = frame.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
-    keys = derive_distinct(values, salts, run_key)
+    if dictionary is None:
+        keys = derive_distinct(values, salts, run_key)
+    else:
+        keys = derive_distinct(values, salts, run_key, dictionary)
     small = keys.count() * ROW_BYTES <= broadcast_bytes
     for out, (c, salt) in inputs.items():
         key = f"{out}_key"
-        keyed = frame.withColumn(key, _digest(F.lit(salts.index(salt)), F.col(c), run_key))
+        digest = _digest_of(F.lit(salts.index(salt)), F.col(c), salts, run_key, dictionary)
+        keyed = frame.withColumn(key, digest)
         if small:
             frame = _join_broadcast(keyed, keys, key, out).drop(key)
         else:

@@ -282,7 +282,9 @@ class Masking:
             frame = self.with_values(frame, inputs | chances)
             keys = {x.out: (f"{x.out}_input", x.salt) for x in todo if x.kind == "key"}
             if keys:
-                frame = add_derived_keys(frame, keys, spread_on, self.options.broadcast_bytes)
+                frame = add_derived_keys(
+                    frame, keys, spread_on, self.options.broadcast_bytes, self.options.key_dictionary
+                )
             for lookup in todo:
                 value, chance = f"{lookup.out}_input", f"{lookup.out}_chance"
                 if lookup.kind == "inline key":

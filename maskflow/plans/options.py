@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from maskflow.functions.vocabulary import default_given_names
+from maskflow.operators.dictionary import KeyDictionary
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,7 @@ class MaskOptions:
     keep_derived    keep EPOCH_START and *_duplicate though no policy lists them
     key_derivation  "distinct" derives once per distinct value and joins back,
                     "inline" derives within the scan (needed on streams)
+    key_dictionary  where "distinct" looks keys up and keeps new ones for later runs
     cities          postal table (zip, city) for City
     city_zip_column column holding the zip when City masks a place name
     given_names     {"female": [...], "male": [...]} for oncoemrFirstName
@@ -56,6 +58,7 @@ class MaskOptions:
     ethnicity_default: str = "White"
     keep_derived: bool = False
     key_derivation: str = "distinct"
+    key_dictionary: KeyDictionary | None = None
     cities: DataFrame | None = None
     city_zip_column: str | None = None
     given_names: Mapping[str, Sequence[str]] = field(default_factory=default_given_names)

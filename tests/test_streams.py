@@ -1,0 +1,191 @@
+"""Restartable streams into tables, and keys kept between runs."""
+
+import hashlib
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from support import make_policy
+
+from maskflow import MaskOptions, Salts, deidentify
+from maskflow.operators import keys
+from maskflow.operators.dictionary import KeyDictionary
+from maskflow.sources.fixedwidth import Field
+from maskflow.streaming import batches
+
+SCHEMA = "id bigint, name string"
+RULES = make_policy({"id": "Identity", "name": {"type": "Hash", "salt_key": "k"}})
+KEYED = make_policy({"id": "Identity", "name": {"type": "PBEKeyHash", "salt_key": "k"}})
+
+
+def digest(name):
+    return None if name is None else hashlib.sha256(f"{name}salt-k".encode()).hexdigest()
+
+
+def key(name, salt="salt-k"):
+    return None if name is None else hashlib.pbkdf2_hmac("sha1", name.encode(), salt.encode(), 2016, 64).hex()
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    """Rows in four files, and a function that opens them as a stream of a file a batch."""
+    rows = [(k, None if k % 9 == 0 else f"n{k % 7}") for k in range(80)]
+    path = str(tmp_path / "source")
+    for part in range(4):
+        spark.createDataFrame(rows[20 * part : 20 * part + 20], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return rows, lambda: spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def run(source, sink, path, salts, policy=RULES, **options):
+    batches.mask_batches(
+        source[1](), policy, sink, str(path), salts, MaskOptions(hash_bits=256, **options), available_now=True
+    ).awaitTermination()
+
+
+def failing(sink, at, before=False):
+    """Fails at one batch, after its write or before it."""
+    def write(df, batch_id):
+        if before and batch_id == at:
+            raise RuntimeError("stopped")
+        sink(df, batch_id)
+        if batch_id == at:
+            raise RuntimeError("stopped")
+
+    return write
+
+
+def sinks(spark, tmp_path):
+    layout = [Field("id", 6, "9"), Field("name", 64, "X")]
+    spark.sql("DROP TABLE IF EXISTS default.stream_rows")
+    return {
+        "parquet": (batches.parquet_batches(str(tmp_path / "p")), lambda: batches.read_parquet_batches(spark, str(tmp_path / "p"))),
+        "table": (
+            batches.table_batches("default", "stream_rows", str(tmp_path / "t")),
+            lambda: spark.table("default.stream_rows").drop("batch_id"),
+        ),
+        "lines": (
+            batches.fixed_width_batches(str(tmp_path / "f"), layout),
+            lambda: batches.read_fixed_width_batches(spark, str(tmp_path / "f"), layout),
+        ),
+    }
+
+
+@pytest.mark.parametrize("kind", ["parquet", "table", "lines"])
+@pytest.mark.parametrize("before", [False, True])
+def test_every_row_is_there_once_after_a_restart(spark, source, tmp_path, salts, kind, before):
+    sink, read = sinks(spark, tmp_path)[kind]
+    for at in (1, 2):  # it stops twice
+        with pytest.raises(StreamingQueryException):
+            run(source, failing(sink, at, before), tmp_path / "progress", salts)
+    run(source, sink, tmp_path / "progress", salts)
+    blank = "" if kind == "lines" else None
+    want = [(k, blank if name is None else digest(name)) for k, name in source[0]]
+    assert sorted(map(tuple, read().collect())) == sorted(want)
+    run(source, sink, tmp_path / "progress", salts)  # nothing new: nothing changes
+    assert read().count() == 80
+
+
+@pytest.mark.parametrize("kind", ["parquet", "table", "lines"])
+def test_a_batch_takes_the_place_of_its_earlier_write(spark, tmp_path, kind):
+    sink, read = sinks(spark, tmp_path)[kind]
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA)
+    sink(rows, 0)
+    sink(rows, 1)
+    sink(rows.where("id = 1"), 1)
+    assert sorted(r["id"] for r in read().collect()) == [1, 1, 2]
+    sink(rows.where("id > 5"), 0)  # and may leave none
+    assert [r["id"] for r in read().collect()] == [1]
+
+
+def test_the_batch_column_is_not_the_tables(spark, tmp_path):
+    rows = spark.createDataFrame([(1,)], "Batch_Id int")
+    for sink in (batches.parquet_batches(str(tmp_path)), batches.table_batches("default", "never")):
+        with pytest.raises(ValueError, match="batch_id"):
+            sink(rows, 0)
+
+
+def test_keys_of_a_stream_are_derived_once(spark, source, tmp_path, salts):
+    kept = KeyDictionary(str(tmp_path / "keys"), "secret")
+    sink, read = sinks(spark, tmp_path)["parquet"]
+    with pytest.raises(StreamingQueryException):
+        run(source, failing(sink, 1), tmp_path / "progress", salts, KEYED, key_dictionary=kept)
+    run(source, sink, tmp_path / "progress", salts, KEYED, key_dictionary=kept)
+    assert sorted(map(tuple, read().collect()), key=str) == sorted(((k, key(n)) for k, n in source[0]), key=str)
+    assert kept.versions(spark).agg(F.sum("n_keys")).first()[0] == 7
+
+
+def versions(spark, kept):
+    return [tuple(r) for r in kept.versions(spark).orderBy("version").collect()]
+
+
+def masked(spark, names, kept, salts, **options):
+    df = spark.createDataFrame(list(enumerate(names)), SCHEMA)
+    rows = deidentify(df, KEYED, salts, MaskOptions(key_dictionary=kept, **options)).collect()
+    return {r["id"]: r["name"] for r in rows}
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_later_runs_derive_new_values_alone(spark, tmp_path, salts, broadcast_bytes):
+    kept = KeyDictionary(str(tmp_path / "keys"), "secret")
+    assert versions(spark, kept) == []
+    names = ["ann", "bob", None, "", "ann", " bob "]
+    want = {0: key("ann"), 1: key("bob"), 2: None, 3: "", 4: key("ann"), 5: key("bob")}
+    assert masked(spark, names, kept, salts, broadcast_bytes=broadcast_bytes) == want
+    first = versions(spark, kept)
+    assert len(first) == 1
+    more = masked(spark, [*names, "cy"], kept, salts, broadcast_bytes=broadcast_bytes)
+    assert more == want | {6: key("cy")}
+    assert versions(spark, kept) == [*first, (2, 1)]
+    masked(spark, names, kept, salts)
+    assert versions(spark, kept) == [*first, (2, 1)]
+
+
+def test_known_keys_are_not_derived_again(spark, tmp_path, salts, monkeypatch):
+    """What a dictionary holds is taken as it is, so a key planted in it comes out."""
+    kept = KeyDictionary(str(tmp_path / "keys"), "secret")
+    masked(spark, ["ann"], kept, salts)
+    rows = kept.keys(spark).withColumn("derived", F.lit("planted"))
+    other = KeyDictionary(str(tmp_path / "other"), "secret")
+    other.append(rows)
+    assert masked(spark, ["ann", "bob"], other, salts) == {0: "planted", 1: key("bob")}
+
+
+def test_salts_and_digest_keys_part_keys(spark, tmp_path):
+    kept = KeyDictionary(str(tmp_path / "keys"), "secret")
+    assert masked(spark, ["ann"], kept, Salts({"k": "a"})) == {0: key("ann", "a")}
+    assert masked(spark, ["ann"], kept, Salts({"k": "b"})) == {0: key("ann", "b")}
+    again = KeyDictionary(str(tmp_path / "keys"), "another secret")
+    assert masked(spark, ["ann"], again, Salts({"k": "b"})) == {0: key("ann", "b")}
+    assert versions(spark, kept) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_runs_at_the_same_time_and_torn_writes(spark, tmp_path, salts):
+    """Two versions of one number with a common key give rows once; a version whose write was
+    not completed does not count."""
+    kept = KeyDictionary(str(tmp_path / "keys"), "secret")
+    masked(spark, ["ann"], kept, salts)
+    rows = kept.keys(spark)
+    rows.write.parquet(str(tmp_path / "keys" / "version-000001-ab"))
+    rows.withColumn("derived", F.lit("torn")).write.parquet(str(tmp_path / "keys" / "version-000002-ab"))
+    os.remove(tmp_path / "keys" / "version-000002-ab" / "_SUCCESS")
+    assert masked(spark, ["ann", "bob", "ann"], kept, salts) == {0: key("ann"), 1: key("bob"), 2: key("ann")}
+
+
+def test_nothing_secret_is_kept(spark, tmp_path, salts):
+    kept = KeyDictionary(str(tmp_path / "keys"), "very secret")
+    assert "very secret" not in repr(kept) and "very secret" not in repr(MaskOptions(key_dictionary=kept))
+    masked(spark, ["a-name-to-look-for"], kept, salts)
+    found = kept.keys(spark)
+    assert found.columns == ["digest", "derived"]
+    assert found.where("digest like '%look%' or digest = sha2('a-name-to-look-for', 256)").count() == 0
+    for folder, _, files in os.walk(tmp_path / "keys"):
+        for name in files:
+            data = open(os.path.join(folder, name), "rb").read()
+            assert b"look-for" not in data and b"salt-k" not in data and b"very secret" not in data
+
+
+def test_without_a_dictionary_nothing_is_kept(spark, salts, monkeypatch):
+    monkeypatch.setattr(KeyDictionary, "append", lambda *a: pytest.fail("kept"))
+    df = spark.createDataFrame([(1, "ann")], SCHEMA)
+    assert deidentify(df, KEYED, salts).first()["name"] == key("ann") and keys.HOT_VALUES
