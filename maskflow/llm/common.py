@@ -9,6 +9,8 @@ from maskflow.sources.shared import new_path
 
 # White space of the word rule: \x20 and \x09 to \x0D.
 SPACES = " \t\n\x0b\x0c\r"
+# Measured bytes up to which a stored table is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -35,6 +37,16 @@ def bytes_of(table: DataFrame) -> int:
     return int(table.agg(F.sum(size.cast("bigint"))).first()[0] or 0)
 
 
+def hashable(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` as hash functions take them: those that hold a map or a variant
+    as JSON text."""
+    return [
+        F.to_json(F.struct(F.col(f"`{f.name}`"))) if any(x in f.dataType.simpleString() for x in ("map<", "variant"))
+        else F.col(f"`{f.name}`")
+        for f in df.schema
+    ]
+
+
 def word_count(text: str | Column) -> Column:
     """Number of runs of other characters than white space; null counts 0.
 

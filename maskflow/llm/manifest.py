@@ -14,15 +14,13 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from maskflow.llm.common import bytes_of, null_key, stored
+from maskflow.llm.common import BROADCAST_BYTES, bytes_of, null_key, stored
 
 FAN = 8
 # Levels within a block: climbs of up to FAN**4 leaves share copies of the nodes above them,
 # so that a join by block never meets more than FAN**3 runs at one node.
 BLOCK_LEVELS = 4
 BLOCK_RUNS = FAN ** (BLOCK_LEVELS - 1)
-# Measured bytes up to which the table of groups, or nodes above the blocks, are broadcast.
-BROADCAST_BYTES = 32 << 20
 SALTS = 16
 # Name of the group tree that holds the subroots; those of the groups begin with + or -.
 TOP = ""

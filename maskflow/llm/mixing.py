@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskflow.llm.common import null_key, numbered, stored, word_count
+from maskflow.llm.common import BROADCAST_BYTES, bytes_of, hashable, null_key, numbered, stored, word_count
 
 # Fixed values of the production mix.
 WEIGHTS = (5.0, 2.0, 1.0)
 EPOCHS = 1.5
 MOST = 2.0
 
-# Rows of (source, size, cut) up to which the table is broadcast, about 64 bytes each.
+# Rows of (source, size, cut) up to which the table is broadcast, if its bytes allow.
 BROADCAST_ROWS = 500_000
 SALTS = 16
 
@@ -57,15 +60,16 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, epochs=EPOCHS, most=MOST)
     )
 
 
-def knapsack(sizes: list[int], rooms: list[int], budget: int) -> dict[int, int]:
+def knapsack(sizes: list[int], rooms: list[int], budget: int, rest: float = 0.0) -> dict[int, int]:
     """How many documents of each index to take, at most ``rooms`` of it, so that the sum
-    of their sizes is nearest to ``budget``, the lower of two.
+    of their sizes is nearest to ``budget`` and a ``rest`` below 1; of two as near the lower.
 
     A bounded knapsack with a bit for every reachable sum, counts in binary
-    parts. Sums up to one largest size above the budget are looked at.
+    parts. Sums up to one largest size above the budget are looked at. What was taken is
+    traced by halves, so that few tables of sums are held, however many parts there are.
     """
     usable = [i for i, room in enumerate(rooms) if room]
-    if not usable or budget <= 0:
+    if not usable or budget < 0:
         return {}
     reach = budget + max(sizes[i] for i in usable)
     parts = []  # (index, number of documents)
@@ -76,39 +80,92 @@ def knapsack(sizes: list[int], rooms: list[int], budget: int) -> dict[int, int]:
             room -= parts[-1][1]
             part *= 2
     mask = (1 << (reach + 1)) - 1
-    states = [1]
-    for i, n in parts:
-        states.append((states[-1] | states[-1] << (sizes[i] * n)) & mask)
-    best = (states[-1] & ((1 << (budget + 1)) - 1)).bit_length() - 1
-    above = states[-1] >> (budget + 1)
-    if above:
-        over = budget + 1 + (above & -above).bit_length() - 1
-        best = over if over - budget < budget - best else best
+
+    def after(state: int, some: list[tuple[int, int]]) -> int:
+        for i, n in some:
+            state |= (state << sizes[i] * n) & mask
+        return state
+
     taken: dict[int, int] = {}
-    for (i, n), state in zip(reversed(parts), reversed(states[:-1])):
-        if not state >> best & 1:
+
+    def trace(state: int, some: list[tuple[int, int]], goal: int) -> int:
+        """Take of ``some`` what leads from the sums ``state`` to ``goal``; the sum left."""
+        if len(some) == 1:
+            if state >> goal & 1:
+                return goal
+            i, n = some[0]
             taken[i] = taken.get(i, 0) + n
-            best -= sizes[i] * n
+            return goal - sizes[i] * n
+        half = len(some) // 2
+        goal = trace(after(state, some[:half]), some[half:], goal)
+        return trace(state, some[:half], goal)
+
+    last = after(1, parts)
+    best = (last & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = last >> (budget + 1)
+    if above:
+        over = budget + 1 + (above & -above).bit_length() - 1
+        best = over if over - budget - rest < budget - best + rest else best
+    trace(1, parts, best)
     return taken
 
 
-def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, most_bits: int = 1 << 30) -> np.ndarray:
-    """How many documents of each size to take so that their sizes sum to about
-    ``budget``; sizes are positive and distinct.
+def pools(sizes: list[int], counts: list[int], shares: list[int], budget: int) -> Iterator[tuple[list[int], list[int]]]:
+    """(lows, rooms) of ever larger pools: how often each size is taken for certain, and how
+    often it may be taken beyond. Sizes are ascending, ``shares`` lie near the budget.
 
-    Every size first gives its share of the budget, rounded down; then sizes with
-    the largest lost parts give one more while it fits. What remains is fitted
-    by a bounded knapsack, after a few documents of the smallest sizes are given
-    back; while the budget is missed and the table of reachable sums stays below
-    ``most_bits``, more are given back, in the end all of them. Without that
-    limit being met the sum is the nearest there is.
+    A pool is of the smallest sizes, around their shares; the other sizes keep theirs, but
+    that some are given back or added until the budget lies in the middle of the sums of
+    the pool, where these are densest. The last pool is of all sizes. It holds a nearest
+    sum: as sums lie within one largest size of the budget, a nearest solution differs from
+    the one that fills up the sizes in their order by fewer documents than three times the
+    largest size and four (proximity of integer and fractional solutions of one equation).
     """
-    sizes = [int(s) for s in sizes]
+    kinds, room = 64, 7
+    while kinds < 4 * len(sizes) or room < 64:
+        lows, rooms = list(shares), [0] * len(sizes)
+        for i in range(min(kinds, len(sizes))):
+            rooms[i] = min(room, counts[i])
+            lows[i] = min(max(0, shares[i] - rooms[i] // 2), counts[i] - rooms[i])
+        whole = sum(s * n for s, n in zip(sizes, rooms))
+        rest = budget - sum(s * n for s, n in zip(sizes, lows))
+        for i in reversed(range(min(kinds, len(sizes)), len(sizes))):
+            if sizes[i] <= whole // 2:
+                back = min(lows[i], max(0, -(-(whole // 4 - rest) // sizes[i])))
+                more = min(counts[i] - lows[i], max(0, -(-(rest - whole * 3 // 4) // sizes[i])))
+                lows[i] += more - back
+                rest -= (more - back) * sizes[i]
+        if 0 <= rest <= whole:
+            yield lows, rooms
+        kinds, room = 4 * kinds, 2 * room
+    filled, left = [], budget
+    for size, count in zip(sizes, counts):
+        filled.append(min(count, left // size))
+        left -= size * filled[-1]
+    near = 3 * sizes[-1] + 4
+    lows = [max(0, n - near) for n in filled]
+    yield lows, [min(count, n + near) - low for count, n, low in zip(counts, filled, lows)]
+
+
+def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """How many documents of each size to take so that their sizes sum to the nearest there
+    is to ``budget``; sizes are positive, ascending and distinct.
+
+    Sizes are divided by what divides all of them. Every size first gives its share of the
+    budget, rounded down; then sizes with the largest lost parts give one more while it
+    fits. What remains is fitted by a bounded knapsack over ever larger pools of sizes,
+    until no sum can be nearer: a multiple of the common divisor is met, or the pool holds
+    a nearest sum. Real sizes are met by the first pool; only sizes whose sums have gaps
+    need the last, whose cost grows with the largest size, not with the documents.
+    """
+    common = math.gcd(*(int(s) for s in sizes)) if len(sizes) else 1
+    sizes = [int(s) // common for s in sizes]
     counts = [int(c) for c in counts]
     total = sum(s * c for s, c in zip(sizes, counts))
-    budget = max(0, min(int(budget), total))
-    if not total or not budget:
+    wanted = max(0, min(int(budget), total * common))
+    if not total or not wanted:
         return np.zeros(len(sizes), dtype=np.int64)
+    budget, part = divmod(wanted, common)  # ``part`` cannot be met by any sum
     shares = [c * budget // total for c in counts]
     lost = [c * budget % total for c in counts]
     left = budget - sum(s * n for s, n in zip(sizes, shares))
@@ -116,26 +173,21 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, most_bits: in
         if sizes[i] <= left and shares[i] < counts[i]:
             shares[i] += 1
             left -= sizes[i]
-    smallest = sorted(range(len(sizes)), key=lambda i: sizes[i])
-    found, miss = shares, left
-    # (sizes that give back, documents each, sizes in the knapsack, room of each)
-    for few, back, kinds, room in ((64, 1, 512, 7), (256, 4, 512, 15), (len(sizes), total, len(sizes), total)):
-        if not miss:
+
+    def miss(taken: list[int]) -> int:
+        return abs(wanted - common * sum(s * n for s, n in zip(sizes, taken)))
+
+    least = min(part, common - part)
+    found = shares
+    for lows, rooms in pools(sizes, counts, shares, budget):
+        if miss(found) == least:
             break
-        taken = list(shares)
-        for i in smallest[:few]:
-            taken[i] -= min(taken[i], back)
-        rest = budget - sum(s * n for s, n in zip(sizes, taken))
-        usable = [i for i in smallest if counts[i] > taken[i] and sizes[i] <= 2 * rest]
-        usable = set(usable[:: max(1, -(-len(usable) // kinds))])
-        rooms = [min(counts[i] - taken[i], room) if i in usable else 0 for i in range(len(sizes))]
-        if rest * sum(n.bit_length() for n in rooms) > most_bits:
-            continue
-        for i, n in knapsack(sizes, rooms, rest).items():
+        taken = list(lows)
+        rest = budget - sum(s * n for s, n in zip(sizes, lows))
+        for i, n in knapsack(sizes, rooms, rest, part / common).items():
             taken[i] += n
-        off = abs(budget - sum(s * n for s, n in zip(sizes, taken)))
-        if off < miss:
-            found, miss = taken, off
+        if miss(taken) < miss(found):
+            found = taken
     return np.array(found, dtype=np.int64)
 
 
@@ -205,7 +257,7 @@ def sized(docs: DataFrame, seed: int = 1) -> DataFrame:
         F.struct(*columns).alias("doc"),
         F.col("source"),
         word_count("text").alias("_size"),
-        F.xxhash64(F.lit(seed), *columns).alias("_draw"),
+        F.xxhash64(F.lit(seed), *hashable(docs)).alias("_draw"),
         F.spark_partition_id().alias("_home"),
     )
 
@@ -213,7 +265,7 @@ def sized(docs: DataFrame, seed: int = 1) -> DataFrame:
 def taken_times(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """``rows`` (from ``sized``) with ``_times``, ``_source_size`` and ``_target``.
 
-    The plan has a row per (source, size): it is broadcast while its row count is
+    The plan has a row per (source, size): it is broadcast while it is
     small, else every row of it is copied to 16 salts. Rows equal to the cut are
     equal in all columns; they are counted off with ``numbered``.
     """
@@ -221,7 +273,7 @@ def taken_times(rows: DataFrame, plan: DataFrame) -> DataFrame:
     plan = plan.select(*(F.col(c).alias(f"_{c}") for c in plan.columns))
     keys = ["_source_key", "_size"]
     rows = rows.withColumn("_source_key", null_key(F.col("source")))
-    if plan.count() <= BROADCAST_ROWS:
+    if plan.count() <= BROADCAST_ROWS and bytes_of(plan) <= BROADCAST_BYTES:
         met = rows.join(F.broadcast(plan), keys)
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

@@ -58,6 +58,37 @@ def test_fit_is_exact_with_many_sizes():
         assert int(mixing.fit_counts(sizes, counts, budget) @ sizes) == budget
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_fit_is_exact_with_large_sparse_sizes(seed):
+    """Thousands of even sizes up to ten million, a text each, and an odd budget: a table of
+    all sums would take gigabytes, and the nearest sum misses by one."""
+    draw = np.random.default_rng(seed)
+    sizes = np.unique(draw.integers(1, 5_000_000, 4000) * 2)
+    for share in (0.3, 0.5, 0.9):
+        budget = int(sizes.sum() * share) | 1
+        taken = mixing.fit_counts(sizes, np.ones(len(sizes), dtype=int), budget)
+        assert set(taken) <= {0, 1} and abs(int(taken @ sizes) - budget) == 1
+
+
+def test_fit_with_gaps():
+    """Sums that lie far apart: no pool of few sizes says that a nearer one is missing."""
+    draw = np.random.default_rng(1)
+    for _ in range(40):
+        sizes = np.unique(np.append(draw.choice(np.arange(2, 9), 3) * 100, draw.choice([601, 1, 977])))
+        counts = draw.integers(1, 4, len(sizes))
+        budget = int(draw.integers(1, (sizes * counts).sum() + 1))
+        taken = mixing.fit_counts(sizes, counts, budget)
+        assert (0 <= taken).all() and (taken <= counts).all()
+        sums = [int(np.dot(n, sizes)) for n in product(*(range(c + 1) for c in counts))]
+        assert abs(int(taken @ sizes) - budget) == min(abs(s - budget) for s in sums)
+
+
+def test_columns_of_any_kind(spark, make_docs):
+    docs = make_docs(docs_rows()).withColumn("bag", F.create_map(F.lit(1), F.col("doc_id")))
+    assert mixing.mix(docs).columns == docs.columns
+    assert mixing.mix(docs).count() == mixing.mix(docs.drop("bag")).count()
+
+
 def docs_rows():
     words = ["w " * n for n in range(1, 60)]
     rows = [(k, words[k % 59], f"s{k % 4}") for k in range(400)]
