@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskflow.llm.common import stored
+from maskflow.llm.common import BROADCAST_BYTES, bytes_of, stored
 from maskflow.llm.components import components
 
 COSINE = 0.93
@@ -17,13 +17,13 @@ SHARD_VECTORS = 8192
 NEIGHBOURS = 12
 BUILD_BEAM = 40
 BEAM = 32
-# Audits: queries of a task that are also answered by brute force, and the share of
-# their links, and of queries with all links, a search must find. More are drawn until
-# FEW_AUDITS have links, but at most FEW of them.
+# Audits: queries of a task that are also answered by brute force, queries planted beside
+# stored vectors, whose link is known, and the share of links, and of queries with all
+# links, that a search must find.
 AUDITS = 256
+PLANTED = 256
 RECALL = 0.995
 FEW = 4
-FEW_AUDITS = 64
 SALTS = 16
 
 
@@ -148,29 +148,47 @@ class Graph:
         return nodes[: int(np.searchsorted(-closeness, -least, side="right"))]
 
 
-def audited(graph: Graph, queries: np.ndarray, least: float, audits: int, own: bool) -> list[dict[int, np.ndarray]]:
-    """Links by brute force of audited queries that have any, as {query: nodes}: first
-    those with at most ``FEW``, then the others.
+def stranded(graph: Graph) -> np.ndarray:
+    """Nodes that no walk on layer 0 from the entry reaches."""
+    reached = np.zeros(len(graph.vectors), dtype=bool)
+    frontier = np.array([graph.entry])
+    while len(frontier):
+        reached[frontier] = True
+        near = graph.layers[0][frontier].ravel()
+        near = np.unique(near[near >= 0])
+        frontier = near[~reached[near]]
+    return np.flatnonzero(~reached)
 
-    ``audits`` queries are drawn at a time, until ``FEW_AUDITS`` have few links or all
-    are drawn. Cosines that rounding could put below ``least`` are left out.
+
+def audited(graph: Graph, queries: np.ndarray, least: float, audits: int, own: bool) -> list[tuple[np.ndarray, list]]:
+    """Queries with the nodes a search must find for them, in groups that are judged apart:
+    queries drawn that have at most ``FEW`` links, drawn ones with more, and planted ones.
+
+    Drawn queries are answered by brute force; there are ``audits`` of them whatever they
+    find, so that the price does not depend on how rare links are. Rare ones are stood for by
+    stored vectors turned to a cosine from ``least`` up: each must find the vector it is of.
+    Cosines that rounding could put below ``least`` are left out.
     """
-    order = np.random.default_rng(0).permutation(len(queries))
-    few, many = {}, {}
-    for start in range(0, len(order), audits):
-        drawn = order[start : start + audits]
-        truth = queries[drawn] @ graph.vectors.T >= least + 1e-9
-        if own:
-            truth[np.arange(len(drawn)), drawn] = False
-        for k, row in zip(drawn, truth):
-            nodes = np.flatnonzero(row)
-            if 0 < len(nodes) <= FEW:
-                few[k] = nodes
-            elif len(nodes) and (start == 0 or len(many) < FEW_AUDITS):
-                many[k] = nodes
-        if len(few) >= FEW_AUDITS:
-            break
-    return [few, many]
+    draw = np.random.default_rng(0)
+    drawn = draw.permutation(len(queries))[:audits]
+    truth = queries[drawn] @ graph.vectors.T >= least + 1e-9
+    if own:
+        truth[np.arange(len(drawn)), drawn] = False
+    counts = truth.sum(axis=1)
+    groups = [
+        (queries[drawn[at]], [np.flatnonzero(truth[k]) for k in np.flatnonzero(at)])
+        for at in ((counts > 0) & (counts <= FEW), counts > FEW)
+    ]
+    if graph.vectors.shape[1] > 1:  # numbers alone cannot be turned
+        nodes = draw.permutation(len(graph.vectors))[:PLANTED]
+        vectors = graph.vectors[nodes]
+        aside = draw.normal(size=vectors.shape)
+        aside -= (aside * vectors).sum(axis=1, keepdims=True) * vectors
+        aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-300)
+        cosine = least + 1e-6 + (1 - least) * 0.3 * draw.random((len(nodes), 1))
+        turned = cosine * vectors + np.sqrt(1 - cosine**2) * aside
+        groups.append((turned, [np.array([node]) for node in nodes]))
+    return groups
 
 
 def search_all(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM, audits: int = AUDITS,
@@ -179,36 +197,40 @@ def search_all(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM
     are the graph's vectors, whose links with themselves are not audited.
 
     The beam is doubled until searches find all links of ``recall`` of the audited
-    queries, and ``recall`` of their links, those with few links and the others apart.
-    If all were drawn and none has a link, there is none to miss and the beam stays. As
-    wide as the graph it gives way to brute force. Cosines are verified in double precision.
+    queries, and ``recall`` of their links, every group apart. As wide as the graph it
+    gives way to brute force. Nodes that no walk reaches are compared with every query.
+    Cosines are verified in double precision.
     """
     size = len(graph.vectors)
-    groups = audited(graph, queries, least, audits, own) if beam < size else []
     loose = least - 1e-9
 
-    def verified(k: int, nodes: np.ndarray) -> np.ndarray:
-        return nodes[graph.vectors[nodes] @ queries[k] >= least]
-
-    def found(k: int) -> np.ndarray:
-        return verified(k, graph.within(queries[k], loose, beam))
+    def verified(query: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        return nodes[graph.vectors[nodes] @ query >= least]
 
-    def passes(truth: dict[int, np.ndarray]) -> bool:
-        total = np.array([len(nodes) for nodes in truth.values()])
-        hits = np.array([np.isin(nodes, found(k)).sum() for k, nodes in truth.items()])
+    def passes(group: tuple[np.ndarray, list]) -> bool:
+        total = np.array([len(nodes) for nodes in group[1]])
+        hits = np.array([np.isin(nodes, graph.within(q, loose, beam)).sum() for q, nodes in zip(*group)])
         return (hits == total).sum() >= recall * len(total) and hits.sum() >= recall * total.sum()
 
-    while beam < size and not all(map(passes, groups)):
-        beam *= 2
     links = np.zeros((len(queries), size), dtype=bool)
+    apart = stranded(graph)
     if beam < size:
-        for k in range(len(queries)):
-            links[k, found(k)] = True
-        return links
-    for start in range(0, len(queries), AUDITS):
-        near = queries[start : start + AUDITS] @ graph.vectors.T >= loose
+        reached = np.setdiff1d(np.arange(size), apart)
+        groups = [
+            (own_queries, [np.intersect1d(nodes, reached) for nodes in truth])
+            for own_queries, truth in audited(graph, queries, least, audits, own)
+        ]
+        while beam < size and not all(map(passes, groups)):
+            beam *= 2
+    if beam < size:
+        for k, query in enumerate(queries):
+            links[k, verified(query, graph.within(query, loose, beam))] = True
+    else:
+        apart = np.arange(size)
+    for start in range(0, len(queries) if len(apart) else 0, AUDITS):
+        near = queries[start : start + AUDITS] @ graph.vectors[apart].T >= loose
         for k, row in enumerate(near, start):
-            links[k, verified(k, np.flatnonzero(row))] = True
+            links[k, verified(queries[k], apart[row])] = True
     return links
 
 
@@ -321,7 +343,8 @@ def near_vectors(vectors: DataFrame, least: float = COSINE, shard_vectors: int =
         "large-labels",
     )
     groups = sizes.agg(F.sum(F.ceil(F.col("n") / shard_vectors))).first()[0] or 1
-    placed = cells.join(F.broadcast(large), ["label", "length"], "left").withColumn(
+    few = large if bytes_of(large) > BROADCAST_BYTES else F.broadcast(large)
+    placed = cells.join(few, ["label", "length"], "left").withColumn(
         "shards", F.coalesce("shards", F.lit(1))
     )
     placed = placed.withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))

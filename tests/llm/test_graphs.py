@@ -85,6 +85,27 @@ def test_audits_see_the_only_link(linked):
     assert np.argwhere(graphs.search_all(graph, queries, 0.93)).tolist() == [[linked, node]]
 
 
+def test_audits_cost_the_same_however_rare_links_are():
+    """Without a single link as many queries are drawn and planted as with many."""
+    draw = np.random.default_rng(13)
+    for vectors in (graphs.unit(draw.normal(0, 1, (2000, 32))), graphs.unit(clustered(draw, 2000))):
+        graph = graphs.Graph.build(vectors)
+        few, many, planted = graphs.audited(graph, vectors, 0.93, 100, own=True)
+        assert len(few[0]) + len(many[0]) <= 100 and len(planted[0]) == graphs.PLANTED
+        cosines = [vectors[node] @ query for query, (node,) in zip(*planted)]
+        assert min(cosines) >= 0.93 and max(cosines) < 0.96
+
+
+def test_planted_links_widen_the_beam():
+    """Nodes that only a wide beam finds make it wider, though no drawn query has a link."""
+    draw = np.random.default_rng(14)
+    vectors = graphs.unit(draw.normal(0, 1, (1500, 24)))
+    graph = graphs.Graph.build(vectors, neighbours=2, beam=3)
+    queries = graphs.unit(0.94 * vectors[:300] + 0.34 * graphs.unit(draw.normal(0, 1, (300, 24))))
+    truth = queries @ vectors.T >= 0.9
+    assert graphs.search_all(graph, queries, 0.9).sum() >= 0.99 * truth.sum() > 200
+
+
 def test_packed_graphs_are_the_same():
     vectors = graphs.unit(clustered(np.random.default_rng(6), 300))
     graph = graphs.Graph.build(vectors)
