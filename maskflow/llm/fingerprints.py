@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskflow.llm.common import null_key, stored
+from maskflow.llm.common import BROADCAST_BYTES, bytes_of, hashable, null_key, stored
 from maskflow.llm.components import components
 
 RADIUS = 3
@@ -187,8 +187,9 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS, tree_size: int = T
             found = _links_of_cell(members, None, radius)
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    # The large keys are at most cells / tree_size rows: few enough to send along.
-    flagged = cells.join(F.broadcast(large), ["block", "key"], "left")
+    # The large keys are at most cells / tree_size rows; beyond a size they are shuffled.
+    sent = F.broadcast(large) if bytes_of(large) <= BROADCAST_BYTES else large
+    flagged = cells.join(sent, ["block", "key"], "left")
     small = (
         flagged.where("pieces is null")
         .repartition("block", "key")
@@ -254,30 +255,34 @@ def component_ids(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def with_components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``prints`` (doc_id, fp, ...) with ``component_id``.
+    """``prints`` (doc_id, fp, ...) with ``component_id``, which takes the place of one it has.
 
     Null and empty texts have fingerprint 0 and are linked like any other;
     repeated rows stay; an empty table stays empty. Each fingerprint's answer is
     copied to 16 salts, so the copies of one text are dealt out.
     """
     answers = component_ids(prints, radius).select(
-        "fp", "component_id", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt")
+        "fp", "component_id", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("_fp_salt")
     )
-    salted = prints.withColumn(
-        "salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(16)).cast("int")
+    salted = prints.drop("component_id").withColumn(
+        "_fp_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(16)).cast("int")
     )
-    return salted.join(answers, ["fp", "salt"]).drop("salt")
+    return salted.join(answers, ["fp", "_fp_salt"]).drop("_fp_salt")
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """The documents that stay when one of every group of near-duplicates stays.
 
     That is the one with the smallest doc_id (null last), then the smallest hash
-    of the whole row; of rows equal in all columns one stays. Texts are moved
-    once, to meet the narrow rows of those that stay.
+    of the whole row; of rows equal in all columns one stays. Other columns may hold
+    anything, maps included. Texts are moved once, to meet the narrow rows of those
+    that stay.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(F.struct(*columns).alias("doc"), F.xxhash64(*columns).alias("row"))
+    hashed = hashable(docs)
+    rows = docs.select(
+        F.struct(*columns).alias("doc"), F.xxhash64(*hashed).alias("row"), F.xxhash64(F.lit(1), *hashed).alias("row2")
+    )
     prints = stored(
         rows.select(
             F.col("doc.doc_id").alias("doc_id"), "row",
@@ -300,7 +305,7 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -
         .select(null_key(F.col("best.doc_id")).alias("key"), F.col("best.row").alias("row"))
     )
     if prints.count() != prints.select("doc_id", "row").distinct().count():
-        rows = rows.distinct()  # equal rows meet in partial aggregates first
+        rows = rows.dropDuplicates(["row", "row2"])  # equal rows meet in partial aggregates first
     kept = rows.withColumn("key", null_key(F.col("doc.doc_id"))).join(
         best.distinct(), ["key", "row"], "left_semi"
     )

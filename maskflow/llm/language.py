@@ -17,6 +17,8 @@ UNKNOWN = "und"
 BUCKETS = 4096
 # Documents of a language that the model is fitted on at most.
 SAMPLE = 400
+# Languages learnt from at most.
+LANGUAGES = 1000
 CLUSTERS = 4
 PIECE = 1 << 20
 
@@ -129,9 +131,10 @@ class Centroids:
         return pd.DataFrame({"lang": lang, "score": score, "rejected": rejected})
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Centroids:
+def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, languages: int = LANGUAGES) -> Centroids:
     """From rows (text, lang): up to ``sample`` texts of each language, drawn by a hash
-    of the text; equal texts count once. Null languages and texts are left out.
+    of the text; equal texts count once. Null languages and texts are left out, and of
+    more than ``languages`` languages those with the fewest texts.
 
     Samples are clustered language by language on executors, first by their large
     clusters alone, then once more in sight of those of the other languages; IDF sums
@@ -141,6 +144,8 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -
         "text", "lang", F.xxhash64("text").alias("draw")
     )
     counts = rows.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n"))
+    # Bounds what the driver collects and sends along: some 100 KB a language.
+    counts = stored(counts.orderBy(F.desc("n"), "lang").limit(languages), "languages")
     # Twice the sample on average, so that the lowest draws below hold all of it.
     share = F.lit(2.0 * sample) / F.col("n") * F.lit(2.0**63)
     drawn = (
