@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import math
+import pickle
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskflow.llm.common import stored
+from maskflow.llm.warc import open_store
+from maskflow.sources.shared import new_path
+
 # Words of an indexed piece of an item; passages are twice as long and start at
 # every multiple of it, so every piece that occurs lies in one passage whole.
 PIECE = 64
@@ -22,8 +28,11 @@ SCORE = 0.6
 OVERLAP = 0.8
 GRAM = 5
 K1, B = 1.2, 0.75
-# Bytes of items in one index, which is sent to every task, and of its table of bounds;
-# blocks hold more pieces where the table would be larger.
+# Words of a text that are searched together; windows share a piece, so that every passage
+# lies in one.
+WINDOW = 256 * PIECE
+# Bytes of items in one index, of which a task holds one at a time, and of its table of
+# bounds; blocks hold more pieces where the table would be larger.
 INDEX_BYTES = 256 << 10
 BOUNDS_BYTES = 64 << 20
 
@@ -38,6 +47,16 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def windows_of(text: str, size: int = WINDOW) -> Iterator[list[str]]:
+    """The words of a text in windows of ``size`` that share a piece with the next."""
+    words = (match.group() for match in WORD.finditer(text.lower()))
+    window = list(islice(words, size))
+    while window:
+        yield window
+        more = list(islice(words, size - PIECE))
+        window = window[-PIECE:] + more if more else []
+
+
 def grams_of(words: list[str], size: int = GRAM) -> set[tuple[str, ...]]:
     """Shingles of ``size`` words; fewer words are one shingle, no words none."""
     if len(words) < size:
@@ -177,17 +196,21 @@ class Index:
 
     def matches(self, text: str | None, least: float = SCORE, overlap: float = OVERLAP) -> list[dict]:
         """Items found in a whole text whose overlap is verified: that of question and
-        answer each or, for prose, that of the item as a whole."""
-        words = words_of(text)
-        best = self.candidates(words, least)
+        answer each or, for prose, that of the item as a whole. The text is gone through
+        in windows, so memory beside it does not grow with its length."""
+        best: dict[int, float] = {}
+        for words in windows_of(text or ""):
+            for owner, score in self.candidates(words, least).items():
+                best[owner] = max(best.get(owner, 0.0), score)
         if not best:
             return []
         wanted = {n: self.items[n].wanted() for n in best}
         sizes = {len(g) for parts in wanted.values() for grams in parts for g in grams}
         needed = {g for parts in wanted.values() for grams in parts for g in grams}
         present = set()
-        for size in sizes:
-            present.update(needed.intersection(zip(*(words[k:] for k in range(size)))))
+        for words in windows_of(text):
+            for size in sizes:
+                present.update(needed.intersection(zip(*(words[k:] for k in range(size)))))
         found = []
         for number in sorted(best):
             shares = [len(g & present) / len(g) if g else 1.0 for g in wanted[number]]
@@ -198,44 +221,78 @@ class Index:
                 )
         return found
 
+    def packed(self) -> bytes:
+        items = [(item.item_id, item.question, item.answer, item.prose) for item in self.items]
+        return pickle.dumps((items, self.owners, self.vocabulary, self.bounds, self.postings), protocol=5)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Index:
+        index = cls.__new__(cls)
+        items, index.owners, index.vocabulary, index.bounds, index.postings = pickle.loads(data)
+        index.items = [Item(*item) for item in items]
+        return index
+
 
-def build_indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> list[Index]:
-    """One index for every ``index_bytes`` of items (item_id, text), so that none grows
-    with the benchmark. Items without words are left out; equal items all count."""
+def build_indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> list[str]:
+    """Files of indexes, one for every ``index_bytes`` of items (item_id, text), built by a
+    task each and written to the shared folder; none grows with the benchmark, and the
+    driver holds their names alone. Items without words are left out; equal items all count.
+    """
+    spark = benchmark.sparkSession
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text")
     ).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // index_bytes)
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts)))
-    found = []
-    for number in range(parts):
-        rows = items.where(part == number).orderBy("item_id", "text").collect()
-        pieces = [Item.of(row["item_id"], row["text"]) for row in rows]
-        pieces = [item for item in pieces if item.question]
-        if pieces:
-            found.append(Index(pieces))
-    return found
-
-
-def matches_of(indexes: list[Index], text, least: float = SCORE, overlap: float = OVERLAP) -> F.Column:
-    """Column of the verified matches of a text column, over all indexes."""
-
-    def one(index: Index):
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield pd.Series([index.matches(t if isinstance(t, str) else None, least, overlap) for t in texts])
-
-        return F.pandas_udf(run, MATCHES)(text)
-
-    return F.concat(F.array().cast(MATCHES), *map(one, indexes))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-size // index_bytes))))
+    folder = new_path(spark, "benchmark-indexes")
+
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted(zip(group["item_id"], group["text"]), key=lambda row: (row[0] is not None, row[0] or "", row[1]))
+        parsed = [Item.of(item_id, text) for item_id, text in rows]
+        parsed = [item for item in parsed if item.question]
+        if not parsed:
+            return pd.DataFrame({"part": [], "path": []}).astype({"part": "int64", "path": "str"})
+        store, root = open_store(folder)
+        store.create_dir(root, recursive=True)
+        name = f"index-{uuid.uuid4().hex}"
+        with store.open_output_stream(f"{root}/{name}", compression=None) as out:
+            out.write(Index(parsed).packed())
+        return pd.DataFrame({"part": [int(group["part"].iloc[0])], "path": [f"{folder}/{name}"]})
+
+    built = items.withColumn("part", part).groupBy("part").applyInPandas(build, "part bigint, path string")
+    return [row["path"] for row in stored(built, "indexes").orderBy("part").collect()]
+
+
+def matches_of(paths: list[str], text, least: float = SCORE, overlap: float = OVERLAP) -> F.Column:
+    """Column of the verified matches of a text column, over all indexes: every batch of texts
+    passes one index after the other, of which one is in memory."""
+    if not paths:
+        return F.array().cast(MATCHES)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held, index = None, None
+        for texts in batches:
+            texts = [t if isinstance(t, str) else None for t in texts]
+            found: list[list[dict]] = [[] for _ in texts]
+            for path in paths:
+                if path != held:
+                    index = None  # before the next one is read
+                    store, name = open_store(path)
+                    with store.open_input_stream(name) as file:
+                        index = Index.unpacked(file.read())
+                    held = path
+                for own, each in zip(found, texts):
+                    own += index.matches(each, least, overlap)
+            yield pd.Series(found)
+
+    return F.pandas_udf(run, MATCHES)(text)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) for every item that a
     document holds.
 
-    One pass over the texts for each index, no shuffle. Null and empty texts and
+    One pass over the texts, no shuffle. Null and empty texts and
     items match nothing; repeated rows are reported repeatedly; a text counts
     whole, however long.
     """

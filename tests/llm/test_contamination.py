@@ -48,15 +48,17 @@ def test_bounds_hold_and_own_scores_are_one():
 
 
 def plain(text, item):
-    """Whether a whole text holds question and answer of an item."""
+    """Whether a whole text holds question and answer of an item, or an item of prose as one."""
     words = c.words_of(text)
-    for part in (item.question, item.answer):
+
+    def holds(part):
         grams = c.grams_of(part)
         size = len(next(iter(grams))) if grams else 0
         present = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
-        if grams and len(grams & present) / len(grams) < c.OVERLAP:
-            return False
-    return bool(item.question)
+        return not grams or len(grams & present) / len(grams) >= c.OVERLAP
+
+    apart = holds(item.question) and holds(item.answer)
+    return bool(item.question) and (apart or (item.prose and holds(item.question + item.answer)))
 
 
 @pytest.mark.parametrize("index_bytes", [1 << 20, 600])
@@ -125,3 +127,57 @@ def test_query_against_plain_containment(spark, folder):
     want = sorted((d["doc_id"], k) for d in docs for k, item in parsed if plain(d["text"], item))
     got = QUERIES["op5_decontamination"](spark, folder).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == want
+
+
+def test_windows_hold_every_passage():
+    draw = random.Random(10)
+    for n in (0, 1, 63, 64, 65, 300, 1000):
+        words = sentence(draw, n).split()
+        for size in (128, 256):
+            windows = list(c.windows_of(" ".join(words), size))
+            joined = windows[0] if windows else []
+            for window in windows[1:]:
+                assert len(window) > c.PIECE and window[: c.PIECE] == joined[-c.PIECE :]
+                joined = joined + window[c.PIECE :]
+            assert joined == words and all(len(window) <= size for window in windows)
+
+
+def test_windows_change_nothing(monkeypatch):
+    draw = random.Random(11)
+    items = [c.Item.of(str(k), sentence(draw, draw.randrange(5, 200))) for k in range(30)]
+    index = c.Index(items)
+    for k in range(20):
+        parts = [sentence(draw, draw.randrange(0, 400)), " ".join(items[k].question), sentence(draw, 300)]
+        text = " ".join(parts)
+        monkeypatch.setattr(c.windows_of, "__defaults__", (1 << 30,))
+        whole = index.matches(text)
+        monkeypatch.setattr(c.windows_of, "__defaults__", (2 * c.PIECE,))
+        assert index.matches(text) == whole and str(k) in {m["item_id"] for m in whole}
+
+
+def test_long_texts_take_bounded_memory():
+    """A million words against a full index: beside the text at most 64 MB."""
+    import tracemalloc
+
+    draw = random.Random(12)
+    words = [f"w{k}" for k in range(3000)]
+    items = [c.Item.of(str(k), " ".join(draw.choices(words, k=45))) for k in range(1000)]
+    index = c.Index(items)
+    text = " ".join(draw.choices(words, k=500_000) + items[7].question + draw.choices(words, k=500_000))
+    tracemalloc.start()
+    found = index.matches(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [m["item_id"] for m in found] == ["7"] and peak < 64 << 20
+
+
+def test_indexes_are_files(spark):
+    """The driver holds names; an index read back searches as it did."""
+    draw = random.Random(13)
+    rows = [(k, sentence(draw, 40)) for k in range(200)] + [(None, sentence(draw, 40)), (5, None), (6, "?!")]
+    paths = c.build_indexes(spark.createDataFrame(rows, "item_id bigint, text string"), 4000)
+    assert len(paths) >= 8 and all(isinstance(path, str) for path in paths)
+    index = c.Index([c.Item.of(str(k), text) for k, text in rows if text])
+    again = c.Index.unpacked(index.packed())
+    text = rows[3][1] + " " + sentence(draw, 100)
+    assert again.matches(text) == index.matches(text) != []
