@@ -38,6 +38,24 @@ def leaked(spark, folder):
     return leaked_values(raw, _masked_orders(spark, folder), "o_custkey", "o_custkey")
 
 
+@query(
+    "planted_leaks",
+    "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS value FROM orders WHERE o_orderpriority = '1-URGENT'",
+)
+def planted(spark, folder):
+    """Ids that a faulty masking has let through, those of urgent orders, among all others."""
+    raw = load(spark, folder, "orders")
+    hidden = masked(
+        raw,
+        {"o_custkey": ["Duplicate", salted("Hash", "person")], "o_orderpriority": "Identity"},
+        hash_bits=256,
+        keep_derived=True,
+    )
+    faulty = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey_duplicate").cast("string"))
+    faulty = hidden.withColumn("o_custkey", F.coalesce(faulty, "o_custkey"))
+    return leaked_values(raw, faulty, "o_custkey", "o_custkey")
+
+
 @query(
     "leak_report",
     """

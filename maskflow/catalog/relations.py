@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from maskflow.catalog.registry import load, query
 from maskflow.catalog.strategies import RAW_NAME
 from maskflow.operators import relational
+from maskflow.operators.ranges import even_cuts, range_sizes
 from maskflow.sources.files import read_json
 from maskflow.sources.jdbc import column_bounds
 from maskflow.sources.shared import new_path
@@ -116,3 +117,33 @@ def group_count(spark, folder):
 )
 def bounds(spark, folder):
     return column_bounds(load(spark, folder, "lineitem"), "l_orderkey")
+
+
+# Keys as tables have them, crowded at one end, texts that begin alike, days, and stamps.
+RANGE_KEYS = {
+    "orderkey": "l_orderkey",
+    "crowded": "l_orderkey * l_orderkey * l_orderkey * l_linenumber",
+    "text": "concat('order-', lpad(cast(l_orderkey AS string), 12, '0'), '-', l_linenumber)",
+    "day": "cast(l_shipdate AS date)",
+    "price": "l_extendedprice",
+}
+RANGES = 16
+
+
+@query(
+    "even_ranges",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS key, count(*) AS n_rows, true AS even FROM lineitem" for name in RANGE_KEYS
+    ),
+)
+def even_ranges(spark, folder):
+    """Ranges of keys of several kinds: every row is in one, and none holds more than its
+    share and a hundredth of all rows."""
+    found = None
+    for name, expression in RANGE_KEYS.items():
+        keys = load(spark, folder, "lineitem").select(F.expr(expression).alias("key"))
+        sizes = range_sizes(keys, "key", even_cuts(keys, "key", RANGES))
+        even = F.max("n_rows") <= F.sum("n_rows") * (1 / RANGES + 0.01)
+        row = sizes.agg(F.lit(name).alias("key"), F.sum("n_rows").alias("n_rows"), even.alias("even"))
+        found = row if found is None else found.unionAll(row)
+    return found

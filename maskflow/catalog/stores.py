@@ -53,6 +53,30 @@ def csv_inferred(spark, folder):
     return read_csv(spark, f"{out}/customer", text_columns=["ZIP"])
 
 
+# Tables of plain columns, each written as CSV and typed anew.
+TYPED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels")
+
+
+@query(
+    "csv_types",
+    f"""
+    SELECT table_name, column_name, CASE column_type WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+        WHEN 'DATE' THEN 'date' ELSE if(column_type LIKE '%INT%', 'int', 'timestamp') END AS type
+    FROM ({" UNION ALL ".join(f"SELECT '{name}' AS table_name, column_name, column_type FROM (DESCRIBE {name})" for name in TYPED)})
+    """,
+)
+def csv_types(spark, folder):
+    """Types found in the cells of every table, the integers being small ones."""
+    out = new_path(spark, "typed")
+    write = csv_sink(out)
+    found = []
+    for name in TYPED:
+        write(name, load(spark, folder, name))
+        schema = read_csv(spark, f"{out}/{name}").schema
+        found += [(name, field.name, field.dataType.simpleString()) for field in schema]
+    return spark.createDataFrame(found, "table_name string, column_name string, type string")
+
+
 @query(
     "csv_text",
     """

@@ -7,16 +7,57 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskflow.sources.shared import shared_folder
+
+# Bits of the filter per distinct raw value, and the fewest and most bits there are.
+BITS_A_VALUE = 16
+LEAST_BITS, MOST_BITS = 1 << 15, 1 << 28
+# A bitmap's bits, fixed by the functions that build it.
+BITMAP_BITS = 32768
+# Rows of values up to which those that pass the filter are broadcast, if short.
+SURVIVOR_BYTES = 32 << 20
+
+
+def value_filter(values: DataFrame, bits: int) -> DataFrame:
+    """(bucket, bitmap): a set bit for the hash of every text of the column ``value``, in
+    bitmaps of 4 KB; at most ``bits`` / 8 bytes in all."""
+    place = F.pmod(F.xxhash64("value"), F.lit(bits)) + 1
+    return (
+        values.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+        .groupBy("bucket")
+        .agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    )
+
+
+def passing(values: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame:
+    """Rows of the column ``value`` whose bit is set. The bitmaps are broadcast, bounded as
+    they are; the values stay where they are."""
+    place = F.pmod(F.xxhash64("value"), F.lit(bits)) + 1
+    rows = values.select(
+        "value", F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit")
+    )
+    byte = F.expr("conv(hex(substring(bitmap, cast(bit div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    is_set = byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0
+    return rows.join(F.broadcast(bitmaps), "bucket").where(is_set).select("value")
+
 
 def leaked_values(raw: DataFrame, masked: DataFrame, raw_name: str, masked_name: str) -> DataFrame:
-    """Distinct values found in both columns; empty if the masking is complete.
+    """Distinct values found in both columns, as text; empty if the masking is complete.
 
-    Both sides are made distinct before they meet, so hot values shuffle once
-    per task.
+    The raw values set bits by their hash; masked values without their bit, all but a few
+    of a complete masking, go where they are read. What passes is made distinct, then looked
+    for among the raw values: neither table's values are shuffled. With more raw values than
+    the largest filter tells apart more pass, and the result is the same.
     """
-    before = raw.select(F.col(raw_name).cast("string").alias("value")).distinct()
-    after = masked.select(F.col(masked_name).cast("string").alias("value")).distinct()
-    return before.intersect(after)
+    shared_folder(raw.sparkSession)
+    before = raw.select(F.col(raw_name).cast("string").alias("value")).where("value is not null")
+    after = masked.select(F.col(masked_name).cast("string").alias("value")).where("value is not null")
+    wanted = BITS_A_VALUE * (before.agg(F.approx_count_distinct("value")).first()[0] or 1)
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (wanted - 1).bit_length()))
+    suspects = passing(after, value_filter(before, bits), bits).distinct().checkpoint()
+    size = suspects.agg(F.sum(F.octet_length("value") + 32)).first()[0] or 0
+    few = F.broadcast(suspects) if size <= SURVIVOR_BYTES else suspects
+    return before.join(few, "value", "left_semi").distinct()
 
 
 def leak_report(raw: DataFrame, masked: DataFrame, names: Sequence[str]) -> DataFrame:

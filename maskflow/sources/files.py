@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from maskflow.sources.typing import infer_types as infer_schema
+
 
 def read_csv(
     spark: SparkSession,
@@ -20,8 +22,9 @@ def read_csv(
 
     Files read together must agree in their headers; they are compared.
 
-    ``infer_types`` reads the data once more to find the types, except for
-    ``text_columns``, which stay text so that zips and ids keep their zeros.
+    ``infer_types`` finds the types by one native aggregate over the cells, except for
+    ``text_columns``, which stay text so that zips and ids keep their zeros and are
+    not looked at.
     Without it every column is text and one pass is enough; strategies read
     dates and numbers from text.
     """
@@ -32,15 +35,8 @@ def read_csv(
     reader = reader.option("enforceSchema", False)
     if not infer_types:
         return reader.csv(path)
-    df = reader.option("inferSchema", True).csv(path)
-    keep = {name.lower() for name in text_columns}
-    fixed = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if f.name.lower() in keep else f.dataType)
-            for f in df.schema.fields
-        ]
-    )
-    return df if fixed == df.schema else reader.schema(fixed).csv(path)
+    # The header gives the names; the scan for the types reads the cells as text.
+    return reader.schema(infer_schema(reader.csv(path), text_columns)).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from maskflow.operators.ranges import even_cuts
+
 
 @dataclass(frozen=True)
 class JdbcConnection:
@@ -170,6 +172,23 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**connection.read_options(name, bounds)).load()
 
 
+def table_cuts(
+    spark: SparkSession,
+    connection: JdbcConnection,
+    name: str,
+    column: str,
+    partitions: int,
+    eps: float = 0.01,
+) -> list:
+    """Cuts for ``read_jdbc`` that part a table into ranges of about as many rows.
+
+    The one column is read in ranges of equal width and sketched where it is read, so the
+    database sends a column more, and no task holds more than a sketch.
+    """
+    read = read_jdbc(spark, connection, name, column, partitions)
+    return even_cuts(read.select(column), column, partitions, eps)
+
+
 def write_jdbc(
     df: DataFrame,
     connection: JdbcConnection,
