@@ -9,6 +9,8 @@ from maskflow.operators.audit import join_size, joins_preserved, leak_report, le
 from maskflow.operators.masking import deidentify
 from maskflow.plans.options import MaskOptions
 from maskflow.plans.salts import Salts
+from maskflow.sources.shared import new_path
+from maskflow.sources.sinks import table_sink
 
 
 def _masked_orders(spark, folder, **options):
@@ -89,6 +91,36 @@ def preserved(spark, folder):
     return joins_preserved((people, orders), (hidden, hidden_orders), "c_custkey", "o_custkey")
 
 
+@query(
+    "joins_preserved_bucketed",
+    """
+    SELECT count(*) AS raw_rows, count(*) AS masked_rows
+    FROM customer JOIN orders ON c_custkey = o_custkey
+    """,
+)
+def preserved_in_buckets(spark, folder):
+    """The same for masked tables bucketed by their pseudonyms, which join without a shuffle."""
+    people, orders = load(spark, folder, "customer"), load(spark, folder, "orders")
+    hidden = bucketed(spark, people, orders)
+    return joins_preserved((people, orders), hidden, "c_custkey", "o_custkey")
+
+
+def bucketed(spark, people, orders, number=8):
+    """Customers and orders masked into tables of ``number`` buckets, which the catalog then
+    forgets; their files stay."""
+    out = new_path(spark, "buckets")
+    mark = out.rsplit("-", 1)[-1]
+    names = f"customer_{mark}", f"orders_{mark}"
+    keys = "c_custkey", "o_custkey"
+    sink = table_sink("default", folder=out, buckets={name: (number, [key]) for name, key in zip(names, keys)})
+    for name, key, df in zip(names, keys, (people, orders)):
+        sink(name, masked(df, {key: salted("Hash", "person")}, hash_bits=256))
+    tables = tuple(spark.table(f"default.{name}") for name in names)
+    for name in names:
+        spark.sql(f"DROP TABLE default.{name}")
+    return tables
+
+
 @query("salt_by_column", "SELECT 0::BIGINT AS masked_rows")
 def salt_by_column(spark, folder):
     """Salted by column name instead, they no longer join."""

@@ -16,7 +16,7 @@ from maskflow.catalog.registry import (
     sql_hash,
     sql_zip3,
 )
-from maskflow.catalog.strategies import RAW_ZIP, sql_shift
+from maskflow.catalog.strategies import RAW_NAME, RAW_ZIP, sql_shift, with_raw_name
 from maskflow.functions.vocabulary import RESTRICTED_ZIP3
 from maskflow.plans.jobs import deidentify_dataset
 from maskflow.plans.options import MaskOptions
@@ -206,6 +206,42 @@ def masked_dataset(spark, folder):
     )
 
 
+@query(
+    "dataset_counts",
+    f"""
+    SELECT 'customer' AS table_name, count(*) AS n_rows, 'c_name' AS column_name,
+           count_if({RAW_NAME} IS NULL)::BIGINT AS n_nulls, 'c_acctbal,c_mktsegment,c_nationkey' AS dropped
+    FROM customer
+    UNION ALL
+    SELECT 'orders', count(*), 'o_orderdate', count_if(o_orderkey % 9 = 0)::BIGINT, '' FROM orders
+    """,
+)
+def dataset_counts(spark, folder):
+    """Rows, nulls and dropped columns of two tables, counted while they were written."""
+    people = with_raw_name(load(spark, folder, "customer"))
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    orders = orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderdate")))
+    outcome = deidentify_dataset(
+        {"customer": people, "orders": orders},
+        [
+            policy({"c_custkey": salted("Hash", "person"), "c_name": salted("Hash", "person")}, "customer"),
+            policy({"o_orderkey": salted("Hash", "person"), "o_orderdate": "Year"}, "orders"),
+        ],
+        parquet_sink(new_path(spark, "counted")),
+        SALTS,
+        MaskOptions(as_of_year=AS_OF, hash_bits=256),
+        count=True,
+    )
+    names = {"customer": "c_name", "orders": "o_orderdate"}
+    rows = [
+        (table, counts.rows, names[table], counts.nulls[names[table]], ",".join(sorted(counts.dropped)))
+        for table, counts in outcome.counts.items()
+    ]
+    return spark.createDataFrame(
+        rows, "table_name string, n_rows bigint, column_name string, n_nulls bigint, dropped string"
+    )
+
+
 @query(
     "masked_stream",
     f"""

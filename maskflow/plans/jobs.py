@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from maskflow.functions.text import quoted
 from maskflow.operators.masking import DRAWN, SALTED, deidentify
 from maskflow.plans.options import MaskOptions
 from maskflow.plans.policy import TablePolicy, best_name, match_policy
@@ -23,12 +26,51 @@ from maskflow.sources.sinks import Sink
 logger = logging.getLogger(__name__)
 
 
+# Seconds that the figures of a write may come after it.
+FIGURES_WITHIN = 60
+
+
+@dataclass(frozen=True)
+class TableCounts:
+    """What was written of a table: rows, nulls by column, and the columns left out."""
+
+    rows: int
+    nulls: dict[str, int]
+    dropped: list[str]
+
+
 @dataclass(frozen=True)
 class Outcome:
-    """Names of the tables a job wrote, and of those its sink left as they were."""
+    """Names of the tables a job wrote, and of those its sink left as they were; figures of
+    the written ones, by name, where the job was asked to count."""
 
     written: list[str]
     skipped: list[str]
+    counts: dict[str, TableCounts] = field(default_factory=dict, compare=False)
+
+
+class Counting:
+    """Counts rows and nulls of a table while it is written, without a job of its own."""
+
+    def __init__(self, raw: DataFrame, masked: DataFrame):
+        kept = {name.lower() for name in masked.columns}
+        self.columns = masked.columns
+        self.dropped = [name for name in raw.columns if name.lower() not in kept]
+        self.observation = Observation()
+        nulls = [F.count_if(F.col(quoted(name)).isNull()).alias(f"nulls_{k}") for k, name in enumerate(self.columns)]
+        self.df = masked.observe(self.observation, F.count(F.lit(1)).alias("n_rows"), *nulls)
+
+    def result(self) -> TableCounts | None:
+        """The figures; None if the sink ran nothing that would have given them."""
+        found: list[dict] = []
+        # Waits for the write, which a sink may never run: in a thread that ends with the program.
+        waiting = threading.Thread(target=lambda: found.append(self.observation.get), daemon=True)
+        waiting.start()
+        waiting.join(FIGURES_WITHIN)
+        if not found:
+            return None
+        nulls = {name: found[0][f"nulls_{k}"] for k, name in enumerate(self.columns)}
+        return TableCounts(found[0]["n_rows"], nulls, self.dropped)
 
 
 def deidentify_dataset(
@@ -38,13 +80,15 @@ def deidentify_dataset(
     salts: Salts | None = None,
     options: MaskOptions | None = None,
     at_once: int = 4,
+    count: bool = False,
 ) -> Outcome:
     """Mask every table under the policy matching its name and hand it to the sink.
 
     Each table is one write, named after its policy; up to ``at_once`` writes
     share the cluster, so small tables do not wait for a large one. All
     policies are matched, and salts that are to be made are made, before
-    anything is written.
+    anything is written. ``count`` gives rows and nulls of every table, counted as it
+    is written.
     """
     policies = list(policies)
     matched = {name: match_policy(name, policies) for name in tables}
@@ -56,10 +100,18 @@ def deidentify_dataset(
     if salts is not None and salts.creates:
         salts.resolve(_salt_keys(matched.values(), options or MaskOptions()))
 
+    counts: dict[str, TableCounts] = {}
+
     def run(name: str) -> bool:
         table = tables[name]
         df = table() if callable(table) else table
-        wrote = sink(matched[name].name, deidentify(df, matched[name], salts, options)) is not False
+        masked = deidentify(df, matched[name], salts, options)
+        counting = Counting(df, masked) if count else None
+        wrote = sink(matched[name].name, counting.df if counting else masked) is not False
+        if wrote and counting:
+            found = counting.result()
+            if found is not None:
+                counts[matched[name].name] = found
         logger.info("%s %s", "wrote" if wrote else "left", matched[name].name)
         return wrote
 
@@ -74,6 +126,7 @@ def deidentify_dataset(
     return Outcome(
         [name for name, new in zip(names, wrote) if new],
         [name for name, new in zip(names, wrote) if not new],
+        counts,
     )
 
 
@@ -108,6 +161,7 @@ def mask_csv_folder(
     infer_types: bool | None = None,
     multi_line: bool = False,
     at_once: int = 4,
+    count: bool = False,
 ) -> Outcome:
     """Every CSV file of a folder. Columns whose text must stay as it is, are text.
 
@@ -127,7 +181,7 @@ def mask_csv_folder(
 
     grouped = _paths_by_policy(spark, folder, policies)
     tables = {name: reader(name, paths) for name, paths in grouped.items()}
-    return deidentify_dataset(tables, policies, sink, salts, options, at_once)
+    return deidentify_dataset(tables, policies, sink, salts, options, at_once, count)
 
 
 def mask_fixed_width_folder(
@@ -140,6 +194,7 @@ def mask_fixed_width_folder(
     layouts: Mapping[str, list[Field]] = CLAIM_LAYOUTS,
     mode: str = "FAILFAST",
     at_once: int = 4,
+    count: bool = False,
 ) -> Outcome:
     """Every fixed-width file of a folder, its layout found by file name."""
     policies = list(policies)
@@ -149,7 +204,7 @@ def mask_fixed_width_folder(
         if len(found) != 1 or None in found:
             raise ValueError(f"no single layout matches the files of {name!r}")
         tables[name] = read_fixed_width(spark, paths, layouts[found.pop()], mode)
-    return deidentify_dataset(tables, policies, sink, salts, options, at_once)
+    return deidentify_dataset(tables, policies, sink, salts, options, at_once, count)
 
 
 def mask_database(
@@ -163,6 +218,7 @@ def mask_database(
     partitions: int | None = None,
     cuts: Mapping[str, list] | None = None,
     at_once: int = 4,
+    count: bool = False,
 ) -> Outcome:
     """Database tables, read in ranges where the policy names a partitioning column.
 
@@ -180,4 +236,4 @@ def mask_database(
 
     matched = [match_policy(name, policies) for name in names]
     readers = {policy.name: reader(policy) for policy in matched}
-    return deidentify_dataset(readers, policies, sink, salts, options, at_once)
+    return deidentify_dataset(readers, policies, sink, salts, options, at_once, count)
