@@ -247,14 +247,19 @@ def climb_starts(manifest: Manifest, order: list[str]) -> DataFrame:
 
 
 @contextmanager
-def unlimited_rows(spark: SparkSession):
-    """Recursive queries of any number of rows, for as long as one is run."""
-    before = spark.conf.get(ROW_LIMIT, None)
-    spark.conf.set(ROW_LIMIT, "-1")
+def recursion_settings(spark: SparkSession):
+    """Recursive queries of any number of rows, for as long as one is run. Their steps keep
+    the session's number of shuffle partitions: the union of all steps is read by as many
+    tasks as one step has, which merged partitions would make a few."""
+    settings = {ROW_LIMIT: "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.unset(ROW_LIMIT) if before is None else spark.conf.set(ROW_LIMIT, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 # A node's children are digests of 32 bytes end to end; the climb comes from the child
@@ -291,7 +296,7 @@ def climb(manifest: Manifest, order: list[str]) -> DataFrame:
     views = {name: f"{name}_{id(starts)}" for name in ("starts", "nodes")}
     starts.drop("members", "subroot").createOrReplaceTempView(views["starts"])
     nodes.createOrReplaceTempView(views["nodes"])
-    with unlimited_rows(spark):
+    with recursion_settings(spark):
         reached = stored(spark.sql(CLIMB.format(**views)), "climbs")
     for view in views.values():
         spark.catalog.dropTempView(view)
