@@ -21,7 +21,7 @@ BEAM = 32
 # stored vectors, whose link is known, and the share of links, and of queries with all
 # links, that a search must find.
 AUDITS = 256
-PLANTED = 256
+PLANTED = 64
 RECALL = 0.995
 FEW = 4
 SALTS = 16
