@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskflow.llm.common import stored
+from maskflow.llm.common import BROADCAST_BYTES, bytes_of, stored
 
 FEATURES = (
     "log words",
@@ -197,7 +197,8 @@ def score_documents(features: DataFrame, labels: DataFrame) -> DataFrame:
 
     Null and unknown labels teach nothing; repeated labels count repeatedly; a
     document with a null doc_id is scored but not learnt from; without any
-    label every score is 0.5; an empty table stays empty.
+    label every score is 0.5; a ``score`` the table has is replaced; an empty
+    table stays empty.
     """
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label"))
     labelled = features.where(~held_out("doc_id")).select("doc_id", "features").join(known, "doc_id")
@@ -208,13 +209,16 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFra
     """The documents whose score is at least ``least``, with all their columns.
 
     All documents, if there is no label to learn from (none at all, or of other or
-    held-out documents alone): what cannot be told apart is not filtered. Statistics are taken once for training, stored narrow, and once more in the
-    filter, so no text is shuffled.
+    held-out documents alone): what cannot be told apart is not filtered. Statistics are
+    taken of the labelled documents for training, stored narrow, and of all in the filter,
+    so no text is shuffled. Other columns may have any name.
     """
-    known = labels.select("doc_id", F.col("quality").cast("int").alias("label"))
-    features = stored(
-        docs.where(~held_out("doc_id")).select("doc_id", features_of("text").alias("features")), "features"
-    )
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("label in (0, 1)")
+    learnt = docs.where(~held_out("doc_id")).select("doc_id", "text")
+    ids = stored(known.select("doc_id").distinct(), "labelled")
+    if bytes_of(ids) <= BROADCAST_BYTES:  # texts without a label teach nothing
+        learnt = learnt.join(F.broadcast(ids), "doc_id", "left_semi")
+    features = stored(learnt.select("doc_id", features_of("text").alias("features")), "features")
     model = train(features.join(known, "doc_id"))
     if not model.rows:
         return docs

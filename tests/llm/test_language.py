@@ -1,5 +1,10 @@
 """Language identification: n-grams against plain counting, clusters, held-out accuracy."""
 
+import math
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +120,40 @@ def test_held_out_accuracy(spark):
     own = rows.where("held_out and lang is not null")
     assert rows.count() == truth.count()
     assert own.where(F.col("lang") == F.col("lang_pred")).count() >= 0.98 * own.count()
+
+
+def test_query_against_plain_cosines(spark, folder):
+    """Every answer of the query, by counting n-grams one by one and comparing with all
+    centroids of the model learnt from the documents that are not held out."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = language.train(docs.where(~language.held_out("doc_id")))
+    whole = 1 << 64
+
+    def bucket(gram):
+        mixed = (len(gram) * int(language.MIX[3]) + sum(ord(c) * int(m) for c, m in zip(gram, language.MIX))) % whole
+        return ((mixed ^ mixed >> 29) * int(language.MIX[1]) % whole) >> 52
+
+    got = {r["doc_id"]: r for r in QUERIES["op1_language_id"](spark, folder).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        assert got[doc_id]["held_out"] == (zlib.crc32(str(doc_id).encode()) % 3 == 1)
+        if not words:
+            assert got[doc_id]["lang_pred"] == "und" and got[doc_id]["score"] == 0
+            continue
+        letters = f" {' '.join(words)} "
+        counts = Counter(bucket(letters[k : k + n]) for n in (1, 2, 3) for k in range(len(letters) - n + 1))
+        vector = {b: c * float(model.idf[b]) for b, c in counts.items()}
+        length = math.sqrt(sum(x * x for x in vector.values()))
+        closeness = [sum(x * float(centroid[b]) for b, x in vector.items()) / length for centroid in model.vectors]
+        best = max(range(len(closeness)), key=closeness.__getitem__)
+        assert got[doc_id]["score"] == pytest.approx(min(1.0, max(0.0, closeness[best])), abs=1e-4)
+        near = {model.languages[k] for k, c in enumerate(closeness) if c > closeness[best] - 1e-4}
+        assert got[doc_id]["lang_pred"] in near
+
+
+def test_languages_are_bounded(spark):
+    rows = [(f"w{k} some words of text {k}", f"l{k % 7}") for k in range(70)] + [("more words here", "l3")] * 2
+    model = language.train(spark.createDataFrame(rows, "text string, lang string"), languages=3)
+    assert len(set(model.languages)) <= 3

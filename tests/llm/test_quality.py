@@ -1,6 +1,7 @@
 """Quality classifier: statistics, discriminant against a plain formula, held-out accuracy."""
 
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -100,3 +101,43 @@ def test_held_out_accuracy(spark):
     for label, least in ((0, 0.9), (1, 0.95)):
         own = [r for r in rows if r["quality"] == label]
         assert own and sum(r["predicted"] == label for r in own) / len(own) >= least
+
+
+def test_query_against_plain_densities(spark, folder):
+    """Every score of the query, from means and covariances worked out row by row."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    stats = {k: np.array(quality.text_features(t)) for k, t in texts.items()}
+    held = {k for k in texts if zlib.crc32(str(k).encode()) % 4 == 2}
+    known = [(r["doc_id"], r["quality"]) for r in labels if r["doc_id"] in texts and r["doc_id"] not in held]
+    size = len(quality.FEATURES)
+    both = np.array([stats[k] for k, label in known if label in (0, 1)])
+    spread = np.diag(np.maximum(both.var(axis=0), 1e-6))
+    densities = []
+    for label in (0, 1):
+        rows = np.array([stats[k] for k, own in known if own == label])
+        off = rows - rows.mean(axis=0)
+        own = off.T @ off / len(rows)
+        part = max((0.1 * size + 0.1 * len(rows)) / (size + len(rows)), size / (size + len(rows)))
+        own = (1 - part) * own + part * np.diag(np.maximum(np.diag(own), 1e-6)) + 1e-3 * spread
+        inverse, (_, volume) = np.linalg.inv(own), np.linalg.slogdet(own)
+        share = math.log((len(rows) + 1) / (len(both) + 2))
+        densities.append({
+            k: share - 0.5 * volume - 0.5 * (x - rows.mean(axis=0)) @ inverse @ (x - rows.mean(axis=0))
+            for k, x in stats.items()
+        })
+    got = QUERIES["op8_quality"](spark, folder).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        difference = densities[0][r["doc_id"]] - densities[1][r["doc_id"]]
+        want = 1 / (1 + math.exp(min(700, max(-700, difference))))
+        assert r["score"] == pytest.approx(want, abs=1e-5) and r["held_out"] == (r["doc_id"] in held)
+        assert r["predicted"] == int(r["score"] >= 0.7)
+
+
+def test_same_documents_stay_however_labels_are_met(spark, make_docs, monkeypatch):
+    rows, labels = corpus(90)
+    docs, labels = make_docs(rows), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    kept = sorted(r["doc_id"] for r in quality.keep_good(docs, labels).collect())
+    monkeypatch.setattr(quality, "BROADCAST_BYTES", -1)
+    assert sorted(r["doc_id"] for r in quality.keep_good(docs, labels).collect()) == kept != []
