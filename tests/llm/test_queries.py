@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from maskflow.llm import contamination, fingerprints, mixing
 from maskflow.llm.queries import QUERIES, SQL
@@ -128,3 +129,71 @@ def test_pipeline(spark, folder):
 
     run = corpus_pipeline.run(spark, folder)
     assert Counter(map(str, run.collect())) == Counter(map(str, dealt))
+
+
+@pytest.fixture
+def odd_folder(spark, folder, tmp_path):
+    """Tables with nulls in every column, empty and very long texts, repeated rows, columns
+    with clashing names and a map, beside those of the given ones."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = [
+        (None, None, None, None, None), (None, None, None, None, None), (90_001, "", "en", "web", 0),
+        (90_002, None, "en", None, None), (90_003, "one two three four five six " * 60_000, None, "web", 1),
+        (None, "A text without a number. " * 30, "en", "web", 700), (90_004, "A text that is there twice. " * 30, "en", "x", 5),
+        (90_004, "A text that is there twice. " * 30, "en", "x", 5), (90_005, "  \n\t ", "", "", -1),
+    ]
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    names = ("score", "features", "fp", "row", "doc", "key", "_size", "_draw", "salt", "shard", "slot", "_order", "matches", "size")
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    docs = docs.withColumn("bag", F.create_map(F.lit("a"), F.col("doc_id")))
+    docs.repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    for table in ("labels", "benchmark"):
+        own = spark.read.parquet(f"{folder}/{table}.parquet")
+        nulls = spark.createDataFrame([tuple(None for _ in own.columns)], own.schema)
+        own.unionByName(own.limit(3)).unionByName(nulls).write.parquet(str(tmp_path / f"{table}.parquet"))
+    return str(tmp_path)
+
+
+def test_pipeline_with_odd_rows(spark, odd_folder):
+    docs = spark.read.parquet(f"{odd_folder}/documents.parquet")
+    stages = [docs]
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = f"{odd_folder}/stage-{number}"
+        stage(spark, stages[-1], odd_folder).write.parquet(path)
+        stages.append(spark.read.parquet(path))
+        own = stages[-1].columns
+        # Sharding replaces the columns it adds.
+        assert own == docs.columns or (number == 4 and sorted(own) == sorted(docs.columns))
+    good, single, clean, mixed, dealt = stages[1:]
+    for before, after in ((docs, good), (good, single), (single, clean)):
+        left = Counter(str(r) for r in after.collect())
+        assert not left - Counter(str(r) for r in before.collect())
+    assert single.groupBy("doc_id", "text").count().where("count > 1").count() == 0
+    taken = mixing.mix_digests(clean).agg(F.sum("taken")).first()[0]
+    assert mixed.select(F.sum(F.size(F.split(F.trim("text"), r"[ \\t\\n\\x0b\\f\\r]+")))).first()[0] >= taken > 0
+    assert dealt.count() == mixed.count()
+    for number, slots in dealt.groupBy("shard").agg(F.sort_array(F.collect_list("slot"))).collect():
+        assert slots == list(range(len(slots)))
+    assert corpus_pipeline.run(spark, odd_folder).count() == dealt.count()
+
+
+def test_pipeline_with_empty_tables(spark, folder, tmp_path):
+    for table in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{table}.parquet").where("false").write.parquet(str(tmp_path / f"{table}.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"shard", "slot"} <= set(out.columns)
+
+
+def test_operators_with_odd_rows(spark, odd_folder):
+    """The queries over documents that have rows and columns of every kind."""
+    docs = spark.read.parquet(f"{odd_folder}/documents.parquet")
+    want = Counter(r["doc_id"] for r in docs.select("doc_id").collect())
+    for name in sorted(QUERIES):
+        if name in ("op2_warc", "op5_decontamination", "op6_embedding_dedup", "op11_url_filter", "op4_personal_data"):
+            continue
+        found = QUERIES[name](spark, odd_folder)
+        assert Counter(r["doc_id"] for r in found.select("doc_id").collect()) == want, name
+    ids = {r["doc_id"] for r in QUERIES["op5_decontamination"](spark, odd_folder).collect()}
+    assert ids <= set(want)
