@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from maskflow.catalog.registry import load, query, sql_list
+from maskflow.functions.cohorts import register_cohorts
 from maskflow.operators.generate import (
     BATCH_COHORT,
     BATCH_IDS,
@@ -114,6 +115,39 @@ def generate_heart_rates(spark, folder):
     return heart_rates(customer_ids(spark, folder), SEED, COHORT)
 
 
+def lateral(spark, folder, call: str, prefix: str, cohort: Cohort = COHORT):
+    """Rows that a table function makes beside the ids of all customers."""
+    register_cohorts(spark, cohort, prefix)
+    return spark.sql(f"SELECT made.* FROM {{ids}} ids, LATERAL {prefix}{call} made", ids=customer_ids(spark, folder))
+
+
+@query("sql_patients", sql_patients(COHORT))
+def patients_by_sql(spark, folder):
+    return lateral(spark, folder, f"patients(patient_id, {SEED})", "standard_")
+
+
+@query("sql_patients_batch", sql_patients(BATCH_COHORT))
+def batch_patients_by_sql(spark, folder):
+    return lateral(spark, folder, f"patients(patient_id, {SEED})", "batch_", BATCH_COHORT)
+
+
+@query("sql_encounters", sql_encounters(COHORT, 3))
+def encounters_by_sql(spark, folder):
+    return lateral(spark, folder, f"encounters(patient_id, 3, {SEED})", "standard_")
+
+
+@query(
+    "sql_heart_rates",
+    sql_readings(
+        f"SELECT patient_id, {sql_date('series', COHORT.visit_years, COHORT, 'CAST(patient_id AS VARCHAR)')} AS start FROM ({IDS})",
+        COHORT,
+        "CAST(patient_id AS VARCHAR)",
+    ),
+)
+def heart_rates_by_sql(spark, folder):
+    return lateral(spark, folder, f"heart_rates(patient_id, {SEED})", "standard_")
+
+
 @query(
     "generate_heart_rates_batch",
     sql_readings(
