@@ -17,6 +17,7 @@ from maskflow.catalog.registry import (
 )
 from maskflow.catalog.strategies import sql_pbkdf2, sql_shift
 from maskflow.operators.dictionary import KeyDictionary
+from maskflow.operators.state import PROVIDER, ROCKSDB
 from maskflow.plans.options import MaskOptions
 from maskflow.sources.fixedwidth import Field
 from maskflow.sources.shared import new_path
@@ -28,6 +29,7 @@ from maskflow.streaming.batches import (
     read_parquet_batches,
     table_batches,
 )
+from maskflow.streaming.masking import deidentify_stream, write_stream
 
 # Stands for a secret that a user keeps as salts are kept.
 DIGEST_KEY = "digest-key"
@@ -189,3 +191,20 @@ def key_dictionary_growth(spark, folder):
     keys, _ = two_runs(spark, folder)
     masked(load(spark, folder, "events"), EVENT_KEYS, key_dictionary=keys)
     return keys.versions(spark)
+
+
+@query("stateful_stream_keys", EVENT_KEYS_SQL)
+def stateful_stream_keys(spark, folder):
+    """Events masked as a stream of four files a batch each, keys kept in its state."""
+    out = new_path(spark, "stream")
+    load(spark, folder, "events").repartition(4).write.parquet(f"{out}/source")
+    schema = spark.read.parquet(f"{out}/source").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/source")
+    masked_rows = deidentify_stream(stream, policy(EVENT_KEYS), SALTS, MaskOptions(key_derivation="state"))
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        write_stream(masked_rows, f"{out}/rows", f"{out}/progress", available_now=True).awaitTermination()
+    finally:
+        spark.conf.set(PROVIDER, before)
+    return spark.read.parquet(f"{out}/rows")

@@ -21,6 +21,7 @@ from maskflow.functions.text import quoted
 from maskflow.functions.vocabulary import FIRST_NAMES, LAST_NAMES
 from maskflow.operators.cities import add_city
 from maskflow.operators.keys import add_derived_keys
+from maskflow.operators.state import add_state_key
 from maskflow.plans.options import MaskOptions
 from maskflow.plans.policy import Strategy, TablePolicy
 from maskflow.plans.salts import Salts
@@ -205,8 +206,11 @@ class Masking:
 
     def derive_key(self, s: Strategy, v: Value) -> Value:
         value = v.text()
-        inline = self.options.key_derivation == "inline" or self.df.isStreaming
-        kind = "inline key" if inline else "key"
+        chosen = self.options.key_derivation
+        if chosen == "state" and self.df.isStreaming:
+            kind = "state key"
+        else:
+            kind = "inline key" if chosen == "inline" or self.df.isStreaming else "key"
         found = self.lookup(kind, text.strip_blanks(value), v.level, salt=self.salt(s))
         lost = "raise_error('the table changed while keys were derived')"
         key = (
@@ -290,6 +294,8 @@ class Masking:
                 if lookup.kind == "inline key":
                     key = text.pbkdf2_udf([lookup.salt])(F.lit(0), F.col(value))
                     frame = frame.withColumn(lookup.out, key)
+                elif lookup.kind == "state key":
+                    frame = add_state_key(frame, value, lookup.salt, lookup.out, spread_on)
                 elif lookup.kind == "city":
                     frame = add_city(
                         frame, value, chance, self.options.cities, lookup.out,

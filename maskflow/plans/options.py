@@ -36,7 +36,8 @@ class MaskOptions:
                     strategy needs a value, or "warn" to leave all of them out
     keep_derived    keep EPOCH_START and *_duplicate though no policy lists them
     key_derivation  "distinct" derives once per distinct value and joins back,
-                    "inline" derives within the scan (needed on streams)
+                    "inline" derives within the scan (as streams do), "state" keeps the
+                    keys of a stream in its state, which needs the RocksDB state store
     key_dictionary  where "distinct" looks keys up and keeps new ones for later runs
     cities          postal table (zip, city) for City
     city_zip_column column holding the zip when City masks a place name
@@ -72,7 +73,7 @@ class MaskOptions:
             "on_bad_key": ("error", "hash"),
             "on_bad_date": ("error", "null"),
             "on_missing": ("error", "warn"),
-            "key_derivation": ("distinct", "inline"),
+            "key_derivation": ("distinct", "inline", "state"),
         }
         for name, values in allowed.items():
             if getattr(self, name) not in values:

@@ -1,4 +1,5 @@
-"""Masking streams: strategies keep no state, so a stream is masked row by row."""
+"""Masking streams: strategies keep no state, so a stream is masked row by row, but that
+derived keys may be kept."""
 
 from __future__ import annotations
 
@@ -20,8 +21,11 @@ def deidentify_stream(
     options: MaskOptions | None = None,
 ) -> DataFrame:
     """The masked stream. Keys are derived within the scan, as distinct values
-    of a stream are never complete; City joins the stream with its static table."""
-    options = replace(options or MaskOptions(), key_derivation="inline")
+    of a stream are never complete, or with the option ``key_derivation="state"`` once and
+    kept in the stream's state; City joins the stream with its static table."""
+    options = options or MaskOptions()
+    if options.key_derivation != "state":
+        options = replace(options, key_derivation="inline")
     return deidentify(stream, policy, salts, options)
 
 

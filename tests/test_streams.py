@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from support import make_policy
 
 from maskflow import MaskOptions, Salts, deidentify
-from maskflow.operators import keys
+from maskflow.operators import keys, state
 from maskflow.operators.dictionary import KeyDictionary
 from maskflow.sources.fixedwidth import Field
 from maskflow.streaming import batches
+from maskflow.streaming.masking import deidentify_stream, write_stream
 
 SCHEMA = "id bigint, name string"
 RULES = make_policy({"id": "Identity", "name": {"type": "Hash", "salt_key": "k"}})
@@ -189,3 +190,63 @@ def test_without_a_dictionary_nothing_is_kept(spark, salts, monkeypatch):
     monkeypatch.setattr(KeyDictionary, "append", lambda *a: pytest.fail("kept"))
     df = spark.createDataFrame([(1, "ann")], SCHEMA)
     assert deidentify(df, KEYED, salts).first()["name"] == key("ann") and keys.HOT_VALUES
+
+
+@pytest.fixture
+def rocksdb(spark):
+    before = spark.conf.get(state.PROVIDER)
+    spark.conf.set(state.PROVIDER, state.ROCKSDB)
+    yield
+    spark.conf.set(state.PROVIDER, before)
+
+
+def write_with_state(stream, policy, tmp_path, salts):
+    out = deidentify_stream(stream, policy, salts, MaskOptions(key_derivation="state"))
+    write_stream(out, str(tmp_path / "rows"), str(tmp_path / "progress"), available_now=True).awaitTermination()
+
+
+def derived(spark, tmp_path):
+    """Number of keys that the state holds: as many as were derived."""
+    return spark.read.format("statestore").option("stateVarName", "derived").load(str(tmp_path / "progress")).count()
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_state_keeps_keys_over_batches_and_restarts(spark, source, tmp_path, salts, rocksdb, monkeypatch, copies):
+    monkeypatch.setattr(state, "COPIES", copies)
+    rows, stream = source
+    write_with_state(stream(), KEYED, tmp_path, salts)
+    first = derived(spark, tmp_path)
+    assert 7 <= first <= 7 * copies
+    more = [(100 + k, name) for k, name in enumerate(["n1", "new", None, "", " n2 "] * 4)]
+    spark.createDataFrame(more, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "source"))
+    write_with_state(stream(), KEYED, tmp_path, salts)
+    want = [(k, key(name.strip()) if name else name) for k, name in [*rows, *more]]
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "rows")).collect()), key=str) == sorted(want, key=str)
+    if copies == 1:  # one of them is the empty text's
+        assert (first, derived(spark, tmp_path)) == (7, 9)
+    data = b"".join(
+        open(os.path.join(folder, name), "rb").read()
+        for folder, _, names in os.walk(tmp_path / "progress" / "state") for name in names
+    )
+    assert data and b"salt-k" not in data
+
+
+def test_state_keeps_other_columns_as_they_are(spark, tmp_path, salts, rocksdb):
+    path = str(tmp_path / "source")
+    df = spark.range(20).selectExpr(
+        "9007199254740993 + id AS id", "if(id % 3 = 0, null, concat('n', id % 2)) AS name",
+        "cast(id AS decimal(30, 5)) / 7 AS big", "date '0900-01-01' AS day", "timestamp_ntz '9000-01-01 00:00:00.000001' AS at",
+        "if(id % 2 = 0, array(1, null), null) AS items", "map('a', cast(id AS int)) AS bag",
+    )
+    df.write.parquet(path)
+    rules = {c: "Identity" for c in df.columns if c != "name"} | {"name": {"type": "PBEKeyHash", "salt_key": "k"}}
+    write_with_state(spark.readStream.schema(df.schema).parquet(path), make_policy(rules), tmp_path, salts)
+    want = [tuple(key(v) if c == "name" else v for c, v in r.asDict().items()) for r in df.collect()]
+    got = spark.read.parquet(str(tmp_path / "rows")).select(*df.columns)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_tables_under_the_state_option_are_joined(spark, salts):
+    df = spark.createDataFrame([(1, "ann"), (2, None)], SCHEMA)
+    out = deidentify(df, KEYED, salts, MaskOptions(key_derivation="state"))
+    assert sorted(map(tuple, out.collect())) == [(1, key("ann")), (2, None)]
