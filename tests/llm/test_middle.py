@@ -50,7 +50,7 @@ def test_segments_are_bounded_and_few():
         assert (found == np.array(offsets(text))[::97]).all()
         assert np.abs(index._residuals.astype(int)).max() <= error + 1
         assert index._residuals.nbytes == index.count == len(offsets(text)) - 1
-        assert len(index.starts) < index.count / (4 * error)
+        assert len(index.starts) < index.count / (2 * error)
     with pytest.raises(ValueError):
         middle.RankIndex(127)
 
