@@ -122,7 +122,8 @@ def bounds(spark, folder):
 # Keys as tables have them, crowded at one end, texts that begin alike, days, and stamps.
 RANGE_KEYS = {
     "orderkey": "l_orderkey",
-    "crowded": "l_orderkey * l_orderkey * l_orderkey * l_linenumber",
+    # As a double, since a third power of keys in the millions is beyond a bigint.
+    "crowded": "cast(l_orderkey AS double) * l_orderkey * l_orderkey * l_linenumber",
     "text": "concat('order-', lpad(cast(l_orderkey AS string), 12, '0'), '-', l_linenumber)",
     "day": "cast(l_shipdate AS date)",
     "price": "l_extendedprice",

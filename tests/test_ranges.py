@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from maskflow.catalog import QUERIES
 from maskflow.operators import audit, ranges
 from maskflow.sources.jdbc import range_predicates
 
@@ -79,6 +80,17 @@ def test_cuts_feed_range_reads(spark):
         assert list(counts) == [sizes(spark, df, cuts)[k] for k in range(6)]
 
 
+def test_even_ranges_of_large_keys(spark, tmp_path):
+    """Keys whose third power is beyond a bigint have even ranges as well."""
+    items = spark.range(9_000_000, 9_005_000).selectExpr(
+        "id AS l_orderkey", "cast(1 + id % 7 AS int) AS l_linenumber",
+        "timestamp_seconds(86400 * (id - 9000000)) AS l_shipdate", "id / 7 AS l_extendedprice",
+    )
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted(map(tuple, QUERIES["even_ranges"](spark, str(tmp_path)).collect()))
+    assert got == [(name, 5000, True) for name in ("crowded", "day", "orderkey", "price", "text")]
+
+
 def leaks(spark, raw, masked):
     df = [spark.createDataFrame([(v,) for v in values], "c string") for values in (raw, masked)]
     found = [r["value"] for r in audit.leaked_values(*df, "c", "c").collect()]
