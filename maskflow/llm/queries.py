@@ -84,7 +84,7 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op3_line_dedup"] = r"""
-WITH RECURSIVE rows AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+WITH rows AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
 lines AS (
   SELECT row, coalesce(doc_id, 9223372036854775807) AS doc,
     unnest(string_split(text, chr(10))) AS line,
@@ -100,28 +100,22 @@ leaves AS (
 shared AS (
   SELECT n, lead FROM leaves GROUP BY n, lead HAVING min(doc) <> max(doc)),
 forms AS (
-  SELECT n, form, tokens, min(doc) AS first FROM leaves JOIN shared USING (n, lead) GROUP BY n, form, tokens),
-rounds AS (
-  SELECT 0 AS round, n, form, tokens, first, NULL::BIGINT AS keeper FROM forms
-  UNION ALL
-  SELECT round + 1, n, form, tokens, first,
-    list_filter(founders, lambda f: f.tokens = tokens OR len(list_filter(range(1, n + 1),
-        lambda i: f.tokens[i] = tokens[i] AND tokens[i] <> '<*>'))
-      / greatest(1, len(list_filter(range(1, n + 1),
-        lambda i: f.tokens[i] <> '<*>' OR tokens[i] <> '<*>'))) >= 0.8)[1].first AS keeper
-  FROM (
-    SELECT *, list_reduce(early, lambda found, e: CASE WHEN len(list_filter(found,
+  SELECT n, lead, form, tokens, min(doc) AS first FROM leaves JOIN shared USING (n, lead) GROUP BY n, lead, form, tokens),
+templates AS (
+  SELECT n, lead, list_reduce(list([{'first': first, 'tokens': tokens}] ORDER BY first, form),
+    lambda found, e: CASE WHEN len(list_filter(found,
         lambda f: len(list_filter(range(1, n + 1),
           lambda i: f.tokens[i] = e[1].tokens[i] AND f.tokens[i] <> '<*>'))
         / greatest(1, len(list_filter(range(1, n + 1),
           lambda i: f.tokens[i] <> '<*>' OR e[1].tokens[i] <> '<*>'))) >= 0.8)) > 0
       THEN found ELSE list_concat(found, e) END) AS founders
-    FROM (
-      SELECT *, (list([{'first': first, 'tokens': tokens}]) OVER (
-        PARTITION BY n, array_to_string(tokens[1:3 * (1 << round)], ' ') ORDER BY first, form
-        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))[1:16] AS early
-      FROM rounds WHERE keeper IS NULL))),
-keepers AS (SELECT form, keeper FROM rounds WHERE keeper IS NOT NULL),
+  FROM forms GROUP BY n, lead),
+keepers AS (
+  SELECT form, list_filter(founders, lambda f: f.tokens = tokens OR len(list_filter(range(1, n + 1),
+        lambda i: f.tokens[i] = tokens[i] AND tokens[i] <> '<*>'))
+      / greatest(1, len(list_filter(range(1, n + 1),
+        lambda i: f.tokens[i] <> '<*>' OR tokens[i] <> '<*>'))) >= 0.8)[1].first AS keeper
+  FROM forms JOIN templates USING (n, lead)),
 gone AS (
   SELECT row, count(*) AS n_dropped, list(place) AS dropped
   FROM leaves JOIN keepers USING (form) WHERE doc <> keeper GROUP BY row),

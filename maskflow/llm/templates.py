@@ -2,9 +2,9 @@
 
 Tokens with a digit are variable fields; a line with its fields masked is a form. Lines of
 one form always belong together. Forms meet in leaves of the tree: by their number of tokens
-and their leading ones. The earliest forms of a leaf that are unlike each other found
-templates, which forms alike enough join; those left over are parsed deeper, by twice as
-many leading tokens, and found templates there, until none is left.
+and their leading ones. In order of first document and text a form joins the first template
+of its leaf that it is alike enough to, or founds one. A leaf has as many templates as that
+takes: they are founded in batches, of which none changes what the batches give together.
 """
 
 from __future__ import annotations
@@ -19,8 +19,13 @@ DEPTH = 3
 # Share of the places, but for those variable in both, that two forms must have in common.
 SIMILAR = 0.8
 FIELD = "<*>"
-# Earliest forms of a node among which its templates are founded.
+# Earliest forms of a leaf among which templates are founded in the first round; every
+# round takes four times as many as that before, up to the most a row is to hold. They
+# bound rows, not templates: rounds go on until no form is left.
 FOUNDERS = 16
+MOST_FOUNDERS = 1024
+# Characters of forms beyond the first 16 that a row is to hold.
+BATCH_CHARS = 1 << 20
 # Tokens with a digit, found from their first character on, so that a long token is
 # read once.
 NUMBERED = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
@@ -78,12 +83,18 @@ def met_by(rows: DataFrame, small: DataFrame, keys: list[str], spread: str, how:
 
 
 def earliest(forms: DataFrame, most: int) -> DataFrame:
-    """(node, n, early): the earliest ``most`` forms of every node, by first document and then
-    text, as (first, form, f1, f2, last, words)."""
-    order = Window.partitionBy("node", "n").orderBy("first", "form")
-    early = forms.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most)
+    """(leaf, n, early, whole): the earliest ``most`` forms of every leaf, by first document
+    and then text, as (first, form, f1, f2, last, words), fewer if they are long; ``whole``
+    says whether these are all."""
+    order = Window.partitionBy("leaf", "n").orderBy("first", "form")
+    early = forms.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most + 1)
+    chars = F.sum(F.length("form").cast("bigint")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    fits = (F.col("at") <= min(most, FOUNDERS)) | ((F.col("at") <= most) & (F.col("chars") <= BATCH_CHARS))
+    early = early.withColumn("chars", chars).withColumn("fits", fits)
     member = F.struct("first", "form", "f1", "f2", "last", F.split("form", " ").alias("words"))
-    return early.groupBy("node", "n").agg(F.array_sort(F.collect_list(member)).alias("early"))
+    return early.groupBy("leaf", "n").agg(
+        F.array_sort(F.collect_list(F.when(F.col("fits"), member))).alias("early"), F.every("fits").alias("whole")
+    )
 
 
 def founders_of(early: Column, similar: float) -> Column:
@@ -102,22 +113,57 @@ def keeper_among(founders: Column, words: Column, similar: float) -> Column:
     return F.get(F.filter(founders, lambda f: likeness(words, f["words"]) >= similar), F.lit(0))["first"]
 
 
+def blocks(words: Column, n: Column, depth: int, similar: float) -> Column:
+    """Hashes of the runs that the places below the leading tokens are cut into: one run more
+    than places in which forms alike enough can differ, so that such forms of a leaf have a
+    run in common. Runs are empty, and in common, where there are more of them than places."""
+    runs = F.floor(n * F.lit(1 - similar) + 1e-9).cast("int") + 1
+    below = F.greatest(n - depth, F.lit(0))
+
+    def run(k: Column) -> Column:
+        start, end = (F.floor(at * below / runs).cast("int") for at in (k, k + 1))
+        return F.xxhash64(k, F.slice(words, start + depth + 1, end - start))
+
+    return F.transform(F.sequence(F.lit(0), runs - 1), run)
+
+
+def keepers_by_block(rest: DataFrame, large: DataFrame, depth: int, similar: float) -> DataFrame:
+    """``rest`` with ``keeper``, as its forms have it among the founders of their leaves. Forms are
+    compared with the founders they have a block in common with."""
+    keys = ["leaf", "n", "block"]
+    founders = large.select("leaf", "n", F.explode("founders").alias("founder"))
+    founders = founders.withColumn("block", F.explode(blocks(F.col("founder.words"), F.col("n"), depth, similar)))
+    founders = founders.groupBy(keys).agg(F.array_sort(F.collect_list("founder")).alias("founders"))
+    own = F.explode(blocks(F.split("form", " "), F.col("n"), depth, similar)).alias("block")
+    met = met_by(rest.select("leaf", "n", "f1", "f2", "form", own), founders, keys, "f1")
+    # The first of the founders alike is that of the earliest document.
+    found = met.groupBy("leaf", "n", "f1", "f2").agg(F.min(form_keeper(similar)).alias("keeper"))
+    return rest.join(found.where("keeper is not null"), ["leaf", "n", "f1", "f2"], "left")
+
+
+def form_keeper(similar: float) -> Column:
+    """``keeper_among`` the column ``founders`` for ``form``."""
+    # Within a lambda the form is split once, not once for every founder.
+    keeper = F.transform(F.array(F.split("form", " ")), lambda words: keeper_among(F.col("founders"), words, similar))
+    return F.get(keeper, F.lit(0))
+
+
 def settled(forms: DataFrame, depth: int, similar: float) -> DataFrame:
     """(f1, f2, last, keeper) of the forms (leaf, n, f1, f2, first, last, form): the first
     document that holds a line of a form's template.
 
-    Every round is one step down the tree: a form joins the first of its node's founders
-    that it is alike to; the others go to nodes of twice as many leading tokens. Nodes of
-    few forms hold all founders and are done at once. Rounds are as many at most as
-    doublings lead to the longest line. Each is stored.
+    Every round founds templates among the earliest forms that have none, four times as many
+    as the round before; all forms alike join them. A form that is left is unlike all founders
+    so far, so the next round goes on as if there were one round. Leaves with no more forms
+    than that are done at once. Each round is stored.
     """
     # Two forms of so few tokens differ in too large a share of them.
     short = F.col("n") * F.lit(1 - similar) < 1 - 1e-9
     done = forms.where(short).select("f1", "f2", "last", F.col("first").alias("keeper"))
-    rest = forms.where(~short).withColumn("node", F.col("leaf"))
+    rest, most = forms.where(~short), FOUNDERS
     while True:
-        nodes = stored(earliest(rest, FOUNDERS + 1), "nodes")
-        small = nodes.where(F.size("early") <= FOUNDERS).withColumn("founders", founders_of(F.col("early"), similar))
+        leaves = earliest(rest, most).withColumn("founders", founders_of(F.col("early"), similar))
+        leaves = stored(leaves, "nodes")
         members = F.transform(
             "early",
             lambda e: F.struct(
@@ -125,26 +171,22 @@ def settled(forms: DataFrame, depth: int, similar: float) -> DataFrame:
                 keeper_among(F.col("founders"), e["words"], similar).alias("keeper"),
             ),
         )
-        done = done.unionByName(small.select(F.inline(members)))
-        large = nodes.where(F.size("early") > FOUNDERS).select(
-            "node", "n", founders_of(F.slice("early", 1, FOUNDERS), similar).alias("founders")
-        )
-        if large.isEmpty():
+        done = done.unionByName(leaves.where("whole").select(F.inline(members)))
+        large = leaves.where("not whole").select("leaf", "n", "founders")
+        n_large = large.count()
+        if not n_large:
             return done
-        large = stored(large, "founders")
-        if large.count() <= BROADCAST_ROWS:
-            rest = rest.join(F.broadcast(large.select("node", "n")), ["node", "n"], "left_semi")
-        met = met_by(rest, large, ["node", "n"], "f1")
-        # Within a lambda the form is split once, not once for every founder.
-        keeper = F.transform(
-            F.array(F.split("form", " ")), lambda words: keeper_among(F.col("founders"), words, similar)
-        )
-        met = stored(met.withColumn("keeper", F.get(keeper, F.lit(0))).drop("founders"), "templates")
+        if n_large <= BROADCAST_ROWS:
+            rest = rest.join(F.broadcast(large.select("leaf", "n")), ["leaf", "n"], "left_semi")
+        else:
+            rest = met_by(rest, large.select("leaf", "n"), ["leaf", "n"], "f1", "left_semi")
+        if most == FOUNDERS:
+            met = met_by(rest, large, ["leaf", "n"], "f1").withColumn("keeper", form_keeper(similar)).drop("founders")
+        else:
+            met = keepers_by_block(rest, large, depth, similar)
+        met = stored(met, "templates")
         done = done.unionByName(met.where("keeper is not null").select("f1", "f2", "last", "keeper"))
-        depth *= 2
-        rest = met.where("keeper is null").drop("keeper").withColumn(
-            "node", F.xxhash64("leaf", F.substring_index("form", " ", depth))
-        )
+        rest, most = met.where("keeper is null").drop("keeper"), min(4 * most, MOST_FOUNDERS)
 
 
 def keepers(lines: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) -> DataFrame:

@@ -30,29 +30,14 @@ def plain(rows, depth=3, similar=0.8):
                 form = " ".join(mask(line))
                 first[form] = min(first.get(form, doc), doc)
 
-    def settle(forms, depth):
-        """Found templates among forms of one length, by their leading tokens."""
-        nodes = {}
-        for form in forms:
-            nodes.setdefault(tuple(form.split(" ")[:depth]), []).append(form)
-        for node in nodes.values():
-            founders, left = [], []
-            for form in sorted(node, key=lambda form: (first[form], form))[: templates.FOUNDERS]:
-                if all(alike(form.split(" "), f.split(" ")) < similar for f in founders):
-                    founders.append(form)
-            for form in node:
-                joined = [f for f in founders if alike(form.split(" "), f.split(" ")) >= similar]
-                if joined:
-                    keeper[form] = first[joined[0]]
-                else:
-                    left.append(form)
-            settle(left, 2 * depth)
-
-    lengths = {}
-    for form in first:
-        lengths.setdefault(form.count(" "), []).append(form)
-    for forms in lengths.values():
-        settle(forms, depth)
+    leaves = {}
+    for form in sorted(first, key=lambda form: (first[form], form)):
+        words = form.split(" ")
+        founders = leaves.setdefault((len(words), tuple(words[:depth])), [])
+        joined = [f for f in founders if alike(words, f.split(" ")) >= similar]
+        if not joined:
+            founders.append(form)
+        keeper[form] = first[joined[0] if joined else form]
     for doc, text in rows:
         if text is None:
             yield doc, None, None
@@ -143,6 +128,49 @@ def test_hot_leaf_needs_few_rounds(spark, make_docs, monkeypatch):
     assert got == {k: text for k, text, _ in plain([(k, t) for k, t, _ in rows])}
 
 
+def late_forms(draw, n, templates_, variants):
+    """Variants of many templates of one leaf, in any order."""
+    founded = [draw.choices("abcdefghij", k=n) for _ in range(templates_)]
+    rows = []
+    for words in founded * variants:
+        words = list(words)
+        for place in draw.sample(range(n), draw.randrange(0, 1 + n // 4)):
+            words[place] = draw.choice(["x", "y", "z", "7"])
+        rows.append("in the end " + " ".join(words))
+    draw.shuffle(rows)
+    return [(k, text) for k, text in enumerate(rows)]
+
+
+def test_templates_beyond_the_first_forms_of_a_leaf(make_docs):
+    """Forms alike belong together however many templates were founded before, and wherever
+    they differ."""
+    words = "abcdefghijklmnopqrst"
+    rows = [(k, "in the end " + f"{words[k]}{words[k]} " * 7 + "ok", "s") for k in range(20)]
+    late = "in the end {} blue engine was seen near the old north gate {}"
+    lines = [late.format(w, "today") for w in ("one", "two", "red")] + [late.format("one", "now")]
+    lead = "in the end zz zz zz zz zz zz zz ok"
+    rows += [(20 + k, text, "s") for k, text in enumerate([*lines, lead, lead.replace("zz", "no", 1)])]
+    # Twenty templates of the late lines' own length are before them.
+    rows += [(k - 100, "in the end " + f"{words[k]}{words[k]} " * 10 + "ok", "s") for k in range(20)]
+    got = cleaned(make_docs(rows))
+    assert [k for k, text in got.items() if not text] == [21, 22, 23, 25]
+
+
+@pytest.mark.parametrize("n, depth, similar", [(2, 3, 0.8), (9, 3, 0.8), (20, 3, 0.8), (6, 3, 0.5), (12, 5, 0.9), (12, 2, 0.67)])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_many_rounds(make_docs, monkeypatch, n, depth, similar, broadcast):
+    """Batches of whatever size give what one form after the other does."""
+    monkeypatch.setattr(templates, "FOUNDERS", 2)
+    monkeypatch.setattr(templates, "MOST_FOUNDERS", 8)
+    monkeypatch.setattr(templates, "BATCH_CHARS", 300 if broadcast else 1 << 20)
+    monkeypatch.setattr(templates, "BROADCAST_ROWS", 10 if broadcast else 0)
+    rows = late_forms(random.Random(n), n, 12, 6)
+    docs = make_docs([(k, text, "s") for k, text in rows])
+    got = templates.drop_recurring_lines(docs, depth, similar)
+    got = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert got == {k: text for k, text, _ in plain(rows, depth, similar)}
+
+
 def test_no_python_in_the_plan(spark, make_docs):
     docs = make_docs([(1, "a\nb", "s"), (2, "a", "s")])
     plan = templates.drop_recurring_lines(docs)._jdf.queryExecution().toString()
