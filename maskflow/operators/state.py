@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +15,14 @@ from maskflow.functions.text import quoted, secret
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# Groups that the rows of one value are dealt to, and those of nulls: a hot value is spread
-# over so many tasks, each of which derives its key once in the stream's life.
+# Rows of a value in a task of the scan that go to one group; further ones go to the next
+# of the groups that a value has at most. So a hot value is spread over many tasks, each
+# of which derives its key once in the stream's life, and any other has one group.
+HOT_ROWS = 1000
 COPIES = 8
+# Counters of a task, shared by values with equal hashes.
+COUNTERS = 1 << 16
+# Groups that the rows of nulls are dealt to.
 NULLS = 64
 
 
@@ -29,8 +37,9 @@ def add_state_key(frame: DataFrame, value: str, salt: str, out: str, spread_on:
     salt_column = secret(frame.sparkSession, salt)
     digest = F.sha2(F.concat(salt_column, F.lit("/"), F.col(value), F.lit("/"), salt_column), 256)
     row = F.xxhash64(*[quoted(name) for name in spread_on], value)
-    copies = F.when(F.col(value).isNull(), F.lit(NULLS)).otherwise(F.lit(COPIES))
-    name = F.concat_ws("/", F.coalesce(digest, F.lit("-")), F.pmod(row, copies).cast("string"))
+    place = F.pmod(F.xxhash64(value), F.lit(COUNTERS)).cast("int")
+    copy = F.when(F.col(value).isNull(), F.pmod(row, F.lit(NULLS))).otherwise(_copy(place))
+    name = F.concat_ws("/", F.coalesce(digest, F.lit("-")), copy.cast("string"))
     keyed = frame.withColumn(group, name)
     schema = T.StructType([*keyed.schema.fields, T.StructField(out, T.StringType())])
     derived = keyed.groupBy(group).transformWithState(
@@ -39,6 +48,24 @@ def add_state_key(frame: DataFrame, value: str, salt: str, out: str, spread_on:
     return derived.drop(group)
 
 
+def _copy(place: Column) -> Column:
+    """Number of the group of its value that a row goes to, by the rows with the same ``place``
+    that its task has met before."""
+    hot_rows, copies, counters = HOT_ROWS, COPIES, COUNTERS
+
+    @F.pandas_udf("int")
+    def copy(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import numpy as np
+
+        met = np.zeros(counters, dtype=np.int64)
+        for places in batches:
+            before = met[places] + places.groupby(places).cumcount().to_numpy()
+            met += np.bincount(places, minlength=counters)
+            yield pd.Series(before // hot_rows % copies, dtype="int32")
+
+    return copy(place)
+
+
 def _deriving(value: str, salt: str, out: str):
     """The processor, defined here so that executors need no copy of this package."""
     from pyspark.sql.streaming import StatefulProcessor
@@ -52,13 +79,19 @@ def _deriving(value: str, salt: str, out: str):
 
             from pyspark.sql import Row
 
-            found = self.key.get()[0] if self.key.exists() else None
+            found, masked = None, None
             for row in rows:
-                if found is None and row[value] is not None:
-                    raw, salted = row[value].encode("utf-8"), salt.encode("utf-8")
-                    found = hashlib.pbkdf2_hmac("sha1", raw, salted, 2016, 64).hex()
-                    self.key.update((found,))
-                yield Row(**row.asDict(), **{out: found})
+                if masked is None:
+                    # Of a group all rows have the same value, or none has one.
+                    masked = Row(*row.__fields__, out)
+                    if row[value] is not None:
+                        kept = self.key.get()
+                        if kept is None:
+                            raw, salted = row[value].encode("utf-8"), salt.encode("utf-8")
+                            kept = (hashlib.pbkdf2_hmac("sha1", raw, salted, 2016, 64).hex(),)
+                            self.key.update(kept)
+                        found = kept[0]
+                yield masked(*row, found)
 
         def close(self) -> None:
             pass

@@ -231,6 +231,25 @@ def test_state_keeps_keys_over_batches_and_restarts(spark, source, tmp_path, sal
     assert data and b"salt-k" not in data
 
 
+def test_state_derives_the_key_of_a_value_that_is_not_hot_once(spark, source, tmp_path, salts, rocksdb):
+    rows, stream = source
+    write_with_state(stream(), KEYED, tmp_path, salts)
+    got = spark.read.parquet(str(tmp_path / "rows")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((k, key(n)) for k, n in rows), key=str)
+    assert derived(spark, tmp_path) == 7
+
+
+def test_state_spreads_the_rows_of_a_hot_value(spark, tmp_path, salts, rocksdb, monkeypatch):
+    monkeypatch.setattr(state, "HOT_ROWS", 10)
+    path = str(tmp_path / "source")
+    rows = [(k, "hot" if k % 5 else f"cold{k}") for k in range(200)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(path)
+    write_with_state(spark.readStream.schema(SCHEMA).parquet(path), KEYED, tmp_path, salts)
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "rows")).collect()))
+    assert got == [(k, key(name)) for k, name in rows]
+    assert derived(spark, tmp_path) == state.COPIES + 40
+
+
 def test_state_keeps_other_columns_as_they_are(spark, tmp_path, salts, rocksdb):
     path = str(tmp_path / "source")
     df = spark.range(20).selectExpr(
